@@ -6,7 +6,7 @@ from skygauge.contract.registry import CHECK_SQL, QUERIES, Query
 
 
 def _load() -> None:
-    from skygauge.contract import layers  # noqa: F401 - registers its queries
+    from skygauge.contract import checks, dashboards, layers, streams  # noqa: F401 - they register queries
 
 
 def all_queries() -> dict[str, Query]:

@@ -50,7 +50,7 @@ _DUCKDB = {
 
 def _weather(d: dict) -> tuple[str, dict[str, str]]:
     loaded = d["plus_hours"].format(n="CAST(o_orderkey % 24 AS INT)", ts="o_orderdate")
-    t = "o_totalprice / 10000.0E0"
+    t = "o_totalprice / 9973.0E0"
     return "orders", {
         "city": pick("o_custkey % 18", WEATHER_CITIES), "date": "CAST(o_orderdate AS DATE)",
         "t2m": t, "t2mdew": f"{t} - 5.0E0", "t2mwet": f"{t} - 2.5E0", "ts": f"{t} + 1.0E0",
@@ -78,7 +78,7 @@ def _solar_energy(d: dict) -> tuple[str, dict[str, str]]:
         "year": "CAST(year(ts) AS INT)", "mo": "CAST(month(ts) AS INT)", "dy": "CAST(day(ts) AS INT)",
         # Hours 24 and 25 do not exist: such rows have no valid time.
         "hr": "CAST((hour(ts) + user_id % 3) AS INT)",
-        "allsky_sfc_sw_dwn": "value", "clrsky_sfc_sw_dwn": "value * 1.25E0",
+        "allsky_sfc_sw_dwn": "value", "clrsky_sfc_sw_dwn": "value * 1.25E0 + user_id % 7",
         "allsky_sfc_sw_dni": "value / 2.0E0", "allsky_sfc_sw_diff": "value / 4.0E0",
         "allsky_sfc_par_tot": "value / 8.0E0", "clrsky_sfc_par_tot": "value / 16.0E0",
         "allsky_sfc_uva": "value / 32.0E0", "allsky_sfc_uvb": "value / 64.0E0",

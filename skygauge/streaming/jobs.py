@@ -31,13 +31,20 @@ def distinct_readings(readings: DataFrame, delay: str = HOURLY_DELAY) -> DataFra
     return readings.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(READING_KEY))
 
 
-def hourly_stream(readings: DataFrame, delay: str = HOURLY_DELAY) -> DataFrame:
-    """Hourly rollup; an hour is emitted once, when it lies behind the watermark."""
-    return weather_hourly(readings.withWatermark("timestamp", delay))
+def _watermarked(readings: DataFrame, delay: str | None) -> DataFrame:
+    return readings.withWatermark("timestamp", delay) if delay else readings
 
 
-def daily_stream(readings: DataFrame, delay: str = DAILY_DELAY) -> DataFrame:
-    return weather_daily(readings.withWatermark("timestamp", delay))
+def hourly_stream(readings: DataFrame, delay: str | None = HOURLY_DELAY) -> DataFrame:
+    """Hourly rollup; an hour is emitted once, when it lies behind the watermark.
+
+    ``delay`` is None for readings that carry a watermark already, as ``distinct_readings`` gives.
+    """
+    return weather_hourly(_watermarked(readings, delay))
+
+
+def daily_stream(readings: DataFrame, delay: str | None = DAILY_DELAY) -> DataFrame:
+    return weather_daily(_watermarked(readings, delay))
 
 
 def _trigger(interval: str | None) -> dict:

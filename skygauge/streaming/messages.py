@@ -15,6 +15,12 @@ RECORDED_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _GROUPS = ("coord", "weather", "main", "wind", "clouds", "sys")
 
 
+def _parsed_once(json: str, schema: str) -> Column:
+    """The parsed text as a generated column. A plain ``from_json`` would be split up by the optimizer
+    into one parse per field that is read later."""
+    return F.explode(F.array(F.from_json(json, schema)))
+
+
 def _answer_field(answer: Column, flat_name: str) -> Column:
     group, _, field = flat_name.partition("_")
     if group not in _GROUPS or not field:
@@ -27,7 +33,7 @@ def _answer_field(answer: Column, flat_name: str) -> Column:
 def flatten_answers(raw: DataFrame, recorded_at: Column, json: str = "json") -> DataFrame:
     """``data`` struct of 30 fields next to the other columns; NULL fields where the answer has none."""
     names = column_names(READING_FIELDS)
-    parsed = raw.withColumn("_answer", F.from_json(json, API_RESPONSE))
+    parsed = raw.select("*", _parsed_once(json, API_RESPONSE).alias("_answer"))
     answer = F.col("_answer")
     fields = [_answer_field(answer, n).alias(n) for n in names if n != "recorded_at"]
     fields.append(F.date_format(recorded_at, RECORDED_FORMAT).alias("recorded_at"))
@@ -61,7 +67,7 @@ def parse(messages: DataFrame) -> DataFrame:
     """Message fields next to the message text. Text that is no message gives NULL fields."""
     text = F.col("value").cast("string")
     return (messages.select(text.alias("value"))
-            .withColumn("message", F.from_json("value", MESSAGE))
+            .select("value", _parsed_once("value", MESSAGE).alias("message"))
             .select("value", "message.*"))
 
 
