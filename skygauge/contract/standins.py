@@ -12,6 +12,8 @@ dialect. Only the input is shared: the operators and the SQL that checks them ar
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skygauge.lookups import SITES, STREAM_PARTITIONS
@@ -25,11 +27,10 @@ AIR_CITIES = ("Cairo", "Siwah", "Sharm _al-Shaykh", "elwady_elgaded", "Alex", "I
 SOLAR_CITIES = ("cairo", " ALEX", "siwah", "Sharm El Sheikh", "El Wadi El Gedid", "Gulf of Suez", "Qena")
 
 
-def pick(index: str, values) -> str:
-    """SQL that picks a value by number; NULL beyond the list."""
-    quote = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
-    branches = " ".join(f"WHEN {i} THEN {quote(v)}" for i, v in enumerate(values))
-    return f"CASE {index} {branches} END"
+def _pick(opening: str, closing: str, index: str, values) -> str:
+    """SQL that picks a value by its number, counted from 0."""
+    quote = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) and v != "NULL" else str(v)
+    return f"element_at({opening}{', '.join(map(quote, values))}{closing}, CAST({index} AS INT) + 1)"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,11 +41,13 @@ _SPARK = {
     "plus_hours": "timestampadd(HOUR, {n}, {ts})",
     "plus_seconds": "timestampadd(SECOND, {n}, {ts})",
     "json_k": "CAST(get_json_object(props, '$.k') AS INT)",
+    "pick": partial(_pick, "array(", ")"),
 }
 _DUCKDB = {
     "plus_hours": "({ts} + to_hours({n}))",
     "plus_seconds": "({ts} + to_seconds({n}))",
     "json_k": "CAST(json_extract_string(props, '$.k') AS INT)",
+    "pick": partial(_pick, "list_value(", ")"),
 }
 
 
@@ -52,7 +55,7 @@ def _weather(d: dict) -> tuple[str, dict[str, str]]:
     loaded = d["plus_hours"].format(n="CAST(o_orderkey % 24 AS INT)", ts="o_orderdate")
     t = "o_totalprice / 9973.0E0"
     return "orders", {
-        "city": pick("o_custkey % 18", WEATHER_CITIES), "date": "CAST(o_orderdate AS DATE)",
+        "city": d["pick"]("o_custkey % 18", WEATHER_CITIES), "date": "CAST(o_orderdate AS DATE)",
         "t2m": t, "t2mdew": f"{t} - 5.0E0", "t2mwet": f"{t} - 2.5E0", "ts": f"{t} + 1.0E0",
         "t2m_range": "CAST(o_orderkey % 9 AS DOUBLE)", "t2m_max": f"{t} + 4.0E0", "t2m_min": f"{t} - 4.0E0",
         "qv2m": "CAST(o_orderkey % 20 AS DOUBLE)", "rh2m": "CAST(o_orderkey % 100 AS DOUBLE)",
@@ -64,7 +67,7 @@ def _weather(d: dict) -> tuple[str, dict[str, str]]:
 
 def _air_pollution(d: dict) -> tuple[str, dict[str, str]]:
     return "lineitem", {
-        "city": pick("l_suppkey % 8", AIR_CITIES),
+        "city": d["pick"]("l_suppkey % 8", AIR_CITIES),
         "datetime": d["plus_hours"].format(n="CAST(l_orderkey % 24 AS INT)", ts="l_shipdate"),
         "aqi": "l_quantity / 8.0E0", "co": "l_extendedprice", "no": "l_discount", "no2": "l_tax",
         "o3": "l_quantity", "so2": "CAST(l_partkey % 50 AS DOUBLE)", "pm2_5": "l_extendedprice / 1000.0E0",
@@ -82,7 +85,7 @@ def _solar_energy(d: dict) -> tuple[str, dict[str, str]]:
         "allsky_sfc_sw_dni": "value / 2.0E0", "allsky_sfc_sw_diff": "value / 4.0E0",
         "allsky_sfc_par_tot": "value / 8.0E0", "clrsky_sfc_par_tot": "value / 16.0E0",
         "allsky_sfc_uva": "value / 32.0E0", "allsky_sfc_uvb": "value / 64.0E0",
-        "allsky_sfc_uv_index": "value / 5.0E0", "city": pick("user_id % 7", SOLAR_CITIES),
+        "allsky_sfc_uv_index": "value / 5.0E0", "city": d["pick"]("user_id % 7", SOLAR_CITIES),
         "load_timestamp": "ts",
     }
 
@@ -107,17 +110,19 @@ def bronze_sql(source: str) -> str:
     return _sql(*_BRONZE[source](_DUCKDB))
 
 
-_SITE = "user_id % 28"     # number 27 has no site: a region the stream does not know
+_SITE = "user_id % 28"
+# Number 27 is a region the stream does not know.
+_REGION_NAMES = [s[0] for s in SITES] + ["Sharqia"]
 _PARTITION_OF = {g: n for n, names in STREAM_PARTITIONS.items() for g in names}
 
 
 def _readings(d: dict) -> dict[str, str]:
     temp = "CASE WHEN event_type = 'signup' AND k < 10 THEN NULL ELSE value END"
     return {
-        "id": "event_id", "governorate": f"coalesce({pick(_SITE, [s[0] for s in SITES])}, 'Sharqia')",
-        "kafka_partition": pick(_SITE, [_PARTITION_OF[s[0]] for s in SITES]), "timestamp": "ts",
-        "coord_lon": f"CAST({pick(_SITE, [s[2] for s in SITES])} AS DOUBLE)",
-        "coord_lat": f"CAST({pick(_SITE, [s[1] for s in SITES])} AS DOUBLE)",
+        "id": "event_id", "governorate": d["pick"](_SITE, _REGION_NAMES),
+        "kafka_partition": d["pick"](_SITE, [_PARTITION_OF.get(n, "NULL") for n in _REGION_NAMES]), "timestamp": "ts",
+        "coord_lon": f"CAST({d['pick'](_SITE, [s[2] for s in SITES] + [0])} AS DOUBLE)",
+        "coord_lat": f"CAST({d['pick'](_SITE, [s[1] for s in SITES] + [0])} AS DOUBLE)",
         "weather_main": "CASE event_type WHEN 'error' THEN 'Thunderstorm' WHEN 'signup' THEN 'Rain' "
                         "WHEN 'view' THEN 'Clouds' WHEN 'click' THEN 'Clear' ELSE 'Haze' END",
         "weather_description": "event_type", "main_temp": temp, "main_feels_like": "value - 0.5E0",

@@ -15,17 +15,22 @@ def cleaned(city: Column | str) -> Column:
     return F.upper(F.trim(city))
 
 
+def is_dropped(city: Column | str, source: str) -> Column:
+    """True for names the source drops."""
+    dropped = [raw for raw, to in L.CITY_ALIASES[source].items() if to is None]
+    return cleaned(city).isin(*dropped) if dropped else F.lit(False)
+
+
 def canonical_name(city: Column | str, source: str) -> Column:
     """Stored governorate of a raw city; NULL for names the source drops.
 
     A literal map keeps this a projection: no join, and unknown names pass through.
     """
-    aliases = L.CITY_ALIASES[source]
     name = cleaned(city)
-    renamed = _literal_map((raw, to) for raw, to in aliases.items() if to is not None)
+    renamed = _literal_map((raw, to) for raw, to in L.CITY_ALIASES[source].items() if to is not None)
     result = F.coalesce(F.try_element_at(renamed, name), name)
-    dropped = [raw for raw, to in aliases.items() if to is None]
-    return F.when(~name.isin(*dropped), result) if dropped else result
+    drops = None in L.CITY_ALIASES[source].values()
+    return F.when(~is_dropped(city, source), result) if drops else result
 
 
 def batch_spelling(stream_name: Column | str) -> Column:

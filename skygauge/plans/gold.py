@@ -38,10 +38,9 @@ def dim_date(spark: SparkSession, run_ts, start: str = L.DIM_DATE_START, end: st
 
 
 def governorate_names(silver_tables: Sequence[DataFrame]) -> DataFrame:
-    """Distinct governorate names of the silver tables; each is reduced before the union."""
-    names = [t.select("governorate").distinct() for t in silver_tables]
-    union = reduce(DataFrame.unionByName, names).distinct()
-    return union.dropna().withColumnRenamed("governorate", "governorate_name")
+    """Distinct governorate names of the silver tables; each task reduces its rows first."""
+    names = reduce(DataFrame.unionByName, [t.select("governorate") for t in silver_tables])
+    return names.distinct().dropna().withColumnRenamed("governorate", "governorate_name")
 
 
 def _describe(numbered: DataFrame, run_ts) -> DataFrame:

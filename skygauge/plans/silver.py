@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.functions.names import canonical_name
+from skygauge.functions.names import canonical_name, is_dropped
 from skygauge.functions.times import from_parts, ts_literal
 from skygauge.operators.keyed import latest_per_key, newer_than
 from skygauge.schemas import MEASURES, TIME_COLUMN
@@ -17,23 +17,29 @@ def _time(source: str) -> Column:
 
 
 def silver_keys(source: str) -> list[str]:
-    return ["governorate", TIME_COLUMN[source]]
+    """Key of a silver table. The time comes first: it decides most comparisons of a sort by key."""
+    return [TIME_COLUMN[source], "governorate"]
+
+
+def _usable(source: str) -> Column:
+    """Rows that get a governorate and a time; as plain tests of raw columns where possible."""
+    raw_time = "year" if source == "solar_energy" else TIME_COLUMN[source]
+    return (F.col("city").isNotNull() & F.col(raw_time).isNotNull() & ~is_dropped("city", source)
+            & _time(source).isNotNull())
 
 
 def standardize(bronze: DataFrame, source: str, run_ts) -> DataFrame:
     """Rows with stored names and measures; rows without governorate or time are dropped."""
-    keys = silver_keys(source)
-    return (bronze
+    return (bronze.filter(_usable(source))
             .select(canonical_name("city", source).alias("governorate"), _time(source),
                     *[F.col(raw).alias(name) for raw, name in MEASURES[source].items()],
                     "load_timestamp")
-            .dropna(subset=keys)
             .withColumn("transform_timestamp", ts_literal(run_ts)))
 
 
 def unusable_rows(bronze: DataFrame, source: str) -> DataFrame:
     """Bronze rows that ``standardize`` drops, for the count of rejects."""
-    return bronze.filter(canonical_name("city", source).isNull() | _time(source).isNull())
+    return bronze.filter(~F.coalesce(_usable(source), F.lit(False)))
 
 
 def silver(bronze: DataFrame, source: str, run_ts, stored: DataFrame | None = None) -> DataFrame:

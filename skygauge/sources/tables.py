@@ -32,11 +32,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, location = _filesystem(spark, path)
+    return [entry.getPath().getName() for entry in fs.listStatus(location)]
+
+
 def _periods(spark: SparkSession, path: str) -> list[str]:
     """Names of the period folders."""
-    fs, location = _filesystem(spark, path)
-    names = [entry.getPath().getName() for entry in fs.listStatus(location)]
-    return [n for n in names if n.startswith(f"{PERIOD}=")]
+    return [n for n in _names(spark, path) if n.startswith(f"{PERIOD}=")]
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in _names(spark, path) if n.endswith(".parquet")]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -51,67 +58,77 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table for its writer, a cut-off write completed first; None if there is none."""
-    _finish_pending(spark, path)
+    _publish(spark, path)
     return read_table(spark, path) if table_exists(spark, path) else None
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
     """Replace a table as a whole. The new rows may be derived from the old table."""
     df.write.mode("overwrite").parquet(path + _PENDING)
-    _finish_pending(df.sparkSession, path)
+    _publish(df.sparkSession, path)
 
 
-def _overwrite_periods(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
-    # Shuffling by period puts each period into few files; AQE splits a period that is too large.
+def _write_pending(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
+    # The rebalance puts each period into few files, and lets Spark split a period that is too large.
     (df.hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, *sort_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PERIOD).parquet(path))
+     .write.mode("overwrite").partitionBy(PERIOD).parquet(path + _PENDING))
+
 
+def _publish(spark: SparkSession, path: str) -> None:
+    """Move the folders of a complete pending write into the table.
 
-def _finish_pending(spark: SparkSession, path: str, sort_by: Sequence[str] = ()) -> None:
-    """Move rows that were fully written aside into the table, also after a run that stopped there."""
+    A run that stopped on the way left the rest in the pending folder, and the next call moves it.
+    """
     pending = path + _PENDING
     if table_exists(spark, pending):
-        rows = spark.read.parquet(pending)
-        if PERIOD in rows.columns:
-            _overwrite_periods(rows, path, sort_by)
-        else:
-            rows.write.mode("overwrite").parquet(path)
+        periods = _periods(spark, pending)
+        for period in periods:
+            _move(spark, f"{pending}/{period}", f"{path}/{period}")
+        if periods:
+            _move(spark, f"{pending}/_SUCCESS", f"{path}/_SUCCESS")
+        elif _files(spark, pending):  # a table without periods is replaced as a whole
+            _move(spark, pending, path)
     if path_exists(spark, pending):
         remove_path(spark, pending)
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder or file in the place of another; a rename, so no data passes through Spark."""
+    fs, place = _filesystem(spark, target)
+    fs.delete(place, True)
+    fs.mkdirs(place.getParent())
+    if not fs.rename(_filesystem(spark, source)[1], place):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str],
                  time_column: str, grain: str = "month") -> None:
     """Insert or replace rows by key; of several updates of one key the newest counts.
 
     ``time_column`` must be part of the key or determined by it. Only the periods in the updates
-    are read and written. The merged periods are first written aside in full; if the run stops
-    while they replace the old ones, the next upsert finishes that step. One writer at a time.
+    are read and written. The merged periods are first written aside in full, then put in the place
+    of the old ones; if the run stops in between, the next upsert finishes that step. One writer at
+    a time.
     """
     spark = updates.sparkSession
-    sort_by = list(keys)
-    _finish_pending(spark, path, sort_by)
+    _publish(spark, path)
     day = F.to_date(time_column)
     period = day if grain == "day" else F.trunc(day, grain)
     newest = latest_per_key(updates, keys, order_by).withColumn(PERIOD, period)
     if not table_exists(spark, path):
-        _overwrite_periods(newest, path, sort_by)
-        if not _periods(spark, path):  # no rows: a table without files has no schema to read
-            remove_path(spark, path)
+        _write_pending(newest, path, keys)
+        _publish(spark, path)
         return
     newest = newest.persist()
     try:
         # One value per calendar day or month: bounded by the time span, and it prunes the scan.
         periods = [r[0] for r in newest.select(PERIOD).distinct().collect()]
-        if not periods:
-            return
-        target = read_table(spark, path).filter(F.col(PERIOD).isin(periods))
-        merged = merge_frames(target, newest, [*keys, PERIOD])
-        merged.write.mode("overwrite").parquet(path + _PENDING)
+        if periods:
+            target = read_table(spark, path).filter(F.col(PERIOD).isin(periods))
+            _write_pending(merge_frames(target, newest, [*keys, PERIOD]), path, keys)
     finally:
         newest.unpersist()
-    _finish_pending(spark, path, sort_by)
+    _publish(spark, path)
 
 
 def drop_periods_before(spark: SparkSession, path: str, first_kept) -> int:

@@ -10,7 +10,7 @@ from skygauge.operators.rollups import weather_daily, weather_hourly
 from skygauge.sources.tables import upsert_table
 from skygauge.streaming.messages import accepted, flat_readings, parse, rejected
 
-READING_KEY = ("governorate", "timestamp")
+READING_KEY = ("timestamp", "governorate")
 HOURLY_DELAY, DAILY_DELAY = "3 hours", "3 days"
 
 
