@@ -27,10 +27,10 @@ AIR_CITIES = ("Cairo", "Siwah", "Sharm _al-Shaykh", "elwady_elgaded", "Alex", "I
 SOLAR_CITIES = ("cairo", " ALEX", "siwah", "Sharm El Sheikh", "El Wadi El Gedid", "Gulf of Suez", "Qena")
 
 
-def _pick(opening: str, closing: str, index: str, values) -> str:
+def _pick(element: str, make_list: str, index: str, values) -> str:
     """SQL that picks a value by its number, counted from 0."""
     quote = lambda v: "'" + v.replace("'", "''") + "'" if isinstance(v, str) and v != "NULL" else str(v)
-    return f"element_at({opening}{', '.join(map(quote, values))}{closing}, CAST({index} AS INT) + 1)"
+    return f"{element}({make_list}({', '.join(map(quote, values))}), CAST({index} AS INT) + 1)"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,13 +41,13 @@ _SPARK = {
     "plus_hours": "timestampadd(HOUR, {n}, {ts})",
     "plus_seconds": "timestampadd(SECOND, {n}, {ts})",
     "json_k": "CAST(get_json_object(props, '$.k') AS INT)",
-    "pick": partial(_pick, "array(", ")"),
+    "pick": partial(_pick, "element_at", "array"),
 }
 _DUCKDB = {
     "plus_hours": "({ts} + to_hours({n}))",
     "plus_seconds": "({ts} + to_seconds({n}))",
     "json_k": "CAST(json_extract_string(props, '$.k') AS INT)",
-    "pick": partial(_pick, "list_value(", ")"),
+    "pick": partial(_pick, "list_extract", "list_value"),
 }
 
 
