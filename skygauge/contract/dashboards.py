@@ -8,6 +8,7 @@ from skygauge import lookups as L
 from skygauge.contract import sqltext as S
 from skygauge.contract.registry import query
 from skygauge.contract.standins import load, readings
+from skygauge.functions.units import kelvin_to_celsius
 from skygauge.operators import quality, rollups, serving
 from skygauge.operators.places import partition_info as describe_partitions, with_partition
 
@@ -222,6 +223,34 @@ def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.metrics_wide(last, list(_SUMMARY.values()))
 
 
+@query(S.with_readings(""" SELECT 'governorate' AS choice, governorate AS value FROM readings GROUP BY 2
+    UNION ALL SELECT 'partition', CAST(kafka_partition AS VARCHAR) FROM readings WHERE governorate = 'Cairo' GROUP BY 2"""))
+def dash_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values the dashboard offers for region and partition."""
+    rows = readings(spark, sf_dir)
+    regions = serving.choices(rows, "governorate").select(F.lit("governorate").alias("choice"), F.col("governorate").alias("value"))
+    numbers = serving.choices(serving.match_region(rows, "Cairo"), "kafka_partition")
+    return regions.unionByName(numbers.select(
+        F.lit("partition").alias("choice"), F.col("kafka_partition").cast("string").alias("value")))
+
+
+@query(S.with_readings("""SELECT governorate, round(main_temp, 2) AS temp_celsius, weather_main, "timestamp"
+    FROM readings ORDER BY "timestamp" DESC, id LIMIT 10"""))
+def newest_celsius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten newest readings, their Kelvin temperatures in Celsius."""
+    kelvin = readings(spark, sf_dir).withColumn("main_temp", F.col("main_temp") + L.KELVIN_OFFSET)
+    newest = serving.newest_rows(kelvin, "timestamp", 10, ["id"])
+    return newest.select("governorate", kelvin_to_celsius("main_temp").alias("temp_celsius"), "weather_main", "timestamp")
+
+
+@query(S.with_readings(f"""SELECT * FROM ({rollup_select('hour', HOURLY_EXTRA)}) WHERE governorate = 'Cairo'
+    ORDER BY bucket DESC LIMIT 24"""))
+def newest_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 24 hours of one region."""
+    hours = rollups.weather_hourly(readings(spark, sf_dir)).filter("governorate = 'Cairo'")
+    return round_hourly(serving.newest_rows(hours, "bucket", 24, ["governorate"]))
+
+
 # --- recent data -----------------------------------------------------------------------------
 
 def _since_sql(interval: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from skygauge.operators.sizing import broadcast_if_small
+from skygauge.session import shared_dir
 
 
 def with_dimensions(fact: DataFrame, dim_governorate: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -59,12 +60,15 @@ def site_ranking(solar: DataFrame, top: int) -> DataFrame:
     """Sites by solar potential: irradiance and clear-sky ratio count for, variability against.
 
     Min-max scaling needs two totals only, where a percentile rank would sort all sites in one task.
+    The row per site is checkpointed, so the facts are read once for totals and scores.
     """
+    shared_dir(solar.sparkSession)
     got, clear = F.col("all_sky_surface_shortwave_downward"), F.col("clear_sky_surface_shortwave_downward")
     sites = (solar.groupBy("governorate_name")
              .agg(F.count("*").alias("hours"), F.avg(got).alias("irradiance"),
                   (F.sum(got) / F.nullif(F.sum(clear), F.lit(0.0))).alias("clear_ratio"),
-                  (F.stddev_samp(got) / F.nullif(F.avg(got), F.lit(0.0))).alias("variability")))
+                  (F.stddev_samp(got) / F.nullif(F.avg(got), F.lit(0.0))).alias("variability"))
+             .checkpoint())
     extremes = sites.agg(F.struct(*[
         f(c).alias(f"{name}_{c}") for c in ("irradiance", "clear_ratio", "variability")
         for name, f in (("low", F.min), ("high", F.max))]).alias("extremes")).scalar()

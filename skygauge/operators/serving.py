@@ -41,20 +41,42 @@ def since(df: DataFrame, as_of: DataFrame | Column, interval: str, column: str =
     return df.filter(F.col(column) > bound)
 
 
+def newest_of_regions(readings: DataFrame, time: str) -> DataFrame:
+    """Newest row of each region by ``time``.
+
+    No region's newest row is older than the oldest of these newest times. That time comes from a
+    hash aggregation over two columns and cuts the scan of all others to the recent rows, so that
+    only those are sorted. A region that fell silent long ago makes the cut weaker, never wrong.
+    """
+    newest = readings.groupBy("governorate").agg(F.max(time).alias(time))
+    oldest = newest.agg(F.min(time).alias("oldest")).scalar()
+    return latest_per_key(readings.filter(F.col(time) >= oldest), ["governorate"], [time])
+
+
 def latest_weather(readings: DataFrame) -> DataFrame:
-    """Newest reading of each region."""
-    return latest_per_key(readings.select(*LATEST_COLUMNS), ["governorate"], ["timestamp"])
+    return newest_of_regions(readings.select(*LATEST_COLUMNS), "timestamp")
 
 
 def latest_by_max_id(readings: DataFrame, id_column: str = "id") -> DataFrame:
     """Rows that carry the greatest id of their region (the map panel)."""
     newest = readings.groupBy("governorate").agg(F.max(id_column).alias(id_column)).select(id_column)
-    return (readings.join(newest, id_column, "left_semi")
+    oldest = newest.agg(F.min(id_column).alias("oldest")).scalar()   # cuts the scan, as above
+    return (readings.filter(F.col(id_column) >= oldest).join(newest, id_column, "left_semi")
             .select("governorate", F.col("coord_lat").alias("latitude"),
                     F.col("coord_lon").alias("longitude"), F.col("main_temp").alias("temperature"),
                     "weather_main", "weather_description"))
 
 
+def newest_rows(df: DataFrame, time: str, top: int, ties: Sequence[str]) -> DataFrame:
+    """The ``top`` newest rows; ``ties`` orders rows of one time."""
+    return df.orderBy(F.desc(time), *ties).limit(top)
+
+
+def choices(readings: DataFrame, column: str) -> DataFrame:
+    """Values a dashboard offers for a choice."""
+    return readings.select(column).distinct().orderBy(column)
+
+
 def newest_values(readings: DataFrame, order_by: Sequence[str] = ("recorded_at", "timestamp")) -> DataFrame:
     """Newest value of the seven single-value panels, in one pass; NULL stays NULL."""
     newest = F.struct(*order_by)
@@ -65,7 +87,7 @@ def statistics_table(readings: DataFrame) -> DataFrame:
     """Newest reading of each region by recording time, under the display names of the table."""
     columns = ("governorate", "main_temp", "main_humidity", "wind_speed", "main_pressure",
                "weather_main", "recorded_at")
-    newest = latest_per_key(readings.select(*columns), ["governorate"], ["recorded_at"])
+    newest = newest_of_regions(readings.select(*columns), "recorded_at")
     return (newest
             .withColumns({"main_temp": F.round("main_temp", 1), "wind_speed": F.round("wind_speed", 2)})
             .withColumnsRenamed({
@@ -134,10 +156,14 @@ def metrics_long(readings: DataFrame, metrics: dict[str, str], time: str = "reco
 
 
 def reduce_series(series: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Legend values of each series: last non-null by time, mean, max, min and sum."""
-    known = F.col("value").isNotNull()
+    """Legend values of each series: last non-null by time, mean, max, min and sum.
+
+    A series has one value per time, as the key of the readings makes sure. All buffers are of fixed
+    width, so this is a hash aggregation.
+    """
+    known_at = F.when(F.col("value").isNotNull(), F.col("time"))
     return series.groupBy(*keys).agg(
-        F.max_by("value", F.when(known, F.struct("time", "value"))).alias("last_not_null"),
+        F.max_by("value", known_at).alias("last_not_null"),
         F.avg("value").alias("mean"), F.max("value").alias("max"),
         F.min("value").alias("min"), F.sum("value").alias("sum"))
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from skygauge.functions.times import ts_literal
@@ -40,32 +41,45 @@ def _typed(column: str, type_name: str) -> Column:
     return text.try_cast(type_name)
 
 
-def split_rows(text: DataFrame, source: str, load_timestamp,
-               null_sentinel: float | None = None) -> tuple[DataFrame, DataFrame]:
-    """(bronze rows, rejected rows) of text rows.
+def _fields(source: str) -> dict[str, str]:
+    return dict(part.split() for part in BRONZE_COLUMNS[source].split(", "))
 
-    A row is rejected when a non-empty field does not fit its type; the rejected row keeps its text
-    and the names of the bad columns. ``null_sentinel`` (such as -999) turns that measure into NULL.
+
+def _misfit(column: str, type_name: str) -> Column:
+    """True for a non-empty field that does not fit its type."""
+    return F.nullif(F.col(column), F.lit("")).isNotNull() & _typed(column, type_name).isNull()
+
+
+def any_misfit(source: str) -> Column:
+    return reduce(operator.or_, [_misfit(n, kind) for n, kind in _fields(source).items() if kind != "STRING"])
+
+
+def bronze_rows(text: DataFrame, source: str, load_timestamp, null_sentinel: float | None = None) -> DataFrame:
+    """Typed rows of the text rows whose fields all fit.
+
+    ``null_sentinel`` (such as -999) turns that measure into NULL.
     """
-    fields = [part.split() for part in BRONZE_COLUMNS[source].split(", ")]
-    typed = {name: _typed(name, kind) for name, kind in fields}
-    bad = F.array_compact(F.array(*[
-        F.when(F.nullif(F.col(n), F.lit("")).isNotNull() & typed[n].isNull(), F.lit(n)) for n, _ in fields]))
-    marked = text.withColumn("bad_columns", bad)
-    rejected = marked.filter(F.size("bad_columns") > 0).withColumn("load_timestamp", ts_literal(load_timestamp))
-    kept = marked.filter(F.size("bad_columns") == 0)
+    typed = {name: _typed(name, kind) for name, kind in _fields(source).items()}
     if null_sentinel is not None:
         typed.update({n: F.nullif(typed[n], F.lit(float(null_sentinel)))
-                      for n, kind in fields if kind == "DOUBLE"})
-    rows = kept.select(*[typed[n].alias(n) for n, _ in fields],
-                       ts_literal(load_timestamp).alias("load_timestamp"))
-    return rows, rejected
+                      for n, kind in _fields(source).items() if kind == "DOUBLE"})
+    return text.filter(~any_misfit(source)).select(
+        *[c.alias(n) for n, c in typed.items()], ts_literal(load_timestamp).alias("load_timestamp"))
+
+
+def rejected_rows(text: DataFrame, source: str, load_timestamp) -> DataFrame:
+    """The other text rows, as they came, with the names of the fields that do not fit."""
+    bad = [F.when(_misfit(n, kind), F.lit(n)) for n, kind in _fields(source).items() if kind != "STRING"]
+    return (text.filter(any_misfit(source)).withColumn("bad_columns", F.array_compact(F.array(*bad)))
+            .withColumn("load_timestamp", ts_literal(load_timestamp)))
 
 
 def read_bronze(spark: SparkSession, folder: str, source: str, load_timestamp,
                 null_sentinel: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(bronze rows, rejected rows) of all files of a source, read as one batch."""
-    return split_rows(read_text(spark, folder, source), source, load_timestamp, null_sentinel)
+    text = read_text(spark, folder, source)
+    return (bronze_rows(text, source, load_timestamp, null_sentinel),
+            rejected_rows(text, source, load_timestamp))
 
 
 def load_new_files(spark: SparkSession, landing: str, warehouse: str, source: str, load_timestamp,
@@ -86,9 +100,13 @@ def load_new_files(spark: SparkSession, landing: str, warehouse: str, source: st
     text = stream.csv(landing).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows, rejected = split_rows(batch, source, load_timestamp, null_sentinel)
-        rows.write.mode("overwrite").parquet(f"{bronze_path(warehouse, source)}/load_id={batch_id}")
-        rejected.write.mode("overwrite").parquet(f"{rejected_path(warehouse, source)}/load_id={batch_id}")
+        seen = Observation()
+        counted = batch.observe(seen, F.count_if(any_misfit(source)).alias("rejected"))
+        (bronze_rows(counted, source, load_timestamp, null_sentinel)
+         .write.mode("overwrite").parquet(f"{bronze_path(warehouse, source)}/load_id={batch_id}"))
+        if seen.get["rejected"]:  # the files are parsed again only where rows were put aside
+            (rejected_rows(batch, source, load_timestamp)
+             .write.mode("overwrite").parquet(f"{rejected_path(warehouse, source)}/load_id={batch_id}"))
 
     query = (text.writeStream.foreachBatch(write)
              .option("checkpointLocation", f"{warehouse}/_ledger/{source}")

@@ -131,6 +131,32 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     _publish(spark, path)
 
 
+def replace_range(fresh: DataFrame, path: str, time_column: str, start, end, sort_by: Sequence[str]) -> None:
+    """Replace the rows of a day-partitioned table with ``start <= time < end`` by ``fresh``.
+
+    Rows outside the range stay; only the days of the range are read and written.
+    """
+    spark = fresh.sparkSession
+    _publish(spark, path)
+    last = F.to_date(end - F.expr("INTERVAL 1 MICROSECOND"))
+    bounds = spark.range(1).select(start.alias("lo"), end.alias("hi"), F.to_date(start), last).first()
+    lo, hi = F.lit(bounds[0]).cast("timestamp_ntz"), F.lit(bounds[1]).cast("timestamp_ntz")
+    first_day, last_day = str(bounds[2]), str(bounds[3])
+    time = F.col(time_column)
+    fresh = fresh.filter((time >= lo) & (time < hi)).withColumn(PERIOD, F.to_date(time_column))
+    stored_days = []
+    if table_exists(spark, path):
+        stored_days = [p for p in _periods(spark, path) if first_day <= p.split("=", 1)[1] <= last_day]
+        days = F.col(PERIOD).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
+        kept = read_table(spark, path).filter(days & ((time < lo) | (time >= hi)))
+        fresh = kept.unionByName(fresh, allowMissingColumns=True)
+    _write_pending(fresh, path, sort_by)
+    emptied = set(stored_days) - set(_periods(spark, path + _PENDING))
+    _publish(spark, path)
+    for day in emptied:
+        remove_path(spark, f"{path}/{day}")
+
+
 def drop_periods_before(spark: SparkSession, path: str, first_kept) -> int:
     """Delete the day folders older than ``first_kept`` (a date); reads no data."""
     old = [p for p in _periods(spark, path) if p.split("=", 1)[1] < str(first_kept)]

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from skygauge.operators.rollups import weather_daily, weather_hourly
-from skygauge.sources.tables import upsert_table
+from skygauge.sources.tables import upsert_table, write_jdbc
 from skygauge.streaming.messages import accepted, flat_readings, parse, rejected
 
 READING_KEY = ("timestamp", "governorate")
@@ -68,6 +68,17 @@ def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
+def append_jdbc(readings: DataFrame, url: str, table: str, driver: str, checkpoint: str,
+                interval: str | None = "30 seconds", **options: str) -> StreamingQuery:
+    """Append micro-batches to a database table, whose primary key guards against repeats."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_jdbc(batch, url, table, driver, **options)
+
+    return (readings.writeStream.foreachBatch(write).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
+
+
 def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint: str,
                     interval: str | None = "30 seconds") -> StreamingQuery:
     """Message text to the reading table; unusable messages go to the quarantine folder."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skygauge.functions.times import utc_instant, utc_wall_clock
 from skygauge.operators import places, quality, rollups, serving
+from skygauge.plans import health, rollup_tables
 from skygauge.sources.tables import read_table
 from skygauge.streaming import jobs
 from skygauge.streaming.messages import (accepted, deliverable, envelopes, flat_readings, flatten_answers, parse,
@@ -156,6 +157,46 @@ def test_refresh_recomputes_only_its_range(spark, ntz):
     assert rows.select(start, end).first() == (dt.datetime(2023, 12, 31, 23), dt.datetime(2024, 1, 1, 1))
 
 
+def test_refresh_of_a_stored_rollup(spark, ntz, tmp_path):
+    rows = ntz([reading("Cairo", "01:00:00", 1.0), reading("Giza", "02:00:00", 1.0)], READING)
+    later = rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
+    hour = lambda h, day=1: F.lit(f"2024-01-{day:02d} {h:02d}:00:00").cast("timestamp_ntz")
+    path = str(tmp_path / "hourly")
+    rollup_tables.refresh(rows.unionByName(later), path, "weather_hourly", hour(0), hour(0, 3))
+    assert read_table(spark, path).count() == 4
+    untouched = sorted(p.name for p in (tmp_path / "hourly" / "period=2024-01-02").glob("*.parquet"))
+    # The reading of Giza is gone from the source, and Cairo has one more.
+    changed = ntz([reading("Cairo", "01:00:00", 1.0), reading("Cairo", "02:10:00", 5.0)], READING)
+    rollup_tables.refresh(changed, path, "weather_hourly", hour(2), hour(3))
+    got = {(r["governorate"], r["bucket"].day, r["bucket"].hour) for r in read_table(spark, path).collect()}
+    assert got == {("Cairo", 1, 1), ("Cairo", 1, 2), ("Cairo", 2, 1), ("Giza", 2, 2)}
+    assert sorted(p.name for p in (tmp_path / "hourly" / "period=2024-01-02").glob("*.parquet")) == untouched
+    rollup_tables.refresh(changed, path, "weather_hourly", hour(0, 2), hour(0, 3))     # a day without readings
+    assert read_table(spark, path).filter("period > '2024-01-01'").count() == 0
+    rollup_tables.scheduled_refresh(changed, path, "weather_hourly")
+    assert read_table(spark, path).count() == 2
+
+
+def test_health(spark, ntz, tmp_path):
+    now = F.lit("2024-01-01 02:00:00").cast("timestamp_ntz")
+    path = str(tmp_path / "t")
+    with pytest.raises(ValueError):
+        health.check_table(spark, path, now)
+    rows = ntz([reading("Cairo", "01:30:00"), reading("Cairo", "00:30:00")], READING)
+    rows.withColumn("processed_at", F.col("timestamp")).write.parquet(path)
+    assert tuple(health.check_table(spark, path, now).first()) == (1, dt.datetime(2024, 1, 1, 1, 30))
+    assert not health.check_arrivals(spark, path, now)
+    assert health.check_arrivals(spark, path, now, "31 MINUTES")
+    assert health.check_quality(spark, path, now).first()["total_records"] == 2
+    assert health.metrics(spark, path).first()["unique_governorates"] == 1
+
+
+def test_newest_of_regions_keeps_silent_regions(spark, ntz):
+    rows = ntz([reading("Cairo", f"{h:02d}:00:00", float(h)) for h in range(24)] + [reading("Giza", "00:00:00", 9.0)], READING)
+    got = serving.newest_of_regions(rows, "timestamp")
+    assert {r["governorate"]: r["main_temp"] for r in got.collect()} == {"Cairo": 23.0, "Giza": 9.0}
+
+
 def test_retention_keeps_whole_days(spark, ntz):
     rows = ntz([("2024-01-01 23:59:59",), ("2024-01-02 00:00:00",), ("2024-01-04 12:00:00",)], "timestamp TIMESTAMP_NTZ")
     kept = rollups.retained(rows, F.lit("2024-01-04 12:00:00").cast("timestamp_ntz"), days=2)
