@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygauge.contract import sqltext as S
-from skygauge.contract.layers import fact_of
+from skygauge.contract.layers import names_of
 from skygauge.contract.registry import query
 from skygauge.contract.standins import RUN_TS, bronze, load
 from skygauge.contract.dashboards import rounded
 from skygauge.operators import analytics, quality
 from skygauge.plans import gold
-from skygauge.plans.silver import silver, standardize
+from skygauge.plans.silver import silver
 from skygauge.schemas import SOURCES
 from skygauge.session import scratch_path
 
@@ -68,9 +68,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks over stored gold tables, so that each fact is computed once for its checks."""
     place = scratch_path(spark, "gold")
     rows = {s: silver(bronze(spark, sf_dir, s), s, RUN_TS) for s in SOURCES}
-    names = [standardize(bronze(spark, sf_dir, s), s, RUN_TS) for s in SOURCES]
     gold.dim_date(spark, RUN_TS).write.parquet(f"{place}/dim_date")
-    gold.dim_governorate(names, RUN_TS).write.parquet(f"{place}/dim_governorate")
+    gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS).write.parquet(f"{place}/dim_governorate")
     tables = {n: spark.read.parquet(f"{place}/{n}") for n in ("dim_date", "dim_governorate")}
     for s in SOURCES:
         fact = gold.fact(rows[s], tables["dim_governorate"], tables["dim_date"], s, RUN_TS)
@@ -82,8 +81,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- analyses --------------------------------------------------------------------------------
 
 def _facts(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    names = [standardize(bronze(spark, sf_dir, s), s, RUN_TS) for s in SOURCES]
-    places, days = gold.dim_governorate(names, RUN_TS), gold.dim_date(spark, RUN_TS)
+    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    days = gold.dim_date(spark, RUN_TS)
     rows = silver(bronze(spark, sf_dir, source), source, RUN_TS)
     return analytics.with_dimensions(gold.fact(rows, places, days, source, RUN_TS), places, days)
 

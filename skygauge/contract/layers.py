@@ -18,7 +18,7 @@ from skygauge.functions.times import (from_epoch, from_parts, from_parts_text, t
 from skygauge.functions.units import in_celsius
 from skygauge.operators.keyed import (append_columns, latest_per_key, merge_frames, missed_rows, newer_than)
 from skygauge.plans import gold
-from skygauge.plans.silver import silver, standardize, unusable_rows
+from skygauge.plans.silver import governorates, silver, unusable_rows
 from skygauge.schemas import SOURCES
 from skygauge.session import scratch_path
 from skygauge.sources.csv_files import bronze_path, load_new_files, rejected_path
@@ -77,8 +77,9 @@ def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
             .fillna(0, subset=["n_orders"]))
 
 
-def _standardized(spark: SparkSession, sf_dir: str, *sources: str) -> list[DataFrame]:
-    return [standardize(bronze(spark, sf_dir, s), s, RUN_TS) for s in sources]
+def names_of(spark: SparkSession, sf_dir: str, *sources: str) -> list[DataFrame]:
+    """Governorates of the sources; the dedup of silver keeps every name, so they are read before it."""
+    return [governorates(bronze(spark, sf_dir, s), s) for s in sources]
 
 
 _STANDARDIZED = ", ".join(S.standardized_cte(s) for s in SOURCES)
@@ -86,8 +87,7 @@ _STANDARDIZED = ", ".join(S.standardized_cte(s) for s in SOURCES)
 
 @query(f"WITH {_STANDARDIZED}, {S.dim_governorate_cte()} SELECT * FROM dim_governorate")
 def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The dedup of silver keeps every name, so the names can be read before it.
-    return gold.dim_governorate(_standardized(spark, sf_dir, *SOURCES), RUN_TS)
+    return gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
 
 
 @query(f"""WITH {_STANDARDIZED},
@@ -103,14 +103,14 @@ def dim_region(spark: SparkSession, sf_dir: str) -> DataFrame:
            {S.RUN} AS created_at, {S.RUN} AS updated_at FROM keyed""")
 def dim_region_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dimension built from one source, then extended by the others: old keys stay."""
-    first = gold.dim_governorate(_standardized(spark, sf_dir, "solar_energy"), RUN_TS)
-    return gold.dim_governorate(_standardized(spark, sf_dir, *SOURCES), RUN_TS, stored=first)
+    first = gold.dim_governorate(names_of(spark, sf_dir, "solar_energy"), RUN_TS)
+    return gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS, stored=first)
 
 
 # --- facts -----------------------------------------------------------------------------------
 
 def fact_of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    places = gold.dim_governorate(_standardized(spark, sf_dir, *SOURCES), RUN_TS)
+    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
     rows = silver(bronze(spark, sf_dir, source), source, RUN_TS)
     return gold.fact(rows, places, gold.dim_date(spark, RUN_TS), source, RUN_TS)
 
@@ -136,10 +136,9 @@ def fact_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts missed while their governorate had no key, found once the dimension has grown."""
     rows = silver(bronze(spark, sf_dir, "weather"), "weather", RUN_TS)
     days = gold.dim_date(spark, RUN_TS)
-    places = gold.dim_governorate(_standardized(spark, sf_dir, *SOURCES), RUN_TS)
-    known = standardize(bronze(spark, sf_dir, "solar_energy"), "solar_energy", RUN_TS)
-    early = places.join(known.select(F.col("governorate").alias("governorate_name")).distinct(),
-                        "governorate_name", "left_semi").select(*places.columns)
+    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    known = names_of(spark, sf_dir, "solar_energy")[0].withColumnRenamed("governorate", "governorate_name")
+    early = places.join(known, "governorate_name", "left_semi").select(*places.columns)
     stored = gold.fact(rows, early, days, "weather", RUN_TS)
     return gold.repaired(rows, places, days, "weather", RUN_TS, stored)
 

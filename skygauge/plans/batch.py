@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skygauge.operators.quality import quality_report, store_failures, table_counts
+from skygauge.operators.quality import GOLD_CHECKS, quality_report, store_failures, table_counts
 from skygauge.plans import gold
 from skygauge.plans.silver import silver, silver_keys
-from skygauge.schemas import SOURCES, TIME_COLUMN
+from skygauge.schemas import BRONZE_COLUMNS, SOURCES, TIME_COLUMN
 from skygauge.sources.csv_files import bronze_path, load_new_files
 from skygauge.sources.tables import (overwrite_table, read_if_exists, read_table, table_exists,
                                      upsert_table)
@@ -35,13 +35,12 @@ def load_bronze(spark: SparkSession, landing: str, warehouse: str, run_ts, **opt
 
 
 def read_bronze_table(spark: SparkSession, warehouse: str, source: str) -> DataFrame | None:
-    if not _any_load(spark, warehouse, source):
+    """All loads of a source, None before the first one. The declared schema saves reading footers."""
+    path = bronze_path(warehouse, source)
+    if not table_exists(spark, f"{path}/load_id=0"):
         return None
-    return read_table(spark, bronze_path(warehouse, source)).drop("load_id")
-
-
-def _any_load(spark: SparkSession, warehouse: str, source: str) -> bool:
-    return table_exists(spark, f"{bronze_path(warehouse, source)}/load_id=0")
+    schema = f"{BRONZE_COLUMNS[source]}, load_timestamp TIMESTAMP_NTZ"
+    return spark.read.schema(schema).parquet(path).drop("load_id")
 
 
 def build_silver(spark: SparkSession, warehouse: str, run_ts) -> None:
@@ -91,8 +90,6 @@ def gold_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 
 def check_gold(spark: SparkSession, warehouse: str) -> DataFrame:
     """The quality report of the gold tables; failing rows are kept below ``audit``."""
-    from skygauge.operators.quality import GOLD_CHECKS
-
     tables = gold_tables(spark, warehouse)
     report = quality_report(tables, {n: c for n, c in GOLD_CHECKS.items() if n in tables})
     store_failures(tables, report, f"{warehouse}/audit")

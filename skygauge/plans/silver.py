@@ -42,6 +42,15 @@ def unusable_rows(bronze: DataFrame, source: str) -> DataFrame:
     return bronze.filter(~F.coalesce(_usable(source), F.lit(False)))
 
 
+def governorates(bronze: DataFrame, source: str) -> DataFrame:
+    """Distinct stored names of the usable rows, without building silver.
+
+    Raw names are reduced first, so the renaming runs once per spelling instead of once per row.
+    """
+    spellings = bronze.filter(F.col("city").isNotNull() & _time(source).isNotNull()).select("city").distinct()
+    return spellings.select(canonical_name("city", source).alias("governorate")).dropna().distinct()
+
+
 def silver(bronze: DataFrame, source: str, run_ts, stored: DataFrame | None = None) -> DataFrame:
     """New silver rows of a source, one per key: all, or those above the stored high-water mark."""
     fresh = newer_than(bronze, stored, "load_timestamp")

@@ -14,6 +14,7 @@ from skygauge.operators.keyed import latest_per_key, merge_frames
 
 PERIOD = "period"
 _PENDING = "__pending"
+_SCHEMA = "__schema"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -52,10 +53,21 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The table with the columns of all its files."""
+    """The table with the columns of all its files.
+
+    A keyed table keeps its schema beside it, so no file footers are read to find the columns.
+    """
+    if table_exists(spark, path + _SCHEMA):
+        return spark.read.schema(spark.read.parquet(path + _SCHEMA).schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _keep_schema(df: DataFrame, path: str, stored: DataFrame | None) -> None:
+    """Write the schema, as a table without rows, before the rows that need it."""
+    if stored is None or stored.columns != df.columns:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path + _SCHEMA)
+
+
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table for its writer, a cut-off write completed first; None if there is none."""
     _publish(spark, path)
@@ -68,7 +80,8 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     _publish(df.sparkSession, path)
 
 
-def _write_pending(df: DataFrame, path: str, sort_by: Sequence[str]) -> None:
+def _write_pending(df: DataFrame, path: str, sort_by: Sequence[str], stored: DataFrame | None = None) -> None:
+    _keep_schema(df, path, stored)
     # The rebalance puts each period into few files, and lets Spark split a period that is too large.
     (df.hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, *sort_by)
      .write.mode("overwrite").partitionBy(PERIOD).parquet(path + _PENDING))
@@ -92,6 +105,11 @@ def _publish(spark: SparkSession, path: str) -> None:
         remove_path(spark, pending)
 
 
+def _period_last(df: DataFrame) -> DataFrame:
+    """Columns in the order a partitioned table is read in."""
+    return df.select(*[c for c in df.columns if c != PERIOD], PERIOD)
+
+
 def _move(spark: SparkSession, source: str, target: str) -> None:
     """Put a folder or file in the place of another; a rename, so no data passes through Spark."""
     fs, place = _filesystem(spark, target)
@@ -124,8 +142,9 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
         # One value per calendar day or month: bounded by the time span, and it prunes the scan.
         periods = [r[0] for r in newest.select(PERIOD).distinct().collect()]
         if periods:
-            target = read_table(spark, path).filter(F.col(PERIOD).isin(periods))
-            _write_pending(merge_frames(target, newest, [*keys, PERIOD]), path, keys)
+            stored = read_table(spark, path)
+            target = stored.filter(F.col(PERIOD).isin(periods))
+            _write_pending(_period_last(merge_frames(target, newest, [*keys, PERIOD])), path, keys, stored)
     finally:
         newest.unpersist()
     _publish(spark, path)
@@ -144,13 +163,14 @@ def replace_range(fresh: DataFrame, path: str, time_column: str, start, end, sor
     first_day, last_day = str(bounds[2]), str(bounds[3])
     time = F.col(time_column)
     fresh = fresh.filter((time >= lo) & (time < hi)).withColumn(PERIOD, F.to_date(time_column))
-    stored_days = []
+    stored_days, stored = [], None
     if table_exists(spark, path):
         stored_days = [p for p in _periods(spark, path) if first_day <= p.split("=", 1)[1] <= last_day]
         days = F.col(PERIOD).between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))
-        kept = read_table(spark, path).filter(days & ((time < lo) | (time >= hi)))
-        fresh = kept.unionByName(fresh, allowMissingColumns=True)
-    _write_pending(fresh, path, sort_by)
+        stored = read_table(spark, path)
+        kept = stored.filter(days & ((time < lo) | (time >= hi)))
+        fresh = _period_last(kept.unionByName(fresh, allowMissingColumns=True))
+    _write_pending(fresh, path, sort_by, stored)
     emptied = set(stored_days) - set(_periods(spark, path + _PENDING))
     _publish(spark, path)
     for day in emptied:

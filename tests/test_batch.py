@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skygauge.operators.quality import GOLD_CHECKS, quality_report
 from skygauge.plans import batch, gold
-from skygauge.plans.silver import silver, silver_keys, standardize, unusable_rows
+from skygauge.plans.silver import governorates, silver, silver_keys, standardize, unusable_rows
 from skygauge.schemas import BRONZE_COLUMNS, MEASURES, SOURCES, column_names
 from skygauge.sources.csv_files import (count_files, files_to_copy, list_files, load_new_files, read_bronze,
                                         require_files)
@@ -111,6 +111,7 @@ def test_two_cities_of_one_governorate(spark):
     result = silver(rows, "weather", RUN).collect()
     assert [(r["governorate"], r["temperature_2m_mean"]) for r in result] == [("MATROUH", 2.0)]
     assert unusable_rows(rows, "weather").count() == 3
+    assert [tuple(r) for r in governorates(rows, "weather").collect()] == [("MATROUH",)]
     assert standardize(rows, "weather", RUN).columns == [
         "governorate", "date", *MEASURES["weather"].values(), "load_timestamp", "transform_timestamp"]
     assert silver_keys("weather") == ["date", "governorate"]
