@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygauge.operators.quality import GOLD_CHECKS, quality_report, store_failures, table_counts
 from skygauge.plans import gold
 from skygauge.plans.silver import silver, silver_keys
 from skygauge.schemas import BRONZE_COLUMNS, SOURCES, TIME_COLUMN
-from skygauge.sources.csv_files import bronze_path, load_new_files
+from skygauge.session import shuffles_for
+from skygauge.sources.csv_files import bronze_path, list_files, load_new_files
 from skygauge.sources.tables import (overwrite_table, read_if_exists, read_table, table_exists,
                                      upsert_table)
 
@@ -96,6 +97,10 @@ def check_gold(spark: SparkSession, warehouse: str) -> DataFrame:
     return report
 
 
+def landed_bytes(spark: SparkSession, landing: str) -> int:
+    return list_files(spark, landing).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def bronze_counts(spark: SparkSession, warehouse: str) -> DataFrame:
     tables = {s: read_bronze_table(spark, warehouse, s) for s in SOURCES}
     return table_counts({s: t for s, t in tables.items() if t is not None})
@@ -103,9 +108,14 @@ def bronze_counts(spark: SparkSession, warehouse: str) -> DataFrame:
 
 def run_batch(spark: SparkSession, landing: str, warehouse: str, run_ts, refresh_dimensions: bool = False,
               repair_facts: bool = False, **load_options) -> DataFrame:
-    """One whole run over the new files; returns the quality report."""
+    """One whole run over the new files; returns the quality report.
+
+    ``run_ts`` is the load time of the new rows, and must be later than that of the runs before: the
+    incremental filters compare with it.
+    """
     load_bronze(spark, landing, warehouse, run_ts, **load_options)
-    build_silver(spark, warehouse, run_ts)
-    build_dimensions(spark, warehouse, run_ts, refresh_dimensions)
-    build_facts(spark, warehouse, run_ts, repair_facts)
-    return check_gold(spark, warehouse)
+    with shuffles_for(spark, landed_bytes(spark, landing)):
+        build_silver(spark, warehouse, run_ts)
+        build_dimensions(spark, warehouse, run_ts, refresh_dimensions)
+        build_facts(spark, warehouse, run_ts, repair_facts)
+        return check_gold(spark, warehouse)

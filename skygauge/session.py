@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CONF = "spark.sql.shuffle.partitions"
+SHUFFLE_BYTES = 128 << 20
 
 
 def build_session(app: str, master: str | None = None, **conf) -> SparkSession:
@@ -35,15 +40,28 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the cluster names none (a test on one machine) is a folder made here.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="skygauge-")
-        spark.conf.set(CHECKPOINT_CONF, folder)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="skygauge-"))
+    return (folder or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/skygauge/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Enough shuffle partitions for the input, so that one fits into the memory of a task.
+
+    The session's setting is raised only; adaptive execution merges partitions that turn out small.
+    """
+    before = spark.conf.get(SHUFFLE_CONF)
+    needed = math.ceil(input_bytes / SHUFFLE_BYTES)
+    if needed > int(before):
+        spark.conf.set(SHUFFLE_CONF, needed)
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CONF, before)

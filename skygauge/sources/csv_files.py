@@ -83,11 +83,13 @@ def read_bronze(spark: SparkSession, folder: str, source: str, load_timestamp,
 
 
 def load_new_files(spark: SparkSession, landing: str, warehouse: str, source: str, load_timestamp,
-                   files_per_batch: int | None = None, null_sentinel: float | None = None,
+                   bytes_per_batch: str | None = None, null_sentinel: float | None = None,
                    file_glob: str | None = None) -> None:
     """Add the files not loaded before to the bronze table of a source.
 
-    Files are matched by name (``FILE_GLOBS``) unless ``file_glob`` says otherwise.
+    Files are matched by name (``FILE_GLOBS``) unless ``file_glob`` says otherwise. With
+    ``bytes_per_batch`` (such as "500g") a large backlog is loaded in steps; a run that stops goes on
+    after the last complete step.
 
     The file stream's checkpoint is the ledger of loaded files, by file name. Every micro-batch
     overwrites its own ``load_id`` folder, so a repeated batch leaves no double rows.
@@ -95,8 +97,8 @@ def load_new_files(spark: SparkSession, landing: str, warehouse: str, source: st
     stream = spark.readStream.schema(_text_schema(source)).options(**_csv_options(source, file_glob))
     # Old files count as well: the default would pass over files a week older than the newest.
     stream = stream.option("maxFileAge", "36500d").option("fileNameOnly", "true")
-    if files_per_batch:
-        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        stream = stream.option("maxBytesPerTrigger", bytes_per_batch)
     text = stream.csv(landing).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
     def write(batch: DataFrame, batch_id: int) -> None:

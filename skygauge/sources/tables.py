@@ -105,6 +105,20 @@ def _publish(spark: SparkSession, path: str) -> None:
         remove_path(spark, pending)
 
 
+def _without_outdated(updates: DataFrame, target: DataFrame, keys: Sequence[str],
+                      order_by: Sequence[str]) -> DataFrame:
+    """Updates without those that are older than the stored row.
+
+    The inner join carries keys and order only, and broadcasts the updates if they are small.
+    """
+    if not set(order_by) <= set(target.columns):
+        return updates
+    old = target.select(*keys, F.struct(*order_by).alias("_old"))
+    new = updates.select(*keys, F.struct(*order_by).alias("_new"))
+    outdated = old.join(new, list(keys)).filter(F.col("_old") > F.col("_new")).select(*keys)
+    return updates.join(outdated, list(keys), "left_anti").select(*updates.columns)
+
+
 def _period_last(df: DataFrame) -> DataFrame:
     """Columns in the order a partitioned table is read in."""
     return df.select(*[c for c in df.columns if c != PERIOD], PERIOD)
@@ -121,8 +135,9 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
 
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str],
                  time_column: str, grain: str = "month") -> None:
-    """Insert or replace rows by key; of several updates of one key the newest counts.
+    """Insert or replace rows by key; the newest row of a key by ``order_by`` stays, stored or new.
 
+    So loads may come twice or out of order; of rows with equal order the new one counts.
     ``time_column`` must be part of the key or determined by it. Only the periods in the updates
     are read and written. The merged periods are first written aside in full, then put in the place
     of the old ones; if the run stops in between, the next upsert finishes that step. One writer at
@@ -144,7 +159,9 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
         if periods:
             stored = read_table(spark, path)
             target = stored.filter(F.col(PERIOD).isin(periods))
-            _write_pending(_period_last(merge_frames(target, newest, [*keys, PERIOD])), path, keys, stored)
+            match = [*keys, PERIOD]
+            current = _without_outdated(newest, target, match, order_by)
+            _write_pending(_period_last(merge_frames(target, current, match)), path, keys, stored)
     finally:
         newest.unpersist()
     _publish(spark, path)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skygauge.operators.quality import GOLD_CHECKS, quality_report
 from skygauge.plans import batch, gold
 from skygauge.plans.silver import governorates, silver, silver_keys, standardize, unusable_rows
+from skygauge.session import SHUFFLE_CONF, shuffles_for
 from skygauge.schemas import BRONZE_COLUMNS, MEASURES, SOURCES, column_names
 from skygauge.sources.csv_files import (count_files, files_to_copy, list_files, load_new_files, read_bronze,
                                         require_files)
@@ -75,6 +76,24 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert sorted(r[0].day for r in loaded.select("load_timestamp").collect()) == [1, 2]
 
 
+def test_a_backlog_is_loaded_in_steps(spark, tmp_path):
+    landing, house = tmp_path / "landing", str(tmp_path / "house")
+    for n in (1, 2, 3):
+        put(landing, f"weather_{n}.csv", WEATHER_HEADER, weather_line("Giza", f"2024-01-0{n}"))
+    load_new_files(spark, str(landing), house, "weather", RUN, bytes_per_batch="1")
+    assert batch.read_bronze_table(spark, house, "weather").count() == 3
+    assert len(list((tmp_path / "house" / "bronze" / "weather").glob("load_id=*"))) == 3
+
+
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get(SHUFFLE_CONF)
+    with shuffles_for(spark, 1 << 40):
+        assert int(spark.conf.get(SHUFFLE_CONF)) == 8192
+    with shuffles_for(spark, 10):
+        assert spark.conf.get(SHUFFLE_CONF) == before
+    assert spark.conf.get(SHUFFLE_CONF) == before
+
+
 def test_file_listing(spark, tmp_path):
     put(tmp_path / "a", "air_pollution_weather.csv", "h")
     put(tmp_path / "a", "Solar_Energy_1.csv", "h")

@@ -71,13 +71,17 @@ UPDATES = st.lists(st.tuples(st.integers(1, 4), st.sampled_from("AB"), st.floats
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(batches=st.lists(UPDATES, min_size=1, max_size=3))
 def test_upsert_properties(spark, tmp_path_factory, batches):
-    """A repeated batch changes nothing, and the table equals the newest row of each key."""
-    path = str(tmp_path_factory.mktemp("upsert") / "t")
+    """A repeated batch changes nothing, batches may come in any order, and the newest row of each key stays."""
+    folder = tmp_path_factory.mktemp("upsert")
+    path, reverse = str(folder / "t"), str(folder / "r")
     frames = [frame(spark, [(d(n, month=1 + n % 3), p, load, v) for n, p, v in batch])
               for load, batch in enumerate(batches)]
     for f in frames:
         upsert_table(f, path, ["day", "place"], ["loaded"], "day")
         upsert_table(f, path, ["day", "place"], ["loaded"], "day")
+    for f in reversed(frames):
+        upsert_table(f, reverse, ["day", "place"], ["loaded"], "day")
+    assert rows(read_table(spark, reverse)) == rows(read_table(spark, path))
     everything = frames[0]
     for f in frames[1:]:
         everything = everything.union(f)
@@ -95,6 +99,13 @@ def test_upsert_touches_only_its_periods(spark, tmp_path):
     assert rows(read_table(spark, str(path))) == [(d(1), "A", 1, 1.0), (d(1, 2), "A", 2, 9.0)]
 
 
+def test_an_older_load_does_not_replace_a_newer_row(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for load, v in ((2, 5.0), (1, 9.0), (2, 6.0)):
+        upsert_table(frame(spark, [(d(1), "A", load, v)]), path, ["day", "place"], ["loaded"], "day")
+    assert rows(read_table(spark, path)) == [(d(1), "A", 2, 6.0)]
+
+
 def test_upsert_adds_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_table(frame(spark, [(d(1), "A", 1, 1.0), (d(1, 2), "A", 1, 2.0)]), path, ["day", "place"], ["loaded"], "day")
