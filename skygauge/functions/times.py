@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _col(c: Column | str) -> Column:
@@ -37,6 +37,15 @@ def utc_wall_clock(instant: Column | str) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), _col(instant).cast("timestamp_ntz"))
 
 
+def is_instant(df: DataFrame, column: str) -> bool:
+    return dict(df.dtypes)[column] == "timestamp"
+
+
+def utc_day(value: Column, instant: bool) -> Column:
+    """Day of a time: of an instant its day in UTC, so that it does not depend on the session zone."""
+    return F.to_date(utc_wall_clock(value) if instant else value)
+
+
 def from_epoch(seconds: Column | str) -> Column:
     return F.timestamp_seconds(_col(seconds))
 

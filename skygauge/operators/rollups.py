@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.functions.times import bucket
+from skygauge.functions.times import bucket, is_instant, utc_day, utc_instant
+from skygauge.operators.pruning import between_times, from_time
 
 HOURLY, DAILY = "1 hour", "1 day"
 
@@ -39,6 +40,11 @@ def minute_average(readings: DataFrame, metric: str, name: str) -> DataFrame:
             .select(F.col("w.start").alias("time"), name))
 
 
+def in_buckets(readings: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Readings of the buckets that start in [start, end)."""
+    return between_times(readings, "timestamp", start, end).filter(F.col("timestamp") < end)
+
+
 def refresh_rollup(stored: DataFrame, readings: DataFrame, rollup, start: Column, end: Column) -> DataFrame:
     """``stored`` with the buckets that start in [start, end) computed anew from ``readings``.
 
@@ -46,7 +52,7 @@ def refresh_rollup(stored: DataFrame, readings: DataFrame, rollup, start: Column
     a plain comparison, so only its files are read.
     """
     inside = (F.col("bucket") >= start) & (F.col("bucket") < end)
-    fresh = rollup(readings.filter((F.col("timestamp") >= start) & (F.col("timestamp") < end)))
+    fresh = rollup(in_buckets(readings, start, end))
     return stored.filter(~inside).unionByName(fresh)
 
 
@@ -59,15 +65,17 @@ def refresh_range(readings: DataFrame, width: str, start_offset: str, end_offset
 
 
 def retained(readings: DataFrame, as_of: Column | DataFrame, days: int, column: str = "timestamp") -> DataFrame:
-    """Rows of the day chunks that end after ``days`` before ``as_of``.
+    """Rows of the day chunks (UTC days of instants) that end after ``days`` before ``as_of``.
 
     ``as_of`` is a timestamp, or readings whose newest time counts.
     """
+    instant = is_instant(readings, column)
     if isinstance(as_of, DataFrame):
-        first_day = as_of.agg(F.date_sub(F.to_date(F.max(column)), days).alias("first_day")).scalar()
+        first_day = as_of.agg(F.date_sub(utc_day(F.max(column), instant), days).alias("first_day")).scalar()
     else:
-        first_day = F.date_sub(F.to_date(as_of), days)
-    return readings.filter(F.col(column) >= first_day)
+        first_day = F.date_sub(utc_day(as_of, instant), days)
+    midnight = first_day.cast("timestamp_ntz")
+    return from_time(readings, column, utc_instant(midnight) if instant else midnight)
 
 
 def partition_stats(readings: DataFrame) -> DataFrame:

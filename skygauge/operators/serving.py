@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skygauge import lookups as L
 from skygauge.functions.times import seconds_between
 from skygauge.operators.keyed import latest_per_key
+from skygauge.operators.pruning import between_times, from_time
 
 LATEST_COLUMNS = (
     "governorate", "timestamp", "main_temp", "main_feels_like", "main_humidity", "wind_speed",
@@ -20,7 +21,7 @@ NEWEST_METRICS = ("main_temp", "main_humidity", "wind_speed", "main_pressure", "
 
 def in_range(df: DataFrame, start, end, column: str = "recorded_at") -> DataFrame:
     """Dashboard time filter, both ends included."""
-    return df.filter(F.col(column).between(start, end))
+    return between_times(df, column, start, end)
 
 
 def match_region(df: DataFrame, pattern: str, column: str = "governorate") -> DataFrame:
@@ -38,10 +39,10 @@ def since(df: DataFrame, as_of: DataFrame | Column, interval: str, column: str =
         bound = as_of.agg((F.max(column) - back).alias("bound")).scalar()
     else:
         bound = as_of - back
-    return df.filter(F.col(column) > bound)
+    return from_time(df, column, bound, included=False)
 
 
-def newest_of_regions(readings: DataFrame, time: str) -> DataFrame:
+def newest_of_regions(readings: DataFrame, time: str, columns: Sequence[str]) -> DataFrame:
     """Newest row of each region by ``time``.
 
     No region's newest row is older than the oldest of these newest times. That time comes from a
@@ -50,11 +51,12 @@ def newest_of_regions(readings: DataFrame, time: str) -> DataFrame:
     """
     newest = readings.groupBy("governorate").agg(F.max(time).alias(time))
     oldest = newest.agg(F.min(time).alias("oldest")).scalar()
-    return latest_per_key(readings.filter(F.col(time) >= oldest), ["governorate"], [time])
+    recent = from_time(readings, time, oldest).select(*columns)
+    return latest_per_key(recent, ["governorate"], [time])
 
 
 def latest_weather(readings: DataFrame) -> DataFrame:
-    return newest_of_regions(readings.select(*LATEST_COLUMNS), "timestamp")
+    return newest_of_regions(readings, "timestamp", LATEST_COLUMNS)
 
 
 def latest_by_max_id(readings: DataFrame, id_column: str = "id") -> DataFrame:
@@ -87,7 +89,7 @@ def statistics_table(readings: DataFrame) -> DataFrame:
     """Newest reading of each region by recording time, under the display names of the table."""
     columns = ("governorate", "main_temp", "main_humidity", "wind_speed", "main_pressure",
                "weather_main", "recorded_at")
-    newest = newest_of_regions(readings.select(*columns), "recorded_at")
+    newest = newest_of_regions(readings, "recorded_at", columns)
     return (newest
             .withColumns({"main_temp": F.round("main_temp", 1), "wind_speed": F.round("wind_speed", 2)})
             .withColumnsRenamed({

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
-from skygauge.operators.rollups import DAILY, HOURLY, refresh_range, weather_daily, weather_hourly
+from skygauge.operators.rollups import DAILY, HOURLY, in_buckets, refresh_range, weather_daily, weather_hourly
 from skygauge.sources.tables import replace_range
 
 
@@ -27,8 +27,7 @@ POLICIES = {
 
 def refresh(readings: DataFrame, path: str, name: str, start: Column, end: Column) -> None:
     """Compute the buckets that start in [start, end) anew; only the days of the range are rewritten."""
-    inside = (F.col("timestamp") >= start) & (F.col("timestamp") < end)
-    fresh = POLICIES[name].rollup(readings.filter(inside))
+    fresh = POLICIES[name].rollup(in_buckets(readings, start, end))
     replace_range(fresh, path, "bucket", start, end, ["bucket", "governorate"])
 
 

@@ -1,7 +1,7 @@
 """Parquet tables: full overwrite, keyed upsert by period, retention, and a JDBC sink.
 
-A keyed table is partitioned by ``period``, a day or month derived from its key, so that a key
-always lives in one partition and an upsert rewrites only the partitions it touches.
+A keyed table is partitioned by ``period``, a day or month derived from its key (in UTC for instants),
+so that a key always lives in one partition and an upsert rewrites only the partitions it touches.
 """
 
 from __future__ import annotations
@@ -10,9 +10,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from skygauge.functions.times import is_instant, ts_literal, utc_day, utc_instant, utc_wall_clock
 from skygauge.operators.keyed import latest_per_key, merge_frames
+from skygauge.operators.pruning import PERIOD
 
-PERIOD = "period"
 _PENDING = "__pending"
 _SCHEMA = "__schema"
 
@@ -145,7 +146,7 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     """
     spark = updates.sparkSession
     _publish(spark, path)
-    day = F.to_date(time_column)
+    day = utc_day(F.col(time_column), is_instant(updates, time_column))
     period = day if grain == "day" else F.trunc(day, grain)
     newest = latest_per_key(updates, keys, order_by).withColumn(PERIOD, period)
     if not table_exists(spark, path):
@@ -174,12 +175,19 @@ def replace_range(fresh: DataFrame, path: str, time_column: str, start, end, sor
     """
     spark = fresh.sparkSession
     _publish(spark, path)
-    last = F.to_date(end - F.expr("INTERVAL 1 MICROSECOND"))
-    bounds = spark.range(1).select(start.alias("lo"), end.alias("hi"), F.to_date(start), last).first()
-    lo, hi = F.lit(bounds[0]).cast("timestamp_ntz"), F.lit(bounds[1]).cast("timestamp_ntz")
-    first_day, last_day = str(bounds[2]), str(bounds[3])
+    instant = is_instant(fresh, time_column)
+
+    def text(bound):
+        return (utc_wall_clock(bound) if instant else bound).cast("timestamp_ntz").cast("string")
+
+    def literal(bound: str):
+        return utc_instant(ts_literal(bound)) if instant else ts_literal(bound)
+
+    last = end - F.expr("INTERVAL 1 MICROSECOND")
+    bounds = spark.range(1).select(text(start), text(end), utc_day(start, instant), utc_day(last, instant)).first()
+    lo, hi, first_day, last_day = literal(bounds[0]), literal(bounds[1]), str(bounds[2]), str(bounds[3])
     time = F.col(time_column)
-    fresh = fresh.filter((time >= lo) & (time < hi)).withColumn(PERIOD, F.to_date(time_column))
+    fresh = fresh.filter((time >= lo) & (time < hi)).withColumn(PERIOD, utc_day(time, instant))
     stored_days, stored = [], None
     if table_exists(spark, path):
         stored_days = [p for p in _periods(spark, path) if first_day <= p.split("=", 1)[1] <= last_day]

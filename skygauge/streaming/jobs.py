@@ -80,7 +80,7 @@ def append_jdbc(readings: DataFrame, url: str, table: str, driver: str, checkpoi
 
 
 def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint: str,
-                    interval: str | None = "30 seconds") -> StreamingQuery:
+                    interval: str | None = "30 seconds", unit: str = "celsius") -> StreamingQuery:
     """Message text to the reading table; unusable messages go to the quarantine folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse(batch).persist()
@@ -88,7 +88,7 @@ def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint
             rejected(parsed).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
             good = accepted(parsed)
             if not good.isEmpty():
-                upsert_table(flat_readings(good), table, READING_KEY, ["processed_at"], "timestamp",
+                upsert_table(flat_readings(good, unit=unit), table, READING_KEY, ["processed_at"], "timestamp",
                              grain="day")
         finally:
             parsed.unpersist()

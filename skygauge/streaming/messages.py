@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skygauge.functions.names import partition_of
 from skygauge.functions.times import from_epoch, utc_wall_clock
+from skygauge.functions.units import in_celsius
 from skygauge.schemas import API_RESPONSE, MESSAGE, READING_FIELDS, column_names
 
 ROUNDED = ("main_temp", "main_feels_like", "main_temp_min", "main_temp_max", "wind_speed")
@@ -84,8 +85,11 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~_usable()).select("value")
 
 
-def flat_readings(parsed: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Parsed messages as rows of the reading table: 33 columns and ``processed_at``."""
+def flat_readings(parsed: DataFrame, processed_at: Column | None = None, unit: str = "celsius") -> DataFrame:
+    """Parsed messages as rows of the reading table: 33 columns and ``processed_at``.
+
+    The table is in Celsius; ``unit`` says in what unit the messages are.
+    """
     columns = []
     for name in column_names(READING_FIELDS):
         field = F.col(f"data.{name}")
@@ -94,6 +98,7 @@ def flat_readings(parsed: DataFrame, processed_at: Column | None = None) -> Data
         elif name == "recorded_at":
             field = F.try_to_timestamp(field, F.lit(RECORDED_FORMAT))
         columns.append(field.alias(RENAMED.get(name, name)))
-    return (parsed.select("governorate", F.col("partition").alias("kafka_partition"),
-                          from_epoch("timestamp").alias("timestamp"), *columns)
+    flat = parsed.select("governorate", F.col("partition").alias("kafka_partition"),
+                         from_epoch("timestamp").alias("timestamp"), *columns)
+    return (in_celsius(flat, unit)
             .withColumn("processed_at", F.current_timestamp() if processed_at is None else processed_at))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skygauge.functions.times import utc_instant, utc_wall_clock
 from skygauge.operators import places, quality, rollups, serving
 from skygauge.plans import health, rollup_tables
-from skygauge.sources.tables import read_table
+from skygauge.sources.tables import read_table, upsert_table
 from skygauge.streaming import jobs
 from skygauge.streaming.messages import (accepted, deliverable, envelopes, flat_readings, flatten_answers, parse,
                                          rejected, unknown_region)
@@ -59,6 +59,11 @@ def test_message_round_trip(spark):
     assert reading["recorded_at"] == dt.datetime(2025, 10, 29, 17, 8, 11)
 
 
+def test_kelvin_messages_become_celsius(spark):
+    parsed = accepted(parse(envelopes(flat(spark, ANSWER), at("2025-10-29 14:10:00"))))
+    assert flat_readings(parsed, unit="kelvin").first()["main_temp_max"] == 28.33
+
+
 def test_unknown_regions_are_put_aside(spark):
     both = envelopes(flat(spark, ANSWER).unionByName(flat(spark, ANSWER, "Sharqia")), at("2025-10-29 14:10:00"))
     assert [r["key"] for r in deliverable(both).collect()] == ["Cairo"]
@@ -177,6 +182,36 @@ def test_refresh_of_a_stored_rollup(spark, ntz, tmp_path):
     assert read_table(spark, path).count() == 2
 
 
+@pytest.mark.parametrize("instant", [False, True])
+def test_stored_tables_do_not_depend_on_the_session_zone(spark, ntz, tmp_path, instant):
+    """Written in one zone, refreshed, upserted, read and pruned in another."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rows = ntz([reading("Cairo", "01:00:00", 1.0), reading("Cairo", "23:30:00", 2.0)], READING)
+    rows = rows.withColumn("processed_at", F.col("timestamp"))
+    convert = utc_instant if instant else F.col
+
+    def hour(h):
+        wall_clock = F.lit(f"2024-01-01 {h:02d}:00:00").cast("timestamp_ntz")
+        return utc_instant(wall_clock) if instant else wall_clock
+    table, hourly = str(tmp_path / "t"), str(tmp_path / "h")
+    try:
+        for name in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            data = rows.withColumn("timestamp", convert("timestamp"))
+            upsert_table(data, table, ["timestamp", "governorate"], ["processed_at"], "timestamp", grain="day")
+            stored = read_table(spark, table)
+            rollup_tables.refresh(stored, hourly, "weather_hourly", hour(0), hour(2))
+            assert stored.count() == 2
+            assert read_table(spark, hourly).count() == 1
+            assert [r["main_temp"] for r in serving.since(stored, stored, "1 HOUR").collect()] == [2.0]
+            assert [r["main_temp"] for r in serving.latest_weather(
+                stored.withColumns({c: F.lit(1) for c in serving.LATEST_COLUMNS if c not in stored.columns})).collect()] == [2.0]
+            assert rollups.retained(stored, stored, days=0).count() == 2
+        assert [p.name for p in (tmp_path / "t").glob("period=*")] == ["period=2024-01-01"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_health(spark, ntz, tmp_path):
     now = F.lit("2024-01-01 02:00:00").cast("timestamp_ntz")
     path = str(tmp_path / "t")
@@ -193,10 +228,27 @@ def test_health(spark, ntz, tmp_path):
 
 def test_newest_of_regions_keeps_silent_regions(spark, ntz):
     rows = ntz([reading("Cairo", f"{h:02d}:00:00", float(h)) for h in range(24)] + [reading("Giza", "00:00:00", 9.0)], READING)
-    got = serving.newest_of_regions(rows, "timestamp")
+    got = serving.newest_of_regions(rows, "timestamp", ["governorate", "timestamp", "main_temp"])
     assert {r["governorate"]: r["main_temp"] for r in got.collect()} == {"Cairo": 23.0, "Giza": 9.0}
 
 
+def test_recent_queries_leave_out_old_day_folders(spark, ntz, tmp_path):
+    rows = ntz([reading("Cairo", "01:00:00")], READING)
+    rows = rows.unionByName(rows.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 40 DAYS")))
+    rows = rows.withColumns({c: F.col("timestamp") for c in ("recorded_at", "processed_at")}).withColumns(
+        {c: F.lit("x") for c in ("weather_main", "weather_description")}).withColumn("main_feels_like", F.lit(1.0))
+    path = str(tmp_path / "t")
+    upsert_table(rows, path, ["timestamp", "governorate"], ["processed_at"], "timestamp", grain="day")
+    stored = read_table(spark, path)
+    for df, count in ((serving.since(stored, stored, "1 HOUR"), 1), (serving.latest_weather(stored), 1),
+                      (rollups.retained(stored, stored, days=90), 2), (rollups.retained(stored, stored, days=10), 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert any("PartitionFilters: [isnotnull(period" in line for line in plan.splitlines())
+        assert df.count() == count
+    start, end = (F.lit(f"2024-01-01 {t}").cast("timestamp_ntz") for t in ("00:00:00", "02:00:00"))
+    assert serving.in_range(stored, start, end, "timestamp").count() == 1
+
+
 def test_retention_keeps_whole_days(spark, ntz):
     rows = ntz([("2024-01-01 23:59:59",), ("2024-01-02 00:00:00",), ("2024-01-04 12:00:00",)], "timestamp TIMESTAMP_NTZ")
     kept = rollups.retained(rows, F.lit("2024-01-04 12:00:00").cast("timestamp_ntz"), days=2)
