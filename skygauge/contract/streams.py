@@ -117,6 +117,17 @@ def stream_rollup_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("bucket", utc_wall_clock("bucket")))
 
 
+@query(S.with_readings("""SELECT governorate, kafka_partition, "timestamp", main_temp, main_humidity,
+    CAST("timestamp" AS DATE) AS period FROM readings"""))
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table that every reading is appended to once, in day folders; the stream holds each one twice."""
+    place = scratch_path(spark, "append")
+    once = _stream(spark, sf_dir).select("governorate", "kafka_partition", "timestamp", "main_temp", "main_humidity")
+    twice = once.unionByName(once)
+    jobs.append_readings(twice, f"{place}/table", f"{place}/checkpoint", interval=None).awaitTermination()
+    return read_table(spark, f"{place}/table").withColumn("timestamp", utc_wall_clock("timestamp"))
+
+
 _COLUMNS = ("main_temp", "main_humidity", "wind_speed", "weather_main", "kafka_partition")
 
 

@@ -49,8 +49,8 @@ def _files(spark: SparkSession, path: str) -> list[str]:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True once a write to the path has completed."""
-    return path_exists(spark, f"{path}/_SUCCESS")
+    """True once a write to the path has completed, or a stream has written to it."""
+    return any(path_exists(spark, f"{path}/{mark}") for mark in ("_SUCCESS", "_spark_metadata"))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -66,7 +66,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def _keep_schema(df: DataFrame, path: str, stored: DataFrame | None) -> None:
     """Write the schema, as a table without rows, before the rows that need it."""
     if stored is None or stored.columns != df.columns:
-        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path + _SCHEMA)
+        df.limit(0).write.mode("overwrite").parquet(path + _SCHEMA)  # planned as an empty relation
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

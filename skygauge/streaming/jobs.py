@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from skygauge.functions.times import utc_day
+from skygauge.lookups import RETENTION_DAYS
+from skygauge.operators.pruning import PERIOD
 from skygauge.operators.rollups import weather_daily, weather_hourly
 from skygauge.sources.tables import upsert_table, write_jdbc
 from skygauge.streaming.messages import accepted, flat_readings, parse, rejected
@@ -57,9 +60,26 @@ def write_files(stream: DataFrame, path: str, checkpoint: str, interval: str | N
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
+def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds",
+                    delay: str = HOURLY_DELAY, keep: str = f"{RETENTION_DAYS}d") -> StreamingQuery:
+    """Append each reading once, in day folders; for rates at which rewriting a day is too much.
+
+    The stream drops repeats within ``delay`` and the file sink commits every micro-batch once, so
+    nothing is rewritten. Files written longer ago than ``keep`` are no longer part of the table.
+    """
+    rows = distinct_readings(readings, delay).withColumn(PERIOD, utc_day(F.col("timestamp"), instant=True))
+    return (rows.writeStream.format("parquet").option("path", path).option("retention", keep)
+            .partitionBy(PERIOD).outputMode("append").option("checkpointLocation", checkpoint)
+            .trigger(**_trigger(interval)).start())
+
+
 def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
                     interval: str | None = "30 seconds") -> StreamingQuery:
-    """Keep the reading table by key, in day partitions. A repeated micro-batch changes nothing."""
+    """Keep the reading table by key, in day partitions. A repeated micro-batch changes nothing.
+
+    Each micro-batch rewrites the days it touches: for readings that may be restated, at moderate
+    rates. ``append_readings`` serves high rates.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             upsert_table(batch, path, READING_KEY, ["processed_at"], "timestamp", grain="day")
@@ -85,7 +105,9 @@ def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse(batch).persist()
         try:
-            rejected(parsed).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+            bad = rejected(parsed)
+            if not bad.isEmpty():
+                bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
             good = accepted(parsed)
             if not good.isEmpty():
                 upsert_table(flat_readings(good, unit=unit), table, READING_KEY, ["processed_at"], "timestamp",

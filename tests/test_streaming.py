@@ -108,6 +108,24 @@ def test_ingest_over_several_batches_and_a_restart(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "table").glob("period=*")) == ["period=1970-01-01", "period=1970-01-02"]
 
 
+def test_append_writes_each_reading_once(spark, tmp_path):
+    def run():
+        stream = jobs.read_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema,
+                                 files_per_trigger=1)
+        readings = flat_readings(accepted(parse(stream)), F.current_timestamp())
+        jobs.append_readings(readings, str(tmp_path / "t"), str(tmp_path / "c"), interval=None).awaitTermination()
+        return sorted((r["governorate"], r["main_temp"]) for r in read_table(spark, str(tmp_path / "t")).collect())
+
+    land(spark, tmp_path / "in", message("Cairo", 100, 1.0), message("Cairo", 100, 1.0), message("Giza", 90000, 2.0))
+    assert run() == [("Cairo", 1.0), ("Giza", 2.0)]
+    kept = {p.name for p in (tmp_path / "t").rglob("*.parquet")}
+    land(spark, tmp_path / "in", message("Giza", 90000, 2.0), message("Giza", 90001, 3.0))
+    assert run() == [("Cairo", 1.0), ("Giza", 2.0), ("Giza", 3.0)]
+    assert kept < {p.name for p in (tmp_path / "t").rglob("*.parquet")}        # nothing was rewritten
+    now = F.lit("1970-01-02 01:30:00").cast("timestamp")
+    assert health.check_table(spark, str(tmp_path / "t"), now).first()["records"] == 2
+
+
 READING = ("governorate STRING, kafka_partition INT, timestamp TIMESTAMP_NTZ, main_temp DOUBLE, main_temp_min DOUBLE, "
            "main_temp_max DOUBLE, main_humidity INT, wind_speed DOUBLE, main_pressure INT, visibility INT, clouds_all INT")
 
