@@ -3,7 +3,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+import __spark_entry__ as entry
+from skygauge.contract import all_check_sql, all_queries
 from tools.compare import TABLES, compare
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -19,15 +20,16 @@ def db():
 
 
 def test_every_query_has_its_check():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(all_check_sql()) == set(all_queries())
+    assert set(all_queries()) <= set(entry.queries()) and set(all_check_sql()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_its_check(spark, db, name):
-    line = compare(spark, db, name, contract.queries()[name], contract.oracle_sql().get(name), SF_DIR)
+    line = compare(spark, db, name, all_queries()[name], all_check_sql().get(name), SF_DIR)
     assert line.startswith("ok") and "TYPES" not in line, line
 
 
 def test_entry(spark):
-    df = contract.entry(spark)
+    df = entry.entry(spark)
     assert df.columns[0] == "weather_key" and df.count() > 0
