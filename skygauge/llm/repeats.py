@@ -162,10 +162,30 @@ def _frames(parts: Iterator[Arrays], names: list[str], rows: int = 200_000) -> I
         yield frame()
 
 
-def _flags(text: Text, phrases) -> np.ndarray:
+def _packed(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` with arrays of small numbers as bits, an eighth of a byte for each number up to the largest."""
+    def bits(numbers) -> bytes:
+        if numbers is None or not len(numbers):
+            return b""
+        flags = np.zeros(int(max(numbers)) + 1, bool)
+        flags[np.asarray(numbers, np.int64)] = True
+        return np.packbits(flags, bitorder="little").tobytes()
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[KEY].assign(**{c: [bits(x) for x in batch[c]] for c in columns})
+
+    return rows.select(*KEY, *columns).mapInPandas(
+        pack, "key_id long, key_hash long, " + ", ".join(f"{c} binary" for c in columns))
+
+
+def _numbers(bits: bytes | None) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bits or b"", np.uint8), bitorder="little"))
+
+
+def _flags(text: Text, phrases: bytes | None) -> np.ndarray:
     flags = np.zeros(len(text.bounds) - 1, bool)
-    if phrases is not None:
-        flags[np.asarray(phrases, np.int64)] = True
+    flags[_numbers(phrases)] = True
     return flags
 
 
@@ -214,7 +234,7 @@ def _string_rows(texts: DataFrame, cut: Cut) -> DataFrame:
                 text = Text(octets, cut)
                 top, _ = text.tops(_flags(text, repeated))
                 for some, flag in ((phrases, 0), (settled, 1)):
-                    some = np.asarray(some, np.int64)
+                    some = _numbers(some)
                     firsts = text.bounds[some]
                     sizes = top[some] - firsts + 1
                     starts = np.repeat(firsts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
@@ -243,8 +263,8 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
     """
     texts = _keyed(docs)
     long = texts.where(F.length("octets") >= cut.size)
-    repeated = materialized(_shared(_phrase_rows(long, cut)).groupBy(*KEY).agg(
-        F.collect_set("phrase").alias("phrases")))
+    repeated = materialized(_packed(_shared(_phrase_rows(long, cut)).groupBy(*KEY).agg(
+        F.collect_set("phrase").alias("phrases")), "phrases"))
     places = materialized(_undecided_rows(long, repeated, cut))
     classes = places.where("suffix != 0").groupBy("suffix").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "phrase")).alias("first")).where("n > 1")
@@ -257,24 +277,25 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.max(~F.col("settled")).alias("open")).where("n > 1 and open")
     asked = asked.join(meeting.select("after", F.lit(True).alias("meets")), "after", "left").where(
         "after = 0 or wide or meets")
-    wanted = materialized(asked.groupBy(*KEY).agg(
+    wanted = materialized(_packed(asked.groupBy(*KEY).agg(
         F.collect_set(F.when(~F.col("settled"), F.col("phrase"))).alias("open"),
-        F.collect_set(F.when(F.col("settled"), F.col("phrase"))).alias("settled")).join(repeated, KEY, "left"))
+        F.collect_set(F.when(F.col("settled"), F.col("phrase"))).alias("settled")), "open", "settled")
+        .join(repeated, KEY, "left"))
     strings = _string_rows(_marked(long.select(*KEY, "octets"), wanted, "inner"), cut)
     found = _shared(strings).where("at % 2 = 0").groupBy(*KEY).agg(F.collect_set(F.expr("at div 2")).alias("starts"))
     sure = decided.where("settled").groupBy(*KEY).agg(F.collect_set("phrase").alias("sure"))
-    marks = materialized(found.join(sure, KEY, "full"))
+    marks = materialized(_packed(found.join(sure, KEY, "full"), "starts", "sure"))
 
     def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for octets, starts, sure_phrases in zip(batch["octets"], batch["starts"], batch["sure"]):
-                parts = [] if starts is None else [np.asarray(starts, np.int64)]
-                if sure_phrases is not None:
+                parts = [_numbers(starts)]
+                if sure_phrases:
                     text = Text(octets, cut)
                     firsts, lasts = text.bounds[:-1], text.last_starts()
-                    parts += [np.arange(firsts[k], lasts[k] + 1) for k in sure_phrases]
-                out.append(_runs(np.unique(np.concatenate(parts)), cut.size) if parts else [])
+                    parts += [np.arange(firsts[k], lasts[k] + 1) for k in _numbers(sure_phrases)]
+                out.append(_runs(np.concatenate(parts), cut.size))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "octets": batch["octets"], "spans": out})
 
     return _marked(texts, marks, "left").select("doc_id", "octets", "starts", "sure").mapInPandas(
