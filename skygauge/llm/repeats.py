@@ -18,7 +18,6 @@ Classes are counted map-side and joined back, so one that a third of the texts s
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -286,36 +285,35 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
     sure = decided.where("settled").groupBy(*KEY).agg(F.collect_set("phrase").alias("sure"))
     marks = materialized(_packed(found.join(sure, KEY, "full"), "starts", "sure"))
 
-    def spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<array<long>>")
+    def spans(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for batch in batches:
             out = []
-            for octets, starts, sure_phrases in zip(batch["octets"], batch["starts"], batch["sure"]):
+            for octets, starts, phrases in zip(*batch):
                 parts = [_numbers(starts)]
-                if sure_phrases:
+                if phrases:
                     text = Text(octets, cut)
                     firsts, lasts = text.bounds[:-1], text.last_starts()
-                    parts += [np.arange(firsts[k], lasts[k] + 1) for k in _numbers(sure_phrases)]
+                    parts += [np.arange(firsts[k], lasts[k] + 1) for k in _numbers(phrases)]
                 out.append(_runs(np.concatenate(parts), cut.size))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "octets": batch["octets"], "spans": out})
+            yield pd.Series(out, dtype=object)
 
-    return _marked(texts, marks, "left").select("doc_id", "octets", "starts", "sure").mapInPandas(
-        spans, "doc_id long, octets binary, spans array<array<long>>")
+    marked = _marked(texts, marks, "left")
+    none = F.array().cast("array<array<long>>")
+    some = F.col("starts").isNotNull() | F.col("sure").isNotNull()
+    octets = F.when(some, F.col("octets"))  # what isn't marked needn't reach Python
+    return marked.select("doc_id", "octets", spans(F.coalesce(octets, F.lit(b"")), "starts", "sure").alias("spans")).withColumn(
+        "spans", F.coalesce("spans", none))
 
 
 def digest(found: DataFrame) -> DataFrame:
     """Of each row of :func:`repeated_spans` the number of bytes and runs, and the SHA-256 of the bytes that stay."""
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for octets, spans in zip(batch["octets"], batch["spans"]):
-                kept, at = hashlib.sha256(), 0
-                for first, end in spans:
-                    kept.update(octets[at:first])
-                    at = end
-                kept.update(octets[at:])
-                out.append((len(octets), sum(int(e - f) for f, e in spans), len(spans), kept.hexdigest()))
-            frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
-            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None))
-            yield frame.astype({"doc_id": "Int64"})
-
-    return found.mapInPandas(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    kept = F.expr("""
+        aggregate(spans, named_struct('at', 0L, 'kept', cast('' as binary)),
+          (a, s) -> named_struct('at', s[1], 'kept', concat(a.kept, substring(octets, cast(a.at + 1 as int), cast(s[0] - a.at as int)))),
+          a -> concat(a.kept, substring(octets, cast(a.at + 1 as int))))""")
+    return found.select(
+        "doc_id", F.length("octets").cast("long").alias("n_bytes"),
+        F.expr("aggregate(spans, 0L, (a, s) -> a + s[1] - s[0])").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.when(F.size("spans") == 0, F.col("octets")).otherwise(kept), 256).alias("kept_sha256"))
