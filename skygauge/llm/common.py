@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.session import shared_dir
+from skygauge.session import scratch_path, shared_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -30,6 +30,13 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the same folder, for larger ones that are read more than once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_within(df: DataFrame, most_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``most_rows`` rows, else as it is (a shuffled join).
 

@@ -19,26 +19,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from skygauge.llm.common import id_remainder, materialized, whole_text
+from skygauge.llm.common import id_remainder, stored, whole_text
 from skygauge.llm.encoding import vocabulary_path
 
-#: At most so many words of at most so many characters are broadcast: the bound of that table, 32 MB.
-FREQUENT_WORDS, FREQUENT_CHARS = 500_000, 64
+#: At most so many words of at most so many bytes are broadcast: the bound of that table, 32 MB.
+FREQUENT_WORDS, FREQUENT_BYTES = 500_000, 64
 VOCABULARY = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 #: Stands for the end of a text among the words; no word holds white space.
-END = "\n"
+END = b"\n"
 SMOOTHING = 0.1
 LONG_WORD = 64
 FLUSH_WORDS = 200_000
 LOG10 = math.log(10)
 
 
-def words_of(text: str) -> list[str]:
-    """Maximal runs without the white space of ASCII, A to Z lower-cased."""
-    return [w.decode() for w in text.encode("utf-8", "replace").lower().split()]
+def words_of(octets: bytes) -> list[bytes]:
+    """Of a text in UTF-8 the maximal runs without the white space of ASCII, A to Z lower-cased."""
+    return octets.lower().split()  # of bytes, so no other letters and spaces are meant
 
 
 def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
@@ -70,16 +71,20 @@ class Lattice:
         self.index = {p: k for k, p in enumerate(pieces)}
         self.longest = max(map(len, pieces))
         self.log_p = np.append(log_p, -np.inf)
-        keys = np.array([self._key(p) for p in pieces], dtype=np.uint64)
         self.bits = max(12, (4 * len(pieces)).bit_length())
-        size = 1 << self.bits
-        self.keys, self.ids = np.zeros(size, np.uint64), np.full(size, len(pieces), np.int32)
-        self.probes = 1
-        for key, k in zip(keys.tolist(), range(len(pieces))):
-            at, tries = key >> (64 - self.bits), 1
-            while self.ids[at] != len(pieces):
-                at, tries = (at + 1) % size, tries + 1
-            self.keys[at], self.ids[at], self.probes = key, k, max(self.probes, tries)
+        size, nothing = 1 << self.bits, len(pieces)
+        self.keys, self.ids = np.zeros(size, np.uint64), np.full(size, nothing, np.int32)
+        for key, k in zip(map(self._key, pieces), range(nothing)):
+            at = key >> (64 - self.bits)  # one of two places; whoever is there moves to the other one
+            for _ in range(500):
+                held_key, held = int(self.keys[at]), int(self.ids[at])
+                self.keys[at], self.ids[at] = key, k
+                if held == nothing:
+                    break
+                first = held_key >> (64 - self.bits)
+                key, k, at = held_key, held, (held_key & (size - 1)) if at == first else first
+            else:
+                raise ValueError("the pieces don't fit into the table")
 
     def _key(self, piece: bytes) -> int:
         value = len(piece)
@@ -90,12 +95,11 @@ class Lattice:
 
     def _lookup(self, state: np.ndarray, length: int) -> np.ndarray:
         key = (state ^ np.uint64(length)) * self.MIX
-        at = (key >> np.uint64(64 - self.bits)).astype(np.int64)
-        found = np.full(len(key), len(self.index), np.int32)
-        for probe in range(self.probes):
-            place = (at + probe) & (len(self.keys) - 1)
-            found = np.where(self.keys[place] == key, self.ids[place], found)
-        return found
+        first = (key >> np.uint64(64 - self.bits)).view(np.int64)
+        second = (key & np.uint64(len(self.keys) - 1)).view(np.int64)
+        nothing = np.int32(len(self.index))
+        found = np.where(self.keys[first] == key, self.ids[first], nothing)
+        return np.where(self.keys[second] == key, np.minimum(found, self.ids[second]), found)
 
     def _edges(self, octets: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
         """For each start and end the id of that piece in each word, where any word has one."""
@@ -200,8 +204,8 @@ def word_counts(docs: DataFrame, trained: str) -> DataFrame:
                     yield flush()
         yield flush()
 
-    rows = docs.select(whole_text().alias("text"), F.col(trained).alias("train"))
-    return rows.mapInPandas(per_task, "word string, n_train long, n_all long").groupBy("word").agg(
+    rows = docs.select("text", F.col(trained).alias("train"))
+    return rows.mapInPandas(per_task, "word binary, n_train long, n_all long").groupBy("word").agg(
         F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all"))
 
 
@@ -211,7 +215,7 @@ def piece_scores(words: DataFrame, pieces: list[bytes], log_p: np.ndarray, round
     What comes back to the driver in a round is one number a piece, so the vocabulary bounds it.
     """
     context = words.sparkSession.sparkContext
-    ends = words.where(F.col("word") == END).agg(F.sum("n_train")).first()[0] or 0
+    ends = words.where(F.col("word") == F.lit(END)).agg(F.sum("n_train")).first()[0] or 0
     log_end = math.log(0.05)
     for _ in range(rounds):
         shared = context.broadcast((pieces, log_p))
@@ -219,12 +223,12 @@ def piece_scores(words: DataFrame, pieces: list[bytes], log_p: np.ndarray, round
         def expectation(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             lattice, total = Lattice(*shared.value), np.zeros(len(shared.value[0]))
             for batch in batches:
-                octets = [b" " + w.encode() for w in batch["word"]]
+                octets = [b" " + w for w in batch["word"]]
                 total += lattice.expected(octets, batch["n_train"].to_numpy(dtype=float))
             some = np.flatnonzero(total)
             yield pd.DataFrame({"piece": some.astype(np.int32), "n": total[some]})
 
-        counted = words.where((F.col("n_train") > 0) & (F.col("word") != END)).select("word", "n_train")
+        counted = words.where((F.col("n_train") > 0) & (F.col("word") != F.lit(END))).select("word", "n_train")
         sums = counted.mapInPandas(expectation, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n"))
         n = np.full(len(pieces), SMOOTHING)
         for row in sums.collect():
@@ -256,9 +260,9 @@ def score(docs: DataFrame, path: str | None = None, folds: int = 10, rounds: int
     """
     spark = docs.sparkSession
     pieces, log_p = vocabulary(path or vocabulary_path(VOCABULARY))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().cast("binary").alias("text"),
                        (id_remainder("doc_id", folds) != 0).alias("train"))
-    counts = materialized(word_counts(rows, "train"))
+    counts = stored(word_counts(rows, "train"), "words")
     summed = counts.agg(F.sum("n_train").alias("n"), F.sum("n_all").alias("all"),
                         F.sum((F.col("n_train") > 0).cast("long")).alias("v")).first()
     totals = Totals(summed["n"] or 0, summed["v"] or 0)
@@ -269,12 +273,12 @@ def score(docs: DataFrame, path: str | None = None, folds: int = 10, rounds: int
         own_pieces, own_log_p, own_end = model.value
         lattice = Lattice(own_pieces, own_log_p)
         for batch in batches:
-            found = lattice.marginals([b" " + w.encode() for w in batch["word"]])
-            found = np.where(batch["word"] == END, own_end, found) / LOG10
+            found = lattice.marginals([b" " + w for w in batch["word"]])
+            found = np.where([w == END for w in batch["word"]], own_end, found) / LOG10
             yield batch.assign(log10_p=found)
 
-    known = materialized(counts.mapInPandas(word_scores, "word string, n_train long, n_all long, log10_p double"))
-    hot = (F.col("n_all") >= (summed["all"] or 0) / frequent_words) & (F.length("word") <= FREQUENT_CHARS)
+    known = stored(counts.mapInPandas(word_scores, "word binary, n_train long, n_all long, log10_p double"), "scores")
+    hot = (F.col("n_all") >= (summed["all"] or 0) / frequent_words) & (F.length("word") <= FREQUENT_BYTES)
     frequent = known.where(hot).select("word", "n_train", "log10_p").toPandas()  # at most frequent_words rows
     table = spark.sparkContext.broadcast(dict(zip(frequent["word"], zip(
         (frequent["n_train"] > 0).tolist(), totals.base(frequent["n_train"].to_numpy()).tolist(),
@@ -282,40 +286,46 @@ def score(docs: DataFrame, path: str | None = None, folds: int = 10, rounds: int
 
     def per_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hot_words = table.value
+        row = TaskContext.get().partitionId() << 33  # the same if the task runs again
         for batch in batches:
-            out = []
+            rows, words, counted_in, own = [], [], [], []
             for doc_id, text, train in zip(batch["doc_id"], batch["text"], batch["train"]):
                 found = Counter(words_of(text))
                 found[END] = 1
-                n_known, base, own, rest = 0, 0.0, 0.0, []
+                n_known, base, log10_p, held = 0, 0.0, 0.0, len(words)
                 for word, n in found.items():
                     if (hot_word := hot_words.get(word)) is None:
-                        rest.append((word, n))
+                        words.append(word)
+                        counted_in.append(n)
                     else:
                         n_known += n * hot_word[0]
                         base += n * hot_word[1]
-                        own += n * hot_word[2]
-                out.append((doc_id, not train, sum(found.values()), n_known, base, own, rest))
-            names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"]
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-
-    schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, "
-              "rest array<struct<word: string, n: int>>")
-    parts = rows.mapInPandas(per_document, schema).withColumn("row", F.monotonically_increasing_id())
-    own = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-    spread = parts.select("row", *own, F.explode_outer("rest").alias("rest")).select(
-        "row", *own, F.col("rest.word").alias("word"), F.col("rest.n").alias("n"))
+                        log10_p += n * hot_word[2]
+                words.append(END + row.to_bytes(8))  # no word, so it meets none
+                counted_in.append(0)
+                rows.append(np.full(len(words) - held, row))
+                own += [None] * (len(words) - held - 1)
+                own.append({"doc_id": None if pd.isna(doc_id) else int(doc_id), "held_out": not train,
+                            "n_tokens": found.total(), "n_known": n_known, "base_score": base, "score": log10_p})
+                row += 1
+            if rows:
+                yield pd.DataFrame({"row": np.concatenate(rows), "word": words, "n": np.array(counted_in, np.int32),
+                                    "own": own})
+
+    schema = ("row long, word binary, n int, own struct<doc_id: long, held_out: boolean, n_tokens: long, n_known: long, "
+              "base_score: double, score: double>")
+    spread = rows.mapInPandas(per_document, schema)
     counted = known.where(~hot).select("word", "n_train", "log10_p")
     bottom = totals.tokens + SMOOTHING * (totals.distinct + 1)
     base = F.log10((F.col("n_train") + SMOOTHING) / F.lit(bottom))
     joined = spread.join(counted, "word", "left").select(
-        "row", *own, F.when(F.col("n_train") > 0, F.col("n")).otherwise(0).alias("more_known"),
-        F.coalesce(F.col("n") * base, F.lit(0.0)).alias("more_base"),
-        F.coalesce(F.col("n") * F.col("log10_p"), F.lit(0.0)).alias("more_score"))
+        "row", "own", F.when(F.col("n_train") > 0, F.col("n")).otherwise(0).alias("n_known"),
+        F.coalesce(F.col("n") * base, F.lit(0.0)).alias("base"),
+        F.coalesce(F.col("n") * F.col("log10_p"), F.lit(0.0)).alias("log10_p"))
     return joined.groupBy("row").agg(
-        *[F.first(c).alias(c) for c in own], F.sum("more_known").alias("more_known"),
-        F.sum("more_base").alias("more_base"), F.sum("more_score").alias("more_score")).select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.col("more_known")).alias("n_known"),
+        F.first("own", ignorenulls=True).alias("own"), F.sum("n_known").alias("n_known"),
+        F.sum("base").alias("base"), F.sum("log10_p").alias("log10_p")).select(
+        "own.doc_id", "own.held_out", "own.n_tokens", (F.col("own.n_known") + F.col("n_known")).alias("n_known"),
         F.lit(totals.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.col("more_base")).alias("base_score"),
-        (F.col("score") + F.col("more_score")).alias("score"))
+        (F.col("own.base_score") + F.col("base")).alias("base_score"),
+        (F.col("own.score") + F.col("log10_p")).alias("score"))
