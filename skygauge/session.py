@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,11 +38,14 @@ def build_session(app: str, master: str | None = None, **conf) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (a test on one machine) is a folder made here.
+    Only where none is named and all runs in one process (a test) is a folder made here; a cluster
+    has to name one, as its machines don't see each other's folders.
     """
     folder = spark.conf.get(CHECKPOINT_CONF, None)
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="skygauge-"))
     return (folder or context.getCheckpointDir()).rstrip("/")
 

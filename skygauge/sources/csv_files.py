@@ -13,22 +13,26 @@ from skygauge.schemas import BRONZE_COLUMNS, SOURCES, column_names
 
 FILE_GLOBS = {s: f"*{s}*.csv" for s in SOURCES}
 SOURCE_FILE = "source_file"
+#: The whole line, where it has too few or too many fields; and its name among the columns that don't fit.
+MALFORMED, FIELD_COUNT = "_malformed", "field_count"
 
 
 def _csv_options(source: str, file_glob: str | None = None) -> dict[str, str]:
-    return {"sep": ",", "header": "true", "enforceSchema": "true", "quote": '"', "nullValue": "",
-            "mode": "PERMISSIVE", "pathGlobFilter": file_glob or FILE_GLOBS[source],
-            "recursiveFileLookup": "true"}
+    return {"sep": ",", "header": "true", "enforceSchema": "true", "quote": '"', "escape": '"', "nullValue": "",
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED, "pathGlobFilter": file_glob or FILE_GLOBS[source],
+            "recursiveFileLookup": "true",
+            # A line has the wrong number of fields or not, whichever of them a query needs.
+            "columnPruning": "false"}
 
 
 def _text_schema(source: str) -> StructType:
-    return StructType.fromDDL(", ".join(f"{c} STRING" for c in column_names(BRONZE_COLUMNS[source])))
+    return StructType.fromDDL(", ".join(f"{c} STRING" for c in [*column_names(BRONZE_COLUMNS[source]), MALFORMED]))
 
 
 def read_text(spark: SparkSession, folder: str, source: str, file_glob: str | None = None) -> DataFrame:
     """Fields of all files of a source as text, by position; the header is skipped, not matched.
 
-    Missing trailing fields are NULL and extra fields are ignored.
+    A quote within a quoted field is doubled. A line with too few or too many fields is kept whole in ``MALFORMED``.
     """
     raw = spark.read.schema(_text_schema(source)).options(**_csv_options(source, file_glob)).csv(folder)
     return raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
@@ -51,11 +55,12 @@ def _misfit(column: str, type_name: str) -> Column:
 
 
 def any_misfit(source: str) -> Column:
-    return reduce(operator.or_, [_misfit(n, kind) for n, kind in _fields(source).items() if kind != "STRING"])
+    misfits = [_misfit(n, kind) for n, kind in _fields(source).items() if kind != "STRING"]
+    return reduce(operator.or_, misfits, F.col(MALFORMED).isNotNull())
 
 
 def bronze_rows(text: DataFrame, source: str, load_timestamp, null_sentinel: float | None = None) -> DataFrame:
-    """Typed rows of the text rows whose fields all fit.
+    """Typed rows of the text rows with the right number of fields, all of which fit.
 
     ``null_sentinel`` (such as -999) turns that measure into NULL.
     """
@@ -68,8 +73,10 @@ def bronze_rows(text: DataFrame, source: str, load_timestamp, null_sentinel: flo
 
 
 def rejected_rows(text: DataFrame, source: str, load_timestamp) -> DataFrame:
-    """The other text rows, as they came, with the names of the fields that do not fit."""
-    bad = [F.when(_misfit(n, kind), F.lit(n)) for n, kind in _fields(source).items() if kind != "STRING"]
+    """The other text rows, as they came, with the names of the fields that do not fit, or ``FIELD_COUNT``."""
+    ragged = F.col(MALFORMED).isNotNull()
+    bad = [F.when(~ragged & _misfit(n, kind), F.lit(n)) for n, kind in _fields(source).items() if kind != "STRING"]
+    bad.append(F.when(ragged, F.lit(FIELD_COUNT)))
     return (text.filter(any_misfit(source)).withColumn("bad_columns", F.array_compact(F.array(*bad)))
             .withColumn("load_timestamp", ts_literal(load_timestamp)))
 
@@ -91,12 +98,12 @@ def load_new_files(spark: SparkSession, landing: str, warehouse: str, source: st
     ``bytes_per_batch`` (such as "500g") a large backlog is loaded in steps; a run that stops goes on
     after the last complete step.
 
-    The file stream's checkpoint is the ledger of loaded files, by file name. Every micro-batch
+    The file stream's checkpoint is the ledger of loaded files, by full path. Every micro-batch
     overwrites its own ``load_id`` folder, so a repeated batch leaves no double rows.
     """
     stream = spark.readStream.schema(_text_schema(source)).options(**_csv_options(source, file_glob))
     # Old files count as well: the default would pass over files a week older than the newest.
-    stream = stream.option("maxFileAge", "36500d").option("fileNameOnly", "true")
+    stream = stream.option("maxFileAge", "36500d")
     if bytes_per_batch:
         stream = stream.option("maxBytesPerTrigger", bytes_per_batch)
     text = stream.csv(landing).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))

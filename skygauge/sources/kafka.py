@@ -15,11 +15,14 @@ PRODUCER_OPTIONS = {
 
 
 def read_messages(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
-                  max_offsets_per_trigger: int | None = 100, **options: str) -> DataFrame:
-    """Stream of a topic; the message text is in ``value``."""
+                  max_offsets_per_trigger: int | None = None, **options: str) -> DataFrame:
+    """Stream of a topic; the message text is in ``value``.
+
+    Messages that the topic has dropped before they were read are an error; ``options`` may say otherwise.
+    """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-              .option("startingOffsets", starting_offsets).option("failOnDataLoss", "false"))
+              .option("startingOffsets", starting_offsets).option("failOnDataLoss", "true"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return reader.options(**options).load()

@@ -125,6 +125,12 @@ def _period_last(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c != PERIOD], PERIOD)
 
 
+def _with_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same rows; a NULL in one of the columns fails the job that reads it."""
+    return df.withColumns({c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is NULL, a part of the key")))
+                           .otherwise(F.col(c)) for c in dict.fromkeys(columns)})
+
+
 def _move(spark: SparkSession, source: str, target: str) -> None:
     """Put a folder or file in the place of another; a rename, so no data passes through Spark."""
     fs, place = _filesystem(spark, target)
@@ -139,7 +145,8 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     """Insert or replace rows by key; the newest row of a key by ``order_by`` stays, stored or new.
 
     So loads may come twice or out of order; of rows with equal order the new one counts.
-    ``time_column`` must be part of the key or determined by it. Only the periods in the updates
+    ``time_column`` must be part of the key or determined by it. A row without it, or without a part
+    of the key, is an error: set such rows aside before. Only the periods in the updates
     are read and written. The merged periods are first written aside in full, then put in the place
     of the old ones; if the run stops in between, the next upsert finishes that step. One writer at
     a time.
@@ -148,7 +155,7 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     _publish(spark, path)
     day = utc_day(F.col(time_column), is_instant(updates, time_column))
     period = day if grain == "day" else F.trunc(day, grain)
-    newest = latest_per_key(updates, keys, order_by).withColumn(PERIOD, period)
+    newest = latest_per_key(_with_keys(updates, [*keys, time_column]), keys, order_by).withColumn(PERIOD, period)
     if not table_exists(spark, path):
         _write_pending(newest, path, keys)
         _publish(spark, path)

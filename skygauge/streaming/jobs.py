@@ -7,7 +7,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from skygauge.functions.times import utc_day
-from skygauge.lookups import RETENTION_DAYS
 from skygauge.operators.pruning import PERIOD
 from skygauge.operators.rollups import weather_daily, weather_hourly
 from skygauge.sources.tables import upsert_table, write_jdbc
@@ -26,6 +25,7 @@ def read_files(spark: SparkSession, path: str, schema: StructType, file_format:
     reader = spark.readStream.schema(schema).format(file_format)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    path = path.rstrip("/")
     return reader.load(f"{path[:-1]}[{path[-1]}]")
 
 
@@ -61,28 +61,34 @@ def write_files(stream: DataFrame, path: str, checkpoint: str, interval: str | N
 
 
 def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds",
-                    delay: str = HOURLY_DELAY, keep: str = f"{RETENTION_DAYS}d") -> StreamingQuery:
+                    delay: str = HOURLY_DELAY) -> StreamingQuery:
     """Append each reading once, in day folders; for rates at which rewriting a day is too much.
 
     The stream drops repeats within ``delay`` and the file sink commits every micro-batch once, so
-    nothing is rewritten. Files written longer ago than ``keep`` are no longer part of the table.
+    nothing is rewritten. Old days go by reading time, with ``drop_periods_before``.
     """
     rows = distinct_readings(readings, delay).withColumn(PERIOD, utc_day(F.col("timestamp"), instant=True))
-    return (rows.writeStream.format("parquet").option("path", path).option("retention", keep)
+    return (rows.writeStream.format("parquet").option("path", path)
             .partitionBy(PERIOD).outputMode("append").option("checkpointLocation", checkpoint)
             .trigger(**_trigger(interval)).start())
 
 
 def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
-                    interval: str | None = "30 seconds") -> StreamingQuery:
+                    interval: str | None = "30 seconds", quarantine: str | None = None) -> StreamingQuery:
     """Keep the reading table by key, in day partitions. A repeated micro-batch changes nothing.
 
+    Readings without time or governorate go to the ``quarantine`` folder; without one they are an error.
+
     Each micro-batch rewrites the days it touches: for readings that may be restated, at moderate
     rates. ``append_readings`` serves high rates.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            upsert_table(batch, path, READING_KEY, ["processed_at"], "timestamp", grain="day")
+        usable = F.col("timestamp").isNotNull() & F.col("governorate").isNotNull()
+        if quarantine and not (bad := batch.filter(~usable)).isEmpty():
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        rows = batch.filter(usable) if quarantine else batch
+        if not rows.isEmpty():
+            upsert_table(rows, path, READING_KEY, ["processed_at"], "timestamp", grain="day")
 
     return (readings.writeStream.foreachBatch(write).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())

@@ -9,7 +9,7 @@ from skygauge.plans import batch, gold
 from skygauge.plans.silver import governorates, silver, silver_keys, standardize, unusable_rows
 from skygauge.session import SHUFFLE_CONF, shuffles_for
 from skygauge.schemas import BRONZE_COLUMNS, MEASURES, SOURCES, column_names
-from skygauge.sources.csv_files import (count_files, files_to_copy, list_files, load_new_files, read_bronze,
+from skygauge.sources.csv_files import (bronze_path, count_files, files_to_copy, list_files, load_new_files, read_bronze,
                                         require_files)
 from skygauge.sources.tables import read_table
 
@@ -42,18 +42,30 @@ def test_csv_dialect_and_bad_rows(spark, tmp_path):
         weather_line("Giza", "2024-01-03", t2m="warm"),
         weather_line("Giza", "2024-01-04", t2m='""'),
         "Suez,2024-01-05,7.5",
-        weather_line("Qena", "2024-01-06") + ",extra,fields")
+        weather_line("Qena", "2024-01-06") + ",extra,fields",
+        weather_line('"A ""quoted"", name\\"', "2024-01-07"))
     put(tmp_path, "other.csv", "x", "1")
     rows, rejected = read_bronze(spark, str(tmp_path), "weather", RUN)
     got = {r["date"].day: r for r in rows.collect()}
-    assert sorted(got) == [1, 2, 4, 5, 6]
+    assert sorted(got) == [1, 2, 4, 7]
     assert got[1]["city"] == "Port, Said" and got[2]["city"] is None
     assert got[4]["t2m"] is None                      # empty, quoted or not, is NULL
-    assert got[5]["t2m"] == 7.5 and got[5]["ws10m"] is None
+    assert got[7]["city"] == 'A "quoted", name\\'
     assert got[1]["load_timestamp"] == dt.datetime(2025, 1, 1)
     assert rows.columns == [*column_names(BRONZE_COLUMNS["weather"]), "load_timestamp"]
-    assert sorted(r["bad_columns"] for r in rejected.collect()) == [["date"], ["t2m"]]
-    assert rejected.filter(F.col("source_file").endswith("weather_a.csv")).count() == 2
+    assert sorted(r["bad_columns"] for r in rejected.collect()) == [["date"], ["field_count"], ["field_count"], ["t2m"]]
+    assert rejected.filter(F.col("source_file").endswith("weather_a.csv")).count() == 4
+
+
+def test_files_of_one_name_in_two_folders(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for day, folder in ((1, "y2024"), (2, "y2025")):
+        (landing / folder).mkdir(parents=True)
+        put(landing / folder, "weather_a.csv", WEATHER_HEADER, weather_line("Giza", f"2024-01-0{day}"))
+        for _ in range(2):  # the second run finds no new file
+            load_new_files(spark, str(landing), str(tmp_path), "weather", RUN)
+    rows = spark.read.parquet(bronze_path(str(tmp_path), "weather")).collect()
+    assert sorted(r["date"].day for r in rows) == [1, 2]
 
 
 def test_sentinel_becomes_null(spark, tmp_path):

@@ -174,3 +174,12 @@ def test_broadcast_only_when_small(spark):
     large = sizing.broadcast_if_small(spark.range(11), rows=10)
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
     assert hinted(small) and not hinted(large)
+
+
+@pytest.mark.parametrize("row", [(None, "A", 2, 1.0), (d(2), None, 2, 1.0)])
+def test_upsert_refuses_rows_without_their_key(spark, tmp_path, row):
+    path = str(tmp_path / "t")
+    upsert_table(frame(spark, [(d(1), "A", 1, 1.0)]), path, ["day", "place"], ["loaded"], "day")
+    with pytest.raises(Exception, match="a part of the key"):
+        upsert_table(frame(spark, [row, (d(1), "A", 2, 5.0)]), path, ["day", "place"], ["loaded"], "day")
+    assert rows(read_if_exists(spark, path)) == [(d(1), "A", 1, 1.0)]
