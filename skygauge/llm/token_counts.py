@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from skygauge.llm.common import whole_text
+from skygauge.llm.common import materialized, whole_text
 from skygauge.llm.encoding import encoder, vocabulary_path
 
 #: Lengths in one range; the ranges' totals are the only rows that meet in one task.
@@ -44,7 +44,8 @@ def limit_table(hist: DataFrame) -> DataFrame:
     ``tokens_within`` and ``tokens_over`` are their whole tokens; ``truncated_tokens`` is the total if every
     document is cut at the limit; ``quantile`` is the share of documents within. An empty histogram gives no rows.
     """
-    rows = hist.select("context", "n_docs", (F.col("context") * F.col("n_docs")).alias("tokens"),
+    # written first: the sums read it twice, and each time would encode all texts again
+    rows = materialized(hist).select("context", "n_docs", (F.col("context") * F.col("n_docs")).alias("tokens"),
                        F.floor(F.col("context") / RANGE_LENGTHS).alias("range"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy("range").rowsBetween(1, Window.unboundedFollowing)
