@@ -65,11 +65,15 @@ def unknown_region(messages: DataFrame) -> DataFrame:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Message fields next to the message text. Text that is no message gives NULL fields."""
+    """Message fields next to the message text. Text that is no message gives NULL fields.
+
+    What else the topic tells of a message stays, as ``kafka_key``, ``kafka_offset`` and so on.
+    """
     text = F.col("value").cast("string")
-    return (messages.select(text.alias("value"))
-            .select("value", _parsed_once("value", MESSAGE).alias("message"))
-            .select("value", "message.*"))
+    origin = {f"kafka_{c}": c for c in ("key", "topic", "partition", "offset", "timestamp") if c in messages.columns}
+    return (messages.select(text.alias("value"), *[F.col(c).alias(name) for name, c in origin.items()])
+            .select("value", *origin, _parsed_once("value", MESSAGE).alias("message"))
+            .select("value", *origin, "message.*"))
 
 
 def _usable() -> Column:
@@ -81,8 +85,8 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    """Texts without governorate or time, for the quarantine."""
-    return parsed.filter(~_usable()).select("value")
+    """Texts without governorate or time, with their place in the topic, for the quarantine."""
+    return parsed.filter(~_usable()).select("value", *[c for c in parsed.columns if c.startswith("kafka_")])
 
 
 def flat_readings(parsed: DataFrame, processed_at: Column | None = None, unit: str = "celsius") -> DataFrame:
