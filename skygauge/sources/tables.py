@@ -11,11 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygauge.functions.times import is_instant, ts_literal, utc_day, utc_instant, utc_wall_clock
-from skygauge.operators.keyed import latest_per_key, merge_frames
+from skygauge.operators.keyed import latest_per_key
 from skygauge.operators.pruning import PERIOD
+from skygauge.session import shuffles_for
+
+#: Bytes that rows take in a shuffle for each byte of them in a Parquet file; adaptive execution merges what is too much.
+ROW_BYTES = 4
 
 _PENDING = "__pending"
 _SCHEMA = "__schema"
+_NEW = "__new"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -48,6 +53,19 @@ def _files(spark: SparkSession, path: str) -> list[str]:
     return [n for n in _names(spark, path) if n.endswith(".parquet")]
 
 
+def _stored_bytes(spark: SparkSession, path: str, periods: Sequence) -> int:
+    """Bytes on disk of the given periods of a table."""
+    folders = [f"{path}/{PERIOD}={p}" for p in periods]
+    sizes = [folder_bytes(spark, f) for f in folders if path_exists(spark, f)]
+    return sum(sizes)
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files of a folder; reads no contents."""
+    fs, location = _filesystem(spark, path)
+    return fs.getContentSummary(location).getLength()
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True once a write to the path has completed, or a stream has written to it."""
     return any(path_exists(spark, f"{path}/{mark}") for mark in ("_SUCCESS", "_spark_metadata"))
@@ -106,18 +124,15 @@ def _publish(spark: SparkSession, path: str) -> None:
         remove_path(spark, pending)
 
 
-def _without_outdated(updates: DataFrame, target: DataFrame, keys: Sequence[str],
-                      order_by: Sequence[str]) -> DataFrame:
-    """Updates without those that are older than the stored row.
+def merged(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The newest row of each key of both sides, in one aggregation; of equal order a row of ``updates`` counts.
 
-    The inner join carries keys and order only, and broadcasts the updates if they are small.
+    Neither side is joined, so both are read once and shuffled once. Columns that only one side has are NULL
+    on the other. Where the target lacks a column of ``order_by`` its rows give way to the updates.
     """
-    if not set(order_by) <= set(target.columns):
-        return updates
-    old = target.select(*keys, F.struct(*order_by).alias("_old"))
-    new = updates.select(*keys, F.struct(*order_by).alias("_new"))
-    outdated = old.join(new, list(keys)).filter(F.col("_old") > F.col("_new")).select(*keys)
-    return updates.join(outdated, list(keys), "left_anti").select(*updates.columns)
+    both = target.withColumn(_NEW, F.lit(0)).unionByName(updates.withColumn(_NEW, F.lit(1)), allowMissingColumns=True)
+    known = set(order_by) <= set(target.columns)
+    return latest_per_key(both, keys, [*order_by, _NEW] if known else [_NEW, *order_by]).drop(_NEW)
 
 
 def _period_last(df: DataFrame) -> DataFrame:
@@ -155,23 +170,23 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     _publish(spark, path)
     day = utc_day(F.col(time_column), is_instant(updates, time_column))
     period = day if grain == "day" else F.trunc(day, grain)
-    newest = latest_per_key(_with_keys(updates, [*keys, time_column]), keys, order_by).withColumn(PERIOD, period)
+    rows = _with_keys(updates, [*keys, time_column]).withColumn(PERIOD, period)
+    match = [*keys, PERIOD]
     if not table_exists(spark, path):
-        _write_pending(newest, path, keys)
+        _write_pending(_period_last(latest_per_key(rows, match, order_by)), path, keys)
         _publish(spark, path)
         return
-    newest = newest.persist()
+    rows = rows.persist()
     try:
         # One value per calendar day or month: bounded by the time span, and it prunes the scan.
-        periods = [r[0] for r in newest.select(PERIOD).distinct().collect()]
+        periods = [r[0] for r in rows.select(PERIOD).distinct().collect()]
         if periods:
             stored = read_table(spark, path)
             target = stored.filter(F.col(PERIOD).isin(periods))
-            match = [*keys, PERIOD]
-            current = _without_outdated(newest, target, match, order_by)
-            _write_pending(_period_last(merge_frames(target, current, match)), path, keys, stored)
+            with shuffles_for(spark, ROW_BYTES * _stored_bytes(spark, path, periods)):
+                _write_pending(_period_last(merged(target, rows, match, order_by)), path, keys, stored)
     finally:
-        newest.unpersist()
+        rows.unpersist()
     _publish(spark, path)
 
 

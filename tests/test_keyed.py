@@ -183,3 +183,20 @@ def test_upsert_refuses_rows_without_their_key(spark, tmp_path, row):
     with pytest.raises(Exception, match="a part of the key"):
         upsert_table(frame(spark, [row, (d(1), "A", 2, 5.0)]), path, ["day", "place"], ["loaded"], "day")
     assert rows(read_if_exists(spark, path)) == [(d(1), "A", 1, 1.0)]
+
+
+def test_the_merge_shuffles_once_and_reads_each_side_once(spark, tmp_path):
+    stored, update = str(tmp_path / "stored"), str(tmp_path / "update")
+    frame(spark, [(d(1), "A", 2, 5.0), (d(2), "A", 1, 2.0)]).write.parquet(stored)
+    frame(spark, [(d(1), "A", 1, 9.0), (d(2), "A", 1, 7.0), (d(3), "B", 1, 3.0)]).write.parquet(update)
+    result = tables.merged(spark.read.parquet(stored), spark.read.parquet(update), ["day", "place"], ["loaded"])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 2 and "Join" not in plan
+    assert rows(result) == [(d(1), "A", 2, 5.0), (d(2), "A", 1, 7.0), (d(3), "B", 1, 3.0)]
+
+
+def test_a_stored_table_without_the_order_gives_way(spark):
+    old = frame(spark, [(d(1), "A", 9.0), (d(2), "A", 4.0)], "day DATE, place STRING, v DOUBLE")
+    new = frame(spark, [(d(1), "A", None, 1.0)])
+    assert rows(tables.merged(old, new, ["day", "place"], ["loaded"]).select("day", "place", "loaded", "v")) == [
+        (d(1), "A", None, 1.0), (d(2), "A", None, 4.0)]
