@@ -66,24 +66,44 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, field: str) ->
     return child.filter(F.col(column).isNotNull()).join(known, column, "left_anti").select(*child.columns)
 
 
-def _result(failures, check: str, table: str, column: str) -> DataFrame:
-    return failures.select(F.lit(check).alias("check"), F.lit(table).alias("table"),
-                           F.lit(column).alias("column"), F.col("failures"))
+def _lines(failures: DataFrame, check: str, table: str, columns: Sequence[str]) -> DataFrame:
+    """One line of the report for each column of the one row of ``failures``."""
+    return failures.unpivot([], list(columns), "column", "failures").select(
+        F.lit(check).alias("check"), F.lit(table).alias("table"), "column", "failures")
+
+
+def _row_checks(name: str, tables: dict[str, DataFrame], checks: TableChecks) -> DataFrame:
+    """The not-null and relationship checks of a table, in one scan of it.
+
+    Rows are counted per combination of the foreign keys before anything is joined, so a combination that fills
+    the table sends one row per task, and the parents meet counts only.
+    """
+    links = checks.relationships
+    counted = tables[name].groupBy(*dict.fromkeys(r.column for r in links)).agg(
+        F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in checks.not_null])
+    for place, (column, parent, field) in enumerate(links):
+        known = tables[parent].select(F.col(field).alias(column)).distinct().withColumn(f"_known_{place}", F.lit(True))
+        counted = counted.join(known, column, "left")
+    orphans = [F.sum(F.when(F.col(r.column).isNotNull() & F.col(f"_known_{place}").isNull(), F.col("_n")))
+               for place, r in enumerate(links)]
+    sums = [("not_null", c, F.sum(f"_null_{c}")) for c in checks.not_null]
+    sums += [("relationships", r.column, total) for r, total in zip(links, orphans)]
+    found = [F.struct(F.lit(check).alias("check"), F.lit(name).alias("table"), F.lit(column).alias("column"),
+                      F.coalesce(total, F.lit(0)).alias("failures")) for check, column, total in sums]
+    return counted.agg(F.array(*found).alias("found")).select(F.inline("found"))
 
 
 def table_report(name: str, tables: dict[str, DataFrame], checks: TableChecks) -> DataFrame:
-    """Failing-row count of every check of one table. All not-null checks share one scan."""
+    """Failing-row count of every check of one table: one scan for each key, and one for all other checks."""
     df = tables[name]
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in checks.not_null])
-    parts = [nulls.unpivot([], list(checks.not_null), "column", "failures")
-             .select(F.lit("not_null").alias("check"), F.lit(name).alias("table"), "column", "failures")]
+    if checks.relationships:
+        parts = [_row_checks(name, tables, checks)]
+    else:
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in checks.not_null])
+        parts = [_lines(nulls, "not_null", name, checks.not_null)]
     for column in checks.unique:
-        failing = duplicate_keys(df, [column]).agg(F.count("*").alias("failures"))
-        parts.append(_result(failing, "unique", name, column))
-    for column, parent, field in checks.relationships:
-        failing = orphan_keys(df, column, tables[parent], field)
-        failing = failing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
-        parts.append(_result(failing, "relationships", name, column))
+        failing = duplicate_keys(df, [column]).agg(F.count("*").alias(column))
+        parts.append(_lines(failing, "unique", name, [column]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -9,9 +9,9 @@ from skygauge.plans import gold
 from skygauge.plans.silver import silver, silver_keys
 from skygauge.schemas import BRONZE_COLUMNS, SOURCES, TIME_COLUMN
 from skygauge.session import shuffles_for
-from skygauge.sources.csv_files import bronze_path, list_files, load_new_files
-from skygauge.sources.tables import (overwrite_table, read_if_exists, read_table, table_exists,
-                                     upsert_table)
+from skygauge.sources.csv_files import bronze_path, load_new_files
+from skygauge.sources.tables import (ROW_BYTES, folder_bytes, folder_names, overwrite_table, path_exists,
+                                     read_if_exists, read_table, table_exists, upsert_table)
 
 
 def silver_path(warehouse: str, source: str) -> str:
@@ -35,23 +35,57 @@ def load_bronze(spark: SparkSession, landing: str, warehouse: str, run_ts, **opt
         raise RuntimeError(f"bronze load failed for {names}") from failures[0][1]
 
 
-def read_bronze_table(spark: SparkSession, warehouse: str, source: str) -> DataFrame | None:
-    """All loads of a source, None before the first one. The declared schema saves reading footers."""
+def loads(spark: SparkSession, warehouse: str, source: str) -> list[int]:
+    """Numbers of the complete loads of a source: one for each micro-batch that found files."""
     path = bronze_path(warehouse, source)
-    if not table_exists(spark, f"{path}/load_id=0"):
+    if not path_exists(spark, path):
+        return []
+    numbers = [int(n.split("=", 1)[1]) for n in folder_names(spark, path) if n.startswith("load_id=")]
+    return sorted(n for n in numbers if table_exists(spark, f"{path}/load_id={n}"))
+
+
+def read_bronze_table(spark: SparkSession, warehouse: str, source: str, after: int | None = None) -> DataFrame | None:
+    """All loads of a source, None before the first one; with ``after`` only the folders of later loads are opened.
+
+    The declared schema saves reading footers.
+    """
+    path = bronze_path(warehouse, source)
+    if not loads(spark, warehouse, source):
         return None
     schema = f"{BRONZE_COLUMNS[source]}, load_timestamp TIMESTAMP_NTZ"
-    return spark.read.schema(schema).parquet(path).drop("load_id")
+    rows = spark.read.schema(schema).parquet(path)
+    return (rows if after is None else rows.filter(F.col("load_id") > after)).drop("load_id")
+
+
+def _taken_path(warehouse: str, source: str) -> str:
+    return silver_path(warehouse, source) + "__taken"
+
+
+def taken_load(spark: SparkSession, warehouse: str, source: str) -> int | None:
+    """The last load that silver holds; None if silver or the note of it is missing, so that all loads count."""
+    note = read_if_exists(spark, _taken_path(warehouse, source))
+    return None if note is None or not table_exists(spark, silver_path(warehouse, source)) else note.first()["load_id"]
 
 
 def build_silver(spark: SparkSession, warehouse: str, run_ts) -> None:
+    """Bring the loads that silver lacks into it.
+
+    The last load taken is noted once its rows are stored, so neither older loads nor silver itself are read to
+    find out what is new. A run that stops before the note takes its loads again, which the upsert allows. Without
+    a note, the high-water mark of silver decides.
+    """
     for source in SOURCES:
-        bronze = read_bronze_table(spark, warehouse, source)
-        if bronze is None:
-            continue
         path = silver_path(warehouse, source)
-        new = silver(bronze, source, run_ts, read_if_exists(spark, path))
-        upsert_table(new, path, silver_keys(source), ["load_timestamp"], TIME_COLUMN[source])
+        stored, taken = read_if_exists(spark, path), taken_load(spark, warehouse, source)
+        fresh = [n for n in loads(spark, warehouse, source) if taken is None or n > taken]
+        if not fresh:
+            continue
+        size = sum(folder_bytes(spark, f"{bronze_path(warehouse, source)}/load_id={n}") for n in fresh)
+        bronze = read_bronze_table(spark, warehouse, source, taken)
+        with shuffles_for(spark, ROW_BYTES * size):
+            new = silver(bronze, source, run_ts, stored if taken is None else None)
+            upsert_table(new, path, silver_keys(source), ["load_timestamp"], TIME_COLUMN[source])
+        overwrite_table(spark.range(fresh[-1], fresh[-1] + 1).toDF("load_id"), _taken_path(warehouse, source))
 
 
 def build_dimensions(spark: SparkSession, warehouse: str, run_ts, refresh: bool = False) -> None:
@@ -94,16 +128,15 @@ def check_gold(spark: SparkSession, warehouse: str) -> DataFrame:
     tables = gold_tables(spark, warehouse)
     path = f"{warehouse}/audit/report"
     # Stored first: the counts are then read, not computed again, for the failures and by the caller.
-    quality_report(tables, {n: c for n, c in GOLD_CHECKS.items() if n in tables}).write.mode("overwrite").parquet(path)
+    size = sum(folder_bytes(spark, gold_path(warehouse, n)) for n in tables)
+    with shuffles_for(spark, size):  # only keys are shuffled, about the size of the compressed rows
+        checks = {n: c for n, c in GOLD_CHECKS.items() if n in tables}
+        quality_report(tables, checks).write.mode("overwrite").parquet(path)
     report = spark.read.parquet(path)
     store_failures(tables, report, f"{warehouse}/audit")
     return report
 
 
-def landed_bytes(spark: SparkSession, landing: str) -> int:
-    return list_files(spark, landing).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-
-
 def bronze_counts(spark: SparkSession, warehouse: str) -> DataFrame:
     tables = {s: read_bronze_table(spark, warehouse, s) for s in SOURCES}
     return table_counts({s: t for s, t in tables.items() if t is not None})
@@ -117,8 +150,7 @@ def run_batch(spark: SparkSession, landing: str, warehouse: str, run_ts, refresh
     incremental filters compare with it.
     """
     load_bronze(spark, landing, warehouse, run_ts, **load_options)
-    with shuffles_for(spark, landed_bytes(spark, landing)):
-        build_silver(spark, warehouse, run_ts)
-        build_dimensions(spark, warehouse, run_ts, refresh_dimensions)
-        build_facts(spark, warehouse, run_ts, repair_facts)
-        return check_gold(spark, warehouse)
+    build_silver(spark, warehouse, run_ts)
+    build_dimensions(spark, warehouse, run_ts, refresh_dimensions)
+    build_facts(spark, warehouse, run_ts, repair_facts)
+    return check_gold(spark, warehouse)

@@ -39,18 +39,19 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(location, True)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
     fs, location = _filesystem(spark, path)
     return [entry.getPath().getName() for entry in fs.listStatus(location)]
 
 
 def _periods(spark: SparkSession, path: str) -> list[str]:
     """Names of the period folders."""
-    return [n for n in _names(spark, path) if n.startswith(f"{PERIOD}=")]
+    return [n for n in folder_names(spark, path) if n.startswith(f"{PERIOD}=")]
 
 
 def _files(spark: SparkSession, path: str) -> list[str]:
-    return [n for n in _names(spark, path) if n.endswith(".parquet")]
+    return [n for n in folder_names(spark, path) if n.endswith(".parquet")]
 
 
 def _stored_bytes(spark: SparkSession, path: str, periods: Sequence) -> int:

@@ -254,3 +254,38 @@ def test_report_counts(spark):
         ("not_null", "fact_weather", "weather_key"): 1, ("not_null", "fact_weather", "date_key"): 1,
         ("not_null", "fact_weather", "date"): 2,
         ("relationships", "fact_weather", "governorate_key"): 2, ("relationships", "fact_weather", "date_key"): 1}
+
+
+def test_a_run_opens_new_loads_only(spark, tmp_path):
+    landing, house = tmp_path / "landing", str(tmp_path / "house")
+    write_landing(landing, "1")
+    batch.load_bronze(spark, str(landing), house, RUN)
+    assert batch.taken_load(spark, house, "weather") is None
+    batch.build_silver(spark, house, RUN)
+    first = batch.taken_load(spark, house, "weather")
+    assert first == batch.loads(spark, house, "weather")[-1]
+    batch.build_silver(spark, house, RUN)                     # nothing new
+    write_landing(landing, "2", date="2024-01-02")
+    batch.load_bronze(spark, str(landing), house, "2025-02-01 00:00:00")
+    fresh = batch.read_bronze_table(spark, house, "weather", first)
+    assert [r["date"] for r in fresh.collect()] == [day(2)]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_id" in plan and f"> {first})]" in plan
+    batch.build_silver(spark, house, "2025-02-01 00:00:00")
+    rows = read_table(spark, batch.silver_path(house, "weather")).collect()
+    assert sorted((r["date"], r["transform_timestamp"].month) for r in rows) == [(day(1), 1), (day(2), 2)]
+
+
+def test_report_scans_a_fact_twice(spark, tmp_path):
+    columns = {"dim_governorate": "governorate_key INT, governorate_name STRING, region STRING",
+               "dim_date": "date_key INT, date_value DATE, year INT, season STRING",
+               "fact_weather": "weather_key STRING, governorate_key INT, date_key INT, date DATE"}
+    tables = {}
+    for name, ddl in columns.items():
+        spark.createDataFrame([], ddl).write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    report = quality_report(tables, {"fact_weather": GOLD_CHECKS["fact_weather"]})
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 4 and sum("weather_key" in line for line in scans) == 2  # and one of each parent
+    assert {r["failures"] for r in report.collect()} == {0} and report.count() == 7
