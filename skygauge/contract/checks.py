@@ -78,6 +78,33 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(tables)
 
 
+_SHORT = "1995-12-31"
+
+
+@query(f"WITH {S.gold_cte('weather').replace('2030-12-31', _SHORT)} "
+       "SELECT weather_key, governorate_key, date FROM fact_weather WHERE date_key IS NULL")
+def dq_stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts beyond a date dimension that ends early, as the failed check has stored them."""
+    place = scratch_path(spark, "failures")
+    days = gold.dim_date(spark, RUN_TS, end=_SHORT)
+    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    rows = silver(bronze(spark, sf_dir, "weather"), "weather", RUN_TS)
+    gold.fact(rows, places, days, "weather", RUN_TS).write.parquet(f"{place}/fact_weather")
+    tables = {"dim_governorate": places, "dim_date": days, "fact_weather": spark.read.parquet(f"{place}/fact_weather")}
+    checks = {"fact_weather": quality.GOLD_CHECKS["fact_weather"]}
+    quality.store_failures(tables, quality.quality_report(tables, checks), f"{place}/audit")
+    return spark.read.parquet(f"{place}/audit/not_null_fact_weather_date_key").select("weather_key", "governorate_key", "date")
+
+
+_SITE = "CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS name, c_nationkey - 3.0E0 AS lat, c_custkey % 4 - 1.0E0 AS lon"
+
+
+@query(f"SELECT * FROM (SELECT {_SITE} FROM customer) WHERE name IS NOT NULL AND name <> '' AND lat <> 0 AND lon <> 0")
+def site_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as sites, of which those without a name or a coordinate are left out."""
+    return quality.complete_sites(load(spark, sf_dir, "customer").selectExpr(*_SITE.split(", ")))
+
+
 # --- analyses --------------------------------------------------------------------------------
 
 def _facts(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:

@@ -184,6 +184,39 @@ def dash_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latency(readings(spark, sf_dir))
 
 
+@query(S.with_readings(f"SELECT weather_main, count(*) AS count FROM readings WHERE {_IN_RANGE} AND {_IN_REGIONS} GROUP BY 1"))
+def panel_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions in the panel's time range and regions."""
+    return serving.condition_distribution(_panel(spark, sf_dir))
+
+
+@query(S.with_readings(f"""SELECT kafka_partition AS metric, count(*) AS value FROM readings
+    WHERE {_IN_RANGE} AND {_IN_REGIONS} GROUP BY 1"""))
+def panel_message_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.message_count(_panel(spark, sf_dir))
+
+
+@query(S.with_readings(f"""SELECT recorded_at AS time, governorate, epoch(processed_at - recorded_at) AS latency
+    FROM readings WHERE {_IN_RANGE} AND {_IN_REGIONS}"""))
+def panel_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return serving.latency(_panel(spark, sf_dir))
+
+
+@query(S.with_readings(f"""SELECT date_trunc('minute', processed_at) AS time, kafka_partition AS metric, count(*) AS value
+    FROM readings WHERE kafka_partition IN (0, 2) AND {_IN_RANGE.replace('recorded_at', 'processed_at')} GROUP BY 1, 2"""))
+def panel_throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages a minute in a range of their processing time."""
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in (_START, _END))
+    return serving.throughput(serving.in_range(readings(spark, sf_dir), start, end, "processed_at"), "0,2")
+
+
+@query(S.with_readings("""SELECT "timestamp", id, main_pressure FROM readings ORDER BY "timestamp" DESC, id LIMIT 50"""))
+def newest_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pressure of the 50 newest readings; the order makes the panel's limit repeatable."""
+    newest = serving.newest_rows(readings(spark, sf_dir), "timestamp", 50, ["id"])
+    return newest.select("timestamp", "id", "main_pressure")
+
+
 _SHOWN = {"main_temp": "Temperature", "main_humidity": "Humidity"}
 _LONG = " UNION ALL ".join(
     f"SELECT recorded_at AS time, '{shown}' AS metric, CAST({c} AS DOUBLE) AS value FROM readings "

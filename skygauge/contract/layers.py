@@ -22,7 +22,7 @@ from skygauge.plans.silver import governorates, silver, unusable_rows
 from skygauge.schemas import SOURCES
 from skygauge.session import scratch_path
 from skygauge.sources.csv_files import bronze_path, load_new_files, rejected_path
-from skygauge.sources.tables import read_table, upsert_table
+from skygauge.sources.tables import overwrite_table, read_table, upsert_table
 
 
 # --- silver ----------------------------------------------------------------------------------
@@ -336,3 +336,39 @@ def csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, rejected_path(_landed_weather(spark, sf_dir), "weather"))
     return (rows.groupBy(F.array_join("bad_columns", ",").alias("bad_columns"), "city")
             .agg(F.count("*").alias("n")))
+
+
+# City names as a file holds them: quoted with a comma, with doubled quotes, with a last backslash, and plain.
+_SPELLED = ("Port, Said", 'A "quoted" name', "ends with \\", "Giza")
+_QUOTED = ['"' + name.replace('"', '""') + '"' for name in _SPELLED[:3]] + [_SPELLED[3]]
+
+
+@query(f"""WITH lines AS (SELECT CASE o_orderkey % 4 {' '.join(f"WHEN {k} THEN '{n}'" for k, n in enumerate(_SPELLED))} END AS city,
+        CAST(o_orderdate AS DATE) AS date, CAST(o_orderkey % 50 AS DOUBLE) AS t2m,
+        o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 AS ragged FROM orders)
+    SELECT 'read' AS outcome, city, date, t2m, count(*) AS n FROM lines WHERE NOT ragged GROUP BY ALL
+    UNION ALL SELECT 'field_count', NULL, NULL, NULL, count(*) FROM lines WHERE ragged""")
+def csv_dialect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with quoted names, too few fields (every seventh) and too many (every eleventh), read as files."""
+    place = scratch_path(spark, "dialect")
+    key = F.col("o_orderkey")
+    city = F.element_at(F.array(*[F.lit(q) for q in _QUOTED]), (key % 4 + 1).cast("int"))
+    rest = F.when(key % 7 == 0, ",1").when(key % 11 == 0, ",1" * 15).otherwise(",1" * 13)
+    line = F.concat(city, F.lit(","), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(","), (key % 50).cast("string"), rest)
+    # One column without a separator or a quote of its own, so that the lines are written as they are.
+    (load(spark, sf_dir, "orders").select(line.alias("line")).write.option("header", "true").option("sep", "\u0001")
+     .option("quote", "").csv(f"{place}/landing"))
+    load_new_files(spark, f"{place}/landing", place, "weather", RUN_TS, file_glob="*.csv")
+    read = (read_table(spark, bronze_path(place, "weather")).groupBy("city", "date", "t2m").agg(F.count("*").alias("n"))
+            .select(F.lit("read").alias("outcome"), "city", "date", "t2m", "n"))
+    aside = read_table(spark, rejected_path(place, "weather")).groupBy(F.array_join("bad_columns", ",").alias("outcome"))
+    return read.unionByName(aside.agg(F.count("*").alias("n")), allowMissingColumns=True)
+
+
+@query("SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def overwrite_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table, replaced as a whole by rows that are read from it."""
+    path = scratch_path(spark, "replaced")
+    overwrite_table(load(spark, sf_dir, "orders"), path)
+    overwrite_table(read_table(spark, path).filter("o_orderstatus = 'F'"), path)
+    return read_table(spark, path)

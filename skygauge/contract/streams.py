@@ -18,16 +18,25 @@ from skygauge.streaming.messages import (accepted, deliverable, envelopes, flat_
 
 def _answers(rows: DataFrame) -> DataFrame:
     """Readings as nested JSON answers of the weather API."""
+    second = F.unix_seconds(utc_instant("timestamp"))
+    day = second - F.pmod(second, F.lit(86400))
     answer = F.struct(
         F.struct(F.col("coord_lon").alias("lon"), F.col("coord_lat").alias("lat")).alias("coord"),
         F.array(F.struct(F.col("main_humidity").alias("id"), F.col("weather_main").alias("main"),
-                         F.col("weather_description").alias("description"))).alias("weather"),
+                         F.col("weather_description").alias("description"),
+                         F.left("weather_description", F.lit(2)).alias("icon"))).alias("weather"),
+        F.lit("stations").alias("base"),
         F.struct(F.col("main_temp").alias("temp"), F.col("main_feels_like").alias("feels_like"),
                  F.col("main_temp_min").alias("temp_min"), F.col("main_temp_max").alias("temp_max"),
-                 F.col("main_pressure").alias("pressure"), F.col("main_humidity").alias("humidity")).alias("main"),
+                 F.col("main_pressure").alias("pressure"), F.col("main_humidity").alias("humidity"),
+                 (F.col("main_pressure") - 7).alias("grnd_level")).alias("main"),
         "visibility",
         F.struct(F.col("wind_speed").alias("speed"), F.col("wind_deg").alias("deg")).alias("wind"),
         F.struct(F.col("clouds_all").alias("all")).alias("clouds"),
+        second.alias("dt"),
+        F.struct(F.col("kafka_partition").alias("type"), F.col("main_humidity").alias("id"), F.lit("EG").alias("country"),
+                 (day + 21600).alias("sunrise"), (day + 64800).alias("sunset")).alias("sys"),
+        (F.col("kafka_partition") * 3600).alias("timezone"),
         F.col("id").cast("int").alias("id"), F.col("governorate").alias("name"), F.lit(200).alias("cod"))
     return rows.select("governorate", "timestamp", "processed_at", F.to_json(answer).alias("json"))
 
@@ -41,16 +50,24 @@ def _messages(rows: DataFrame) -> DataFrame:
     coord_lon, coord_lat, main_humidity AS weather_id, weather_main, weather_description, main_temp, main_feels_like,
     round(main_temp_min, 2) AS main_temp_min, round(main_temp_max, 2) AS main_temp_max, main_pressure, main_humidity, NULL::INT AS main_sea_level,
     visibility, round(wind_speed, 2) AS wind_speed, wind_deg, clouds_all, CAST(id AS INT) AS location_id,
-    governorate AS location_name, 200 AS cod, date_trunc('second', recorded_at) AS recorded_at FROM readings""")
+    governorate AS location_name, 200 AS cod, date_trunc('second', recorded_at) AS recorded_at,
+    weather_description[1:2] AS weather_icon, 'stations' AS base, main_pressure - 7 AS main_grnd_level, second AS dt,
+    kafka_partition AS sys_type, main_humidity AS sys_id, 'EG' AS sys_country, second - second % 86400 + 21600 AS sys_sunrise,
+    second - second % 86400 + 64800 AS sys_sunset, kafka_partition * 3600 AS timezone,
+    date_trunc('second', "timestamp") + INTERVAL 30 SECOND AS processed_at
+    FROM (SELECT *, CAST(floor(epoch("timestamp")) AS BIGINT) AS second FROM readings)""")
        .replace("main_feels_like,\n", "round(main_feels_like, 2) AS main_feels_like,\n", 1))
 def json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested answers flattened, put into messages, parsed and flattened to the reading table."""
-    flat = flat_readings(accepted(parse(_messages(readings(spark, sf_dir)))))
+    """Nested answers flattened, put into messages, parsed and flattened to all 34 columns of the reading table."""
+    processed = F.col("timestamp") + F.expr("INTERVAL 30 SECONDS")
+    flat = flat_readings(accepted(parse(_messages(readings(spark, sf_dir)))), processed)
     return flat.select(
         "governorate", "kafka_partition", utc_wall_clock("timestamp").alias("timestamp"), "coord_lon", "coord_lat",
         "weather_id", "weather_main", "weather_description", "main_temp", "main_feels_like", "main_temp_min",
         "main_temp_max", "main_pressure", "main_humidity", "main_sea_level", "visibility", "wind_speed", "wind_deg",
-        "clouds_all", "location_id", "location_name", "cod", F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"))
+        "clouds_all", "location_id", "location_name", "cod", F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"),
+        "weather_icon", "base", "main_grnd_level", "dt", "sys_type", "sys_id", "sys_country", "sys_sunrise", "sys_sunset",
+        "timezone", utc_wall_clock("processed_at").alias("processed_at"))
 
 
 @query(S.with_readings("""SELECT governorate AS key, kafka_partition AS partition,
