@@ -10,7 +10,7 @@ from skygauge.contract.registry import query
 from skygauge.contract.standins import load, readings, readings_from
 from skygauge.functions.times import utc_instant, utc_wall_clock
 from skygauge.session import scratch_path
-from skygauge.sources.tables import read_table
+from skygauge.sources.tables import BATCH, read_table
 from skygauge.streaming import jobs
 from skygauge.streaming.messages import (accepted, deliverable, envelopes, flat_readings, flatten_answers, parse,
                                          rejected, unknown_region)
@@ -142,7 +142,7 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = _stream(spark, sf_dir).select("governorate", "kafka_partition", "timestamp", "main_temp", "main_humidity")
     twice = once.unionByName(once)
     jobs.append_readings(twice, f"{place}/table", f"{place}/checkpoint", interval=None).awaitTermination()
-    return read_table(spark, f"{place}/table").withColumn("timestamp", utc_wall_clock("timestamp"))
+    return read_table(spark, f"{place}/table").drop(BATCH).withColumn("timestamp", utc_wall_clock("timestamp"))
 
 
 _COLUMNS = ("main_temp", "main_humidity", "wind_speed", "weather_main", "kafka_partition")

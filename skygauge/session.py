@@ -55,17 +55,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/skygauge/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def adaptive(spark: SparkSession):
+    """Adaptive execution for the queries of a micro-batch, where a stream's session has it off.
+
+    The stream's own plan, with its state, is made before and isn't touched.
+    """
+    return setting(spark, "spark.sql.adaptive.enabled", "true")
+
+
 @contextmanager
 def shuffles_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Enough shuffle partitions for the input, so that one fits into the memory of a task.
 
-    The session's setting is raised only; adaptive execution merges partitions that turn out small.
+    The session's number is raised only; adaptive execution merges partitions that turn out small.
     """
-    before = spark.conf.get(SHUFFLE_CONF)
-    needed = math.ceil(input_bytes / SHUFFLE_BYTES)
-    if needed > int(before):
-        spark.conf.set(SHUFFLE_CONF, needed)
-    try:
+    needed = max(math.ceil(input_bytes / SHUFFLE_BYTES), int(spark.conf.get(SHUFFLE_CONF)))
+    with setting(spark, SHUFFLE_CONF, needed):
         yield
-    finally:
-        spark.conf.set(SHUFFLE_CONF, before)

@@ -18,6 +18,8 @@ from skygauge.session import shuffles_for
 #: Bytes that rows take in a shuffle for each byte of them in a Parquet file; adaptive execution merges what is too much.
 ROW_BYTES = 4
 
+#: Partition below the day of an appended table: the micro-batch that wrote the rows, or COMPACTED.
+BATCH, COMPACTED = "batch_id", -1
 _PENDING = "__pending"
 _SCHEMA = "__schema"
 _NEW = "__new"
@@ -100,11 +102,15 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     _publish(df.sparkSession, path)
 
 
-def _write_pending(df: DataFrame, path: str, sort_by: Sequence[str], stored: DataFrame | None = None) -> None:
+def _by_period(df: DataFrame, sort_by: Sequence[str]) -> DataFrame:
+    """Each period in few partitions; adaptive execution splits a period that is too large."""
+    return df.hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, *sort_by)
+
+
+def _write_pending(df: DataFrame, path: str, sort_by: Sequence[str], stored: DataFrame | None = None,
+                   parts: Sequence[str] = (PERIOD,)) -> None:
     _keep_schema(df, path, stored)
-    # The rebalance puts each period into few files, and lets Spark split a period that is too large.
-    (df.hint("rebalance", F.col(PERIOD)).sortWithinPartitions(PERIOD, *sort_by)
-     .write.mode("overwrite").partitionBy(PERIOD).parquet(path + _PENDING))
+    _by_period(df, sort_by).write.mode("overwrite").partitionBy(*parts).parquet(path + _PENDING)
 
 
 def _publish(spark: SparkSession, path: str) -> None:
@@ -225,6 +231,40 @@ def replace_range(fresh: DataFrame, path: str, time_column: str, start, end, sor
         remove_path(spark, f"{path}/{day}")
 
 
+def append_batch(rows: DataFrame, path: str, batch_id: int, time_column: str, sort_by: Sequence[str]) -> None:
+    """Add the rows of a micro-batch in day folders, each with a folder of the batch; nothing stored is read.
+
+    A batch that comes again replaces its own folders, so its rows are there once.
+    """
+    spark = rows.sparkSession
+    day = utc_day(F.col(time_column), is_instant(rows, time_column))
+    rows = rows.withColumn(PERIOD, day).withColumn(BATCH, F.lit(batch_id).cast("long"))
+    known = spark.read.parquet(path + _SCHEMA) if table_exists(spark, path + _SCHEMA) else None
+    _keep_schema(rows if known is None else known.unionByName(rows.limit(0), allowMissingColumns=True), path, known)
+    if not table_exists(spark, path):
+        rows.limit(0).write.mode("append").partitionBy(PERIOD, BATCH).parquet(path)  # marks the table as there
+    (_by_period(rows, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(PERIOD, BATCH).parquet(path))
+
+
+def compact_days(spark: SparkSession, path: str, before, sort_by: Sequence[str]) -> int:
+    """Rewrite the days before a date that several batches have written, each into few files; returns how many.
+
+    For days that are closed: rows that a stream adds to one meanwhile would be lost. A run that stops is
+    completed by the next one.
+    """
+    _publish(spark, path)
+    days = [p for p in _periods(spark, path) if p.split("=", 1)[1] < str(before)
+            and folder_names(spark, f"{path}/{p}") != [f"{BATCH}={COMPACTED}"]]
+    if days:
+        stored = read_table(spark, path)
+        rows = stored.filter(F.col(PERIOD).isin([F.lit(p.split("=", 1)[1]).cast("date") for p in days]))
+        with shuffles_for(spark, ROW_BYTES * sum(folder_bytes(spark, f"{path}/{p}") for p in days)):
+            _write_pending(rows.withColumn(BATCH, F.lit(COMPACTED).cast("long")), path, sort_by, stored, (PERIOD, BATCH))
+        _publish(spark, path)
+    return len(days)
+
+
 def drop_periods_before(spark: SparkSession, path: str, first_kept) -> int:
     """Delete the day folders older than ``first_kept`` (a date); reads no data."""
     old = [p for p in _periods(spark, path) if p.split("=", 1)[1] < str(first_kept)]

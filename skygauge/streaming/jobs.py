@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from skygauge.functions.times import utc_day
-from skygauge.operators.pruning import PERIOD
 from skygauge.operators.rollups import weather_daily, weather_hourly
-from skygauge.sources.tables import upsert_table, write_jdbc
+from skygauge.session import adaptive
+from skygauge.sources.tables import append_batch, upsert_table, write_jdbc
 from skygauge.streaming.messages import accepted, flat_readings, parse, rejected
 
 READING_KEY = ("timestamp", "governorate")
@@ -64,13 +63,16 @@ def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: s
                     delay: str = HOURLY_DELAY) -> StreamingQuery:
     """Append each reading once, in day folders; for rates at which rewriting a day is too much.
 
-    The stream drops repeats within ``delay`` and the file sink commits every micro-batch once, so
-    nothing is rewritten. Old days go by reading time, with ``drop_periods_before``.
+    The stream drops repeats within ``delay``, and a repeated micro-batch replaces its own files, so nothing
+    else is read or rewritten and no log of files grows. Closed days are merged into few files with
+    ``compact_days``; old ones go by reading time, with ``drop_periods_before``.
     """
-    rows = distinct_readings(readings, delay).withColumn(PERIOD, utc_day(F.col("timestamp"), instant=True))
-    return (rows.writeStream.format("parquet").option("path", path)
-            .partitionBy(PERIOD).outputMode("append").option("checkpointLocation", checkpoint)
-            .trigger(**_trigger(interval)).start())
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            append_batch(batch, path, batch_id, "timestamp", READING_KEY)
+
+    return (distinct_readings(readings, delay).writeStream.foreachBatch(write).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
 def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
@@ -88,7 +90,8 @@ def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
         rows = batch.filter(usable) if quarantine else batch
         if not rows.isEmpty():
-            upsert_table(rows, path, READING_KEY, ["processed_at"], "timestamp", grain="day")
+            with adaptive(batch.sparkSession):
+                upsert_table(rows, path, READING_KEY, ["processed_at"], "timestamp", grain="day")
 
     return (readings.writeStream.foreachBatch(write).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
@@ -116,8 +119,9 @@ def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint
                 bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
             good = accepted(parsed)
             if not good.isEmpty():
-                upsert_table(flat_readings(good, unit=unit), table, READING_KEY, ["processed_at"], "timestamp",
-                             grain="day")
+                with adaptive(batch.sparkSession):
+                    upsert_table(flat_readings(good, unit=unit), table, READING_KEY, ["processed_at"], "timestamp",
+                                 grain="day")
         finally:
             parsed.unpersist()
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skygauge.functions.times import utc_instant, utc_wall_clock
 from skygauge.operators import places, quality, rollups, serving
 from skygauge.plans import health, rollup_tables
-from skygauge.sources.tables import read_table, upsert_table
+from skygauge.sources.tables import append_batch, compact_days, read_table, upsert_table
 from skygauge.streaming import jobs
 from skygauge.streaming.messages import (accepted, deliverable, envelopes, flat_readings, flatten_answers, parse,
                                          rejected, unknown_region)
@@ -126,6 +126,28 @@ def test_append_writes_each_reading_once(spark, tmp_path):
     assert health.check_table(spark, str(tmp_path / "t"), now).first()["records"] == 2
 
 
+def test_appended_batches_are_replaced_and_compacted(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *days: spark.createDataFrame([(f"g{k}", dt.datetime(2024, 1, n), float(k)) for n in days for k in range(50)],
+                                               "governorate STRING, timestamp TIMESTAMP, v DOUBLE").repartition(8)
+    for batch, days in enumerate([(1, 2), (2, 3), (3,)]):
+        append_batch(rows(*days), path, batch, "timestamp", ["timestamp"])
+    append_batch(rows(2, 3), path, 1, "timestamp", ["timestamp"])             # comes again
+    count = lambda: read_table(spark, path).groupBy("period").count().orderBy("period").collect()
+    before = [(str(r["period"]), r["count"]) for r in count()]
+    assert before == [("2024-01-01", 50), ("2024-01-02", 100), ("2024-01-03", 100)]
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 5                # one file for a batch and day
+    assert compact_days(spark, path, "2024-01-03", ["timestamp"]) == 2
+    assert compact_days(spark, path, "2024-01-03", ["timestamp"]) == 0
+    assert [(str(r["period"]), r["count"]) for r in count()] == before
+    assert sorted(p.name for p in (tmp_path / "t" / "period=2024-01-02").iterdir()) == ["batch_id=-1"]
+    wider = rows(4).withColumn("note", F.lit("x"))
+    append_batch(wider, path, 3, "timestamp", ["timestamp"])
+    assert read_table(spark, path).filter("note = 'x'").count() == 50 and read_table(spark, path).count() == 300
+    append_batch(rows(4).limit(0), path, 4, "timestamp", ["timestamp"])
+    assert read_table(spark, path).count() == 300
+
+
 READING = ("governorate STRING, kafka_partition INT, timestamp TIMESTAMP_NTZ, main_temp DOUBLE, main_temp_min DOUBLE, "
            "main_temp_max DOUBLE, main_humidity INT, wind_speed DOUBLE, main_pressure INT, visibility INT, clouds_all INT")
 
