@@ -30,3 +30,13 @@ def between_times(df: DataFrame, time: str, start: Column, end: Column) -> DataF
         instant = is_instant(df, time)
         rows = rows.filter(F.col(PERIOD).between(utc_day(start, instant), utc_day(end, instant)))
     return rows
+
+
+def newest_day(df: DataFrame, time: str) -> DataFrame:
+    """Rows among which the newest time is: of a stored reading table those of its last day, else all.
+
+    The last day is found from the names of the folders and the row counts in the files' footers; no column is read.
+    """
+    if not _kept_by_day(df, time):
+        return df
+    return df.filter(F.col(PERIOD) == df.agg(F.max(PERIOD)).scalar())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygauge.functions.times import bucket, is_instant, utc_day, utc_instant
-from skygauge.operators.pruning import between_times, from_time
+from skygauge.operators.pruning import between_times, from_time, newest_day
 
 HOURLY, DAILY = "1 hour", "1 day"
 
@@ -59,7 +59,7 @@ def refresh_rollup(stored: DataFrame, readings: DataFrame, rollup, start: Column
 def refresh_range(readings: DataFrame, width: str, start_offset: str, end_offset: str) -> tuple[Column, Column]:
     """Bucket-aligned refresh range [newest - start_offset, newest - end_offset)."""
     def edge(offset: str) -> Column:
-        newest = readings.agg((F.max("timestamp") - F.expr(f"INTERVAL {offset}")).alias("at"))
+        newest = newest_day(readings, "timestamp").agg((F.max("timestamp") - F.expr(f"INTERVAL {offset}")).alias("at"))
         return newest.select(bucket("at", width).alias("edge")).scalar()
     return edge(start_offset), edge(end_offset)
 
@@ -71,7 +71,7 @@ def retained(readings: DataFrame, as_of: Column | DataFrame, days: int, column:
     """
     instant = is_instant(readings, column)
     if isinstance(as_of, DataFrame):
-        first_day = as_of.agg(F.date_sub(utc_day(F.max(column), instant), days).alias("first_day")).scalar()
+        first_day = newest_day(as_of, column).agg(F.date_sub(utc_day(F.max(column), instant), days).alias("first_day")).scalar()
     else:
         first_day = F.date_sub(utc_day(as_of, instant), days)
     midnight = first_day.cast("timestamp_ntz")

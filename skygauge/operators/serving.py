@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skygauge import lookups as L
 from skygauge.functions.times import seconds_between
 from skygauge.operators.keyed import latest_per_key
-from skygauge.operators.pruning import between_times, from_time
+from skygauge.operators.pruning import between_times, from_time, newest_day
 
 LATEST_COLUMNS = (
     "governorate", "timestamp", "main_temp", "main_feels_like", "main_humidity", "wind_speed",
@@ -36,7 +36,7 @@ def since(df: DataFrame, as_of: DataFrame | Column, interval: str, column: str =
     back = F.expr(f"INTERVAL {interval}")
     if isinstance(as_of, DataFrame):
         # Subtract inside the subquery: the scan then compares with one plain value.
-        bound = as_of.agg((F.max(column) - back).alias("bound")).scalar()
+        bound = newest_day(as_of, column).agg((F.max(column) - back).alias("bound")).scalar()
     else:
         bound = as_of - back
     return from_time(df, column, bound, included=False)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skygauge.functions.times import utc_instant, utc_wall_clock
 from skygauge.operators import places, quality, rollups, serving
+from skygauge.operators.pruning import newest_day
 from skygauge.plans import health, rollup_tables
 from skygauge.sources.tables import append_batch, compact_days, read_table, upsert_table
 from skygauge.streaming import jobs
@@ -285,6 +286,12 @@ def test_recent_queries_leave_out_old_day_folders(spark, ntz, tmp_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert any("PartitionFilters: [isnotnull(period" in line for line in plan.splitlines())
         assert df.count() == count
+    last = newest_day(stored, "timestamp")
+    assert [r["timestamp"] for r in last.collect()] == [dt.datetime(2024, 2, 10, 1)]
+    assert newest_day(stored.drop("period"), "timestamp").count() == 2
+    assert newest_day(stored.limit(0), "timestamp").count() == 0
+    edges = lambda df: spark.range(1).select(*rollups.refresh_range(df, "1 hour", "3 HOURS", "1 HOUR")).first()
+    assert tuple(edges(stored)) == tuple(edges(stored.drop("period")))
     start, end = (F.lit(f"2024-01-01 {t}").cast("timestamp_ntz") for t in ("00:00:00", "02:00:00"))
     assert serving.in_range(stored, start, end, "timestamp").count() == 1
 
