@@ -26,13 +26,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from skygauge.llm.common import broadcast_within, materialized, whole_text
+from skygauge.llm.common import materialized, whole_text
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 KEY = ["key_id", "key_hash"]
-#: Marks of at most so many texts are broadcast; with more, texts are shuffled to them.
-BROADCAST_TEXTS = 500_000
+#: Bits of the bitmap that tells which texts have no marks.
+MOST_SLOTS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -61,33 +61,20 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return of(BASE), of(INVERSE)
 
 
-class Text:
-    """One text's bytes, its phrases and hashes of any of its strings.
+class Parse:
+    """One text's phrases, without its bytes.
 
     ``bounds`` are the phrases' first bytes and the text's end. The first and the last phrase may be cut by the
     text's ends, so that they tell nothing about strings within other texts.
     """
 
-    def __init__(self, octets: bytes, cut: Cut):
-        self.n, self.cut = len(octets), cut
-        self.powers, self.inverse = _powers(max(1 << 17, 1 << self.n.bit_length()))
-        values = np.frombuffer(octets, np.uint8).astype(np.uint64) + np.uint64(1)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.powers[:self.n], dtype=np.uint64)])
-        starts = np.arange(max(0, self.n - cut.window + 1))
-        rolling = self.hashes(starts, starts + cut.window)
-        triggers = np.flatnonzero((rolling >> np.uint64(32)) % np.uint64(cut.modulus) == 0)
-        self.bounds = np.unique(np.concatenate([[0], triggers, [self.n]]))
-
-    def hashes(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[end] - self.sums[first]) * self.inverse[first] + (end - first).astype(np.uint64))
+    def __init__(self, n: int, bounds: np.ndarray, phrases: np.ndarray | None, cut: Cut):
+        self.n, self.bounds, self._phrases, self.cut = n, bounds, phrases, cut
+        self.powers, self.inverse = _powers(max(1 << 17, 1 << n.bit_length()))
 
     def phrases(self) -> np.ndarray:
         """A hash of each phrase and the trigger after it; cut ones hash apart from others."""
-        ends = np.minimum(self.n, self.bounds[1:] + self.cut.window)
-        out = self.hashes(self.bounds[:-1], ends)
-        out[0] = _mix(out[:1] + np.uint64(1))[0]
-        out[-1] = _mix(out[-1:] + np.uint64(2))[0]
-        return out
+        return self._phrases
 
     def last_starts(self) -> np.ndarray:
         """Of each phrase, the last byte at which a string can start; before its first byte if none can."""
@@ -129,6 +116,29 @@ class Text:
                 "wide": begin - self.bounds[rows] > self.cut.context}
 
 
+class Text(Parse):
+    """One text's bytes, its phrases and hashes of any of its strings."""
+
+    def __init__(self, octets: bytes, cut: Cut):
+        super().__init__(len(octets), None, None, cut)
+        values = np.frombuffer(octets, np.uint8).astype(np.uint64) + np.uint64(1)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.powers[:self.n], dtype=np.uint64)])
+        starts = np.arange(max(0, self.n - cut.window + 1))
+        rolling = self.hashes(starts, starts + cut.window)
+        triggers = np.flatnonzero((rolling >> np.uint64(32)) % np.uint64(cut.modulus) == 0)
+        self.bounds = np.unique(np.concatenate([[0], triggers, [self.n]]))
+
+    def hashes(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mix((self.sums[end] - self.sums[first]) * self.inverse[first] + (end - first).astype(np.uint64))
+
+    def phrases(self) -> np.ndarray:
+        ends = np.minimum(self.n, self.bounds[1:] + self.cut.window)
+        out = self.hashes(self.bounds[:-1], ends)
+        out[0] = _mix(out[:1] + np.uint64(1))[0]
+        out[-1] = _mix(out[-1:] + np.uint64(2))[0]
+        return out
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """Texts as bytes with a key. Rows that share a key are equal, and so are their results."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
@@ -182,7 +192,7 @@ def _numbers(bits: bytes | None) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(bits or b"", np.uint8), bitorder="little"))
 
 
-def _flags(text: Text, phrases: bytes | None) -> np.ndarray:
+def _flags(text: Parse, phrases: bytes | None) -> np.ndarray:
     flags = np.zeros(len(text.bounds) - 1, bool)
     flags[_numbers(phrases)] = True
     return flags
@@ -206,8 +216,35 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "class")
 
 
-def _marked(texts: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    return texts.join(broadcast_within(marks, BROADCAST_TEXTS), KEY, how)
+def _split(texts: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The texts beside their marks (null for a few without), and those that certainly have none.
+
+    Marks grow with the texts, so they are never broadcast: texts are shuffled to them and sorted, which can spill.
+    What a bitmap of the marks' hashes, of at most 8 MB, rules out isn't shuffled.
+    """
+    slots = min(MOST_SLOTS, max(1 << 15, 1 << (8 * marks.count()).bit_length()))
+    slot = F.pmod("key_hash", F.lit(slots)) + 1
+    bucket, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    bitmap = materialized(marks.select(bucket.alias("bucket"), place.alias("place")).groupBy("bucket").agg(
+        F.bitmap_construct_agg("place").alias("bitmap")))
+    octet = F.conv(F.hex(F.substring("bitmap", (F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = octet.bitwiseAND(F.expr("shiftleft(1, cast(place % 8 as int))")) != 0
+    tested = texts.withColumns({"bucket": bucket, "place": place}).join(F.broadcast(bitmap), "bucket", "left").withColumn(
+        "hit", F.coalesce(hit, F.lit(False))).drop("bucket", "place", "bitmap")
+    return (tested.where("hit").drop("hit").join(marks.hint("merge"), KEY, "left"), tested.where("not hit").drop("hit"))
+
+
+def _parsed(texts: DataFrame, cut: Cut) -> DataFrame:
+    """Of each text the sizes and the hashes of its phrases as bytes, about a fifth of the text."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            parses = []
+            for octets in batch["octets"]:
+                text = Text(octets, cut)
+                parses.append((np.diff(text.bounds).astype(np.int32).tobytes(), text.phrases().tobytes()))
+            yield batch[KEY].assign(sizes=[sizes for sizes, _ in parses], hashes=[hashes for _, hashes in parses])
+
+    return texts.select(*KEY, "octets").mapInPandas(rows, "key_id long, key_hash long, sizes binary, hashes binary")
 
 
 def _undecided_rows(texts: DataFrame, repeated: DataFrame, cut: Cut) -> DataFrame:
@@ -215,11 +252,13 @@ def _undecided_rows(texts: DataFrame, repeated: DataFrame, cut: Cut) -> DataFram
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[Arrays]:
         for batch in batches:
-            for a, b, octets, phrases in zip(batch["key_id"], batch["key_hash"], batch["octets"], batch["phrases"]):
-                text = Text(octets, cut)
-                yield a, b, text.undecided(_flags(text, phrases))
+            for a, b, sizes, hashes, phrases in zip(*(batch[c] for c in (*KEY, "sizes", "hashes", "phrases"))):
+                bounds = np.append(0, np.cumsum(np.frombuffer(sizes, np.int32), dtype=np.int64))
+                parse = Parse(int(bounds[-1]), bounds, np.frombuffer(hashes, np.uint64), cut)
+                yield a, b, parse.undecided(_flags(parse, phrases))
 
-    return _marked(texts.select(*KEY, "octets"), repeated, "left").select(*KEY, "octets", "phrases").mapInPandas(
+    marked = _parsed(texts, cut).join(repeated.hint("merge"), KEY, "left")
+    return marked.select(*KEY, "sizes", "hashes", "phrases").mapInPandas(
         lambda batches: _frames(rows(batches), names),
         "phrase int, suffix long, after long, wide boolean, key_id long, key_hash long")
 
@@ -280,7 +319,8 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
         F.collect_set(F.when(~F.col("settled"), F.col("phrase"))).alias("open"),
         F.collect_set(F.when(F.col("settled"), F.col("phrase"))).alias("settled")), "open", "settled")
         .join(repeated, KEY, "left"))
-    strings = _string_rows(_marked(long.select(*KEY, "octets"), wanted, "inner"), cut)
+    maybe, _ = _split(long.select(*KEY, "octets"), wanted.withColumn("wanted", F.lit(True)))
+    strings = _string_rows(maybe.where("wanted"), cut)
     found = _shared(strings).where("at % 2 = 0").groupBy(*KEY).agg(F.collect_set(F.expr("at div 2")).alias("starts"))
     sure = decided.where("settled").groupBy(*KEY).agg(F.collect_set("phrase").alias("sure"))
     marks = materialized(_packed(found.join(sure, KEY, "full"), "starts", "sure"))
@@ -298,12 +338,12 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
                 out.append(_runs(np.concatenate(parts), cut.size))
             yield pd.Series(out, dtype=object)
 
-    marked = _marked(texts, marks, "left")
     none = F.array().cast("array<array<long>>")
+    maybe, unmarked = _split(texts, marks)
     some = F.col("starts").isNotNull() | F.col("sure").isNotNull()
     octets = F.when(some, F.col("octets"))  # what isn't marked needn't reach Python
-    return marked.select("doc_id", "octets", spans(F.coalesce(octets, F.lit(b"")), "starts", "sure").alias("spans")).withColumn(
-        "spans", F.coalesce("spans", none))
+    found = maybe.select("doc_id", "octets", spans(F.coalesce(octets, F.lit(b"")), "starts", "sure").alias("spans"))
+    return found.withColumn("spans", F.coalesce("spans", none)).union(unmarked.select("doc_id", "octets", none))
 
 
 def digest(found: DataFrame) -> DataFrame:

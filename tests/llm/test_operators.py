@@ -240,6 +240,20 @@ def test_repeated_bytes(docs, none, pairs, cut):
     assert repeats.digest(repeats.repeated_spans(none, cut)).collect() == []
 
 
+def test_wide_marks_are_not_broadcast(spark):
+    keys = ["id as key_id", "id as key_hash"]
+    texts = spark.range(40).selectExpr(*keys, "cast('text' as binary) as octets")
+    marks = spark.range(40).selectExpr(*keys, "cast(repeat('x', 500000) as binary) as starts").checkpoint()
+    more = spark.range(2_000).selectExpr(*keys, "cast('text' as binary) as octets")
+    for table, n in ((texts, 40), (more, 2_000)):
+        maybe, unmarked = repeats._split(table, marks)
+        plan = maybe._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") == 1  # the bitmap's
+        rows = maybe.select("key_id", F.length("starts").alias("n")).collect()
+        assert sorted(r.key_id for r in rows if r.n) == list(range(min(n, 40))) and all(r.n in (None, 500_000) for r in rows)
+        assert len(rows) < 40 + n / 4 and sorted([r.key_id for r in rows] + [r.key_id for r in unmarked.collect()]) == list(range(n))
+
+
 def test_toxicity(spark, none):
     rng = np.random.default_rng(2)
     words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
