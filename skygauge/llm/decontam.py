@@ -4,11 +4,15 @@ A mask looks at some of the tokens of a stretch and ignores the others, so a see
 was replaced. Seeds of the benchmark items are joined to those of all texts; a hit says how text and item may lie
 against each other. There the tokens are compared: an overlap counts if some ``window`` tokens in a row agree in at
 least ``share`` of their places. The two masks are chosen so that every such window has an intact seed, whichever
-of its tokens were replaced.
+of its tokens were replaced. Items under 13 tokens, and other windows and shares, have masks of their own.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skygauge.llm.common import broadcast_within, materialized, whole_text
@@ -17,6 +21,8 @@ from skygauge.llm.common import broadcast_within, materialized, whole_text
 MASKS = ((0, 1, 2, 3, 6, 7), (0, 1, 3, 5, 6, 7))
 SPAN = 8
 WINDOW, SHARE = 13, 0.8
+#: Tokens that a seed of any other window should hash, and masks it may have for that.
+LEAST, MOST_MASKS = 6, 64
 #: Sides of a join of at most so many rows of a few numbers are broadcast (under 64 MB); others are shuffled.
 BROADCAST_ROWS = 1_000_000
 KEY = ["key_id", "key_hash"]
@@ -31,20 +37,46 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: Column) -> Column:
-    """All masks' seeds, mask by mask; a text under SPAN tokens has none."""
-    def of(mask: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN),
-                           lambda at: F.xxhash64(F.lit(mask), *[F.get(hashes, at + k) for k in MASKS[mask]]))
+def needed(wide: int, share: float) -> int:
+    """Tokens of ``wide`` that have to agree."""
+    return math.ceil(wide * share - 1e-9)
 
-    every = F.concat(*[of(m) for m in range(len(MASKS))])
-    return F.when(F.size(hashes) >= SPAN, every).otherwise(F.array().cast("array<bigint>"))
 
+def masks(wide: int, share: float) -> tuple[tuple[int, ...], ...]:
+    """Masks, one of which is intact somewhere in ``wide`` tokens, whichever may be replaced.
 
-def _seed_rows(rows: DataFrame, key: list[str], at: str) -> DataFrame:
+    From 13 tokens on with up to two replaced ones these are MASKS. Else the tokens are cut into blocks, and a mask
+    leaves out as many as tokens may be replaced: as few blocks as give seeds of LEAST tokens, if there are so many.
+    """
+    misses = wide - needed(wide, share)
+    if wide >= WINDOW and misses <= WINDOW - needed(WINDOW, SHARE):
+        return MASKS
+    found: set[tuple[int, ...]] = set()
+    for n in range(misses + 1, wide + 1):
+        if found and math.comb(n, misses) > MOST_MASKS:
+            break
+        blocks = [range(wide * k // n, wide * (k + 1) // n) for k in range(n)]
+        kept = [[at for block in some for at in block] for some in combinations(blocks, n - misses)]
+        found = {tuple(at - places[0] for at in places) for places in kept}
+        if min(map(len, kept)) >= min(LEAST, wide - misses):
+            break
+    return tuple(sorted(found))
+
+
+def _seeds(hashes: Column, shapes: list[tuple[int, ...]]) -> Column:
+    """All masks' seeds, mask by mask, one for each token; null where the mask reaches beyond the end."""
+    def of(mask: tuple[int, ...]) -> Column:
+        name = F.lit(",".join(map(str, mask)))
+        return F.transform(F.sequence(F.lit(0), F.size(hashes) - 1),
+                           lambda at: F.when(at + mask[-1] < F.size(hashes), F.xxhash64(name, *[F.get(hashes, at + k) for k in mask])))
+
+    return F.when(F.size(hashes) > 0, F.concat(*[of(m) for m in shapes])).otherwise(F.array().cast("array<bigint>"))
+
+
+def _seed_rows(rows: DataFrame, key: list[str], at: str, shapes: list[tuple[int, ...]]) -> DataFrame:
     """Rows (key, ``at``, ``seed``) of texts in the column ``text``."""
     hashed = rows.select(*key, _hashes(tokens(F.col("text"))).alias("hashes"))
-    seeds = hashed.select(*key, (F.size("hashes") - SPAN + 1).alias("places"), _seeds(F.col("hashes")).alias("seeds"))
+    seeds = hashed.select(*key, F.size("hashes").alias("places"), _seeds(F.col("hashes"), shapes).alias("seeds"))
     # an outer explode, as else a filter on the array's size would compute all seeds twice
     spread = seeds.select(*key, "places", F.posexplode_outer("seeds").alias("pos", "seed"))
     return spread.where("seed is not null").select(*key, (F.col("pos") % F.col("places")).alias(at), "seed")
@@ -61,16 +93,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     """Verified overlaps: ``doc_id``, ``item_id``, ``doc_start`` and ``doc_end`` (tokens, end exclusive), ``n_equal``.
 
     One row for each text and item, where they overlap most; the earliest of equally long ones. An item under
-    ``window`` tokens must agree in ``share`` of all of them, and one under SPAN tokens has no seed, so it's never
-    found. Null texts count as empty. Equal rows of ``docs`` give one row an item, equal rows of ``benchmark`` count
+    ``window`` tokens must agree in ``share`` of all of them; one without tokens is never found. Null texts count as empty. Equal rows of ``docs`` give one row an item, equal rows of ``benchmark`` count
     once. Null ids stay null. Other columns are ignored; an empty table on either side gives no rows.
     """
+    if window < 1 or not 0 < share <= 1:
+        raise ValueError("window must be at least 1, share above 0 and at most 1")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text")).distinct()
-    seeds = _seed_rows(items, ["item_id", "text"], "item_at").select(
-        F.xxhash64("item_id", "text").alias("item"), "item_at", "seed")
-    seeds = materialized(seeds.distinct())
+    wide = F.least(F.lit(window), F.size(tokens(F.col("text"))))
+    sizes = sorted(r.wide for r in items.select(wide.alias("wide")).distinct().collect() if r.wide)
+    own = [(items.where(wide == n), masks(n, share)) for n in sizes] or [(items.limit(0), MASKS)]
+    seeds = reduce(DataFrame.union, [_seed_rows(some, ["item_id", "text"], "item_at", every) for some, every in own])
+    seeds = materialized(seeds.select(F.xxhash64("item_id", "text").alias("item"), "item_at", "seed").distinct())
     texts = _keyed(docs)
-    hits = _seed_rows(texts, KEY, "doc_at").join(broadcast_within(seeds, BROADCAST_ROWS), "seed")
+    shapes = sorted({mask for _, every in own for mask in every})
+    hits = _seed_rows(texts, KEY, "doc_at", shapes).join(broadcast_within(seeds, BROADCAST_ROWS), "seed")
     hits = materialized(hits.groupBy(*KEY, "item", (F.col("doc_at") - F.col("item_at")).alias("lie")).agg(
         F.count(F.lit(1)).alias("n_seeds")))
     words = items.select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("item_words"))

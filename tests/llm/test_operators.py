@@ -306,6 +306,36 @@ def test_benchmark_overlaps(spark, docs, none):
     assert decontam.overlaps(none, benchmark).collect() == [] and decontam.overlaps(docs, benchmark.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.5, 0.8, 1.0])
+def test_no_pattern_escapes_the_masks_of_any_length(share):
+    for wide in range(1, 17):
+        misses = wide - decontam.needed(wide, share)
+        for bad in itertools.combinations(range(wide), misses):
+            assert any(all(s + k not in bad for k in mask) for mask in decontam.masks(wide, share) for s in range(wide - mask[-1]))
+
+
+@pytest.mark.parametrize("window, share", [(13, 0.8), (6, 0.7)])
+def test_short_items_are_found(spark, window, share):
+    rng = np.random.default_rng(8)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in (1, 3, 5, 7, 8, 9, 10, 11, 12, 15)] + [(99, "")]
+    texts = []
+    for n, item in items[:-1]:
+        for misses in range(4):
+            for _ in range(6):
+                taken = item.split()
+                for place in rng.choice(n, min(n, misses), replace=False):
+                    taken[place] = "other"
+                texts.append(" ".join(["some", "text", *taken, "and", "more"]))
+        texts += [item, item.rsplit(" ", 1)[0], item.split(" ", 1)[-1], "before it " + item.rsplit(" ", 2)[0]]
+    table = spark.createDataFrame([doc(k, t) for k, t in enumerate(texts)], DOCS)
+    found = decontam.overlaps(table, spark.createDataFrame(items, "item_id long, text string"), window, share).collect()
+    wanted = {(k, i) for k, t in enumerate(texts) for i, u in items[:-1] if brute.overlap(t, u, window, share)}
+    assert {(r.doc_id, r.item_id) for r in found} == wanted
+    for bad in ((0, 0.8), (13, 0.0), (13, 1.1)):
+        with pytest.raises(ValueError):
+            decontam.overlaps(table, table, *bad)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(6)
     centres = rng.normal(0, 1, (12, 16))
