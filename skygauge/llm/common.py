@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skygauge.session import scratch_path, shared_dir
 
+#: Bits of a bitmap that tells which texts have no marks.
+MOST_SLOTS = 1 << 26
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,3 +45,23 @@ def broadcast_within(df: DataFrame, most_rows: int) -> DataFrame:
     Counts the rows, so give it something materialised whose rows have a bounded width.
     """
     return F.broadcast(df) if df.count() <= most_rows else df
+
+
+def beside_marks(texts: DataFrame, marks: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The texts beside their marks (null for a few without), and those that certainly have none.
+
+    ``marks`` are materialised; the last column of ``key`` is a hash. Their number or size may grow with the texts, so
+    they are never broadcast: texts are shuffled to them and sorted, which can spill. What a bitmap of the marks'
+    hashes, of at most 8 MB, rules out isn't shuffled.
+    """
+    slots = min(MOST_SLOTS, max(1 << 15, 1 << (8 * marks.count()).bit_length()))
+    slot = F.pmod(key[-1], F.lit(slots)) + 1
+    bucket, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
+    bitmap = materialized(marks.select(bucket.alias("__bucket"), place.alias("__place")).groupBy("__bucket").agg(
+        F.bitmap_construct_agg("__place").alias("__bitmap")))
+    octet = F.conv(F.hex(F.substring("__bitmap", (F.col("__place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = octet.bitwiseAND(F.expr("shiftleft(1, cast(__place % 8 as int))")) != 0
+    tested = texts.withColumns({"__bucket": bucket, "__place": place}).join(F.broadcast(bitmap), "__bucket", "left")
+    tested = tested.withColumn("__hit", F.coalesce(hit, F.lit(False))).drop("__bucket", "__place", "__bitmap")
+    maybe, free = tested.where("__hit").drop("__hit"), tested.where("not __hit").drop("__hit")
+    return maybe.join(marks.hint("merge"), key, "left"), free

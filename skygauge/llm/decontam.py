@@ -15,7 +15,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.llm.common import broadcast_within, materialized, whole_text
+from skygauge.llm.common import beside_marks, broadcast_within, materialized, whole_text
 
 #: Places of a stretch of SPAN tokens that a seed hashes; tests check that no window can be missed.
 MASKS = ((0, 1, 2, 3, 6, 7), (0, 1, 3, 5, 6, 7))
@@ -23,7 +23,7 @@ SPAN = 8
 WINDOW, SHARE = 13, 0.8
 #: Tokens that a seed of any other window should hash, and masks it may have for that.
 LEAST, MOST_MASKS = 6, 64
-#: Sides of a join of at most so many rows of a few numbers are broadcast (under 64 MB); others are shuffled.
+#: At most so many seeds of the benchmark are broadcast (under 64 MB); with more, all seeds are shuffled.
 BROADCAST_ROWS = 1_000_000
 KEY = ["key_id", "key_hash"]
 
@@ -110,7 +110,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     hits = materialized(hits.groupBy(*KEY, "item", (F.col("doc_at") - F.col("item_at")).alias("lie")).agg(
         F.count(F.lit(1)).alias("n_seeds")))
     words = items.select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("item_words"))
-    found = texts.join(broadcast_within(hits, BROADCAST_ROWS), KEY).select(
+    maybe, _ = beside_marks(texts, hits, KEY)
+    found = maybe.where("lie is not null").select(
         *KEY, "doc_id", "item", "lie", tokens(F.col("text")).alias("doc_words"))
     equal = F.expr("transform(item_words, (w, k) -> if(get(doc_words, k + lie) = w, 1, 0))")
     compared = found.join(words, "item").select(
@@ -135,5 +136,6 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, **verify) -> DataFr
     bad = materialized(overlaps(docs, benchmark, **verify).select(*KEY).distinct())
     keyed = docs.withColumns({"__key_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
                               "__key_hash": F.xxhash64(F.col("doc_id").cast("long"), whole_text())})
-    bad = broadcast_within(bad.toDF("__key_id", "__key_hash"), BROADCAST_ROWS)
-    return keyed.join(bad, ["__key_id", "__key_hash"], "left_anti").select(*docs.columns)
+    bad = bad.toDF("__key_id", "__key_hash").withColumn("__bad", F.lit(True))
+    maybe, clean = beside_marks(keyed, bad, ["__key_id", "__key_hash"])
+    return maybe.where("__bad is null").select(*docs.columns).union(clean.select(*docs.columns))

@@ -26,13 +26,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from skygauge.llm.common import materialized, whole_text
+from skygauge.llm.common import beside_marks, materialized, whole_text
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 KEY = ["key_id", "key_hash"]
-#: Bits of the bitmap that tells which texts have no marks.
-MOST_SLOTS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -216,24 +214,6 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "class")
 
 
-def _split(texts: DataFrame, marks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The texts beside their marks (null for a few without), and those that certainly have none.
-
-    Marks grow with the texts, so they are never broadcast: texts are shuffled to them and sorted, which can spill.
-    What a bitmap of the marks' hashes, of at most 8 MB, rules out isn't shuffled.
-    """
-    slots = min(MOST_SLOTS, max(1 << 15, 1 << (8 * marks.count()).bit_length()))
-    slot = F.pmod("key_hash", F.lit(slots)) + 1
-    bucket, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
-    bitmap = materialized(marks.select(bucket.alias("bucket"), place.alias("place")).groupBy("bucket").agg(
-        F.bitmap_construct_agg("place").alias("bitmap")))
-    octet = F.conv(F.hex(F.substring("bitmap", (F.col("place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    hit = octet.bitwiseAND(F.expr("shiftleft(1, cast(place % 8 as int))")) != 0
-    tested = texts.withColumns({"bucket": bucket, "place": place}).join(F.broadcast(bitmap), "bucket", "left").withColumn(
-        "hit", F.coalesce(hit, F.lit(False))).drop("bucket", "place", "bitmap")
-    return (tested.where("hit").drop("hit").join(marks.hint("merge"), KEY, "left"), tested.where("not hit").drop("hit"))
-
-
 def _parsed(texts: DataFrame, cut: Cut) -> DataFrame:
     """Of each text the sizes and the hashes of its phrases as bytes, about a fifth of the text."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -319,7 +299,7 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
         F.collect_set(F.when(~F.col("settled"), F.col("phrase"))).alias("open"),
         F.collect_set(F.when(F.col("settled"), F.col("phrase"))).alias("settled")), "open", "settled")
         .join(repeated, KEY, "left"))
-    maybe, _ = _split(long.select(*KEY, "octets"), wanted.withColumn("wanted", F.lit(True)))
+    maybe, _ = beside_marks(long.select(*KEY, "octets"), wanted.withColumn("wanted", F.lit(True)), KEY)
     strings = _string_rows(maybe.where("wanted"), cut)
     found = _shared(strings).where("at % 2 = 0").groupBy(*KEY).agg(F.collect_set(F.expr("at div 2")).alias("starts"))
     sure = decided.where("settled").groupBy(*KEY).agg(F.collect_set("phrase").alias("sure"))
@@ -339,7 +319,7 @@ def repeated_spans(docs: DataFrame, cut: Cut = Cut()) -> DataFrame:
             yield pd.Series(out, dtype=object)
 
     none = F.array().cast("array<array<long>>")
-    maybe, unmarked = _split(texts, marks)
+    maybe, unmarked = beside_marks(texts, marks, KEY)
     some = F.col("starts").isNotNull() | F.col("sure").isNotNull()
     octets = F.when(some, F.col("octets"))  # what isn't marked needn't reach Python
     found = maybe.select("doc_id", "octets", spans(F.coalesce(octets, F.lit(b"")), "starts", "sure").alias("spans"))

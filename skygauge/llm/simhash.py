@@ -19,13 +19,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skygauge.llm.common import broadcast_within, materialized, whole_text
+from skygauge.llm.common import beside_marks, materialized, whole_text
 from skygauge.llm.components import component_roots
 
 SEED = 42
 BITS = 64
-#: At most so many kept keys are broadcast (16 MB); with more, documents are shuffled to them.
-BROADCAST_ROWS = 1_000_000
 #: Reference fingerprints: well mixed, and the same in every run.
 PIVOTS = np.array([xxhash.xxh64_intdigest(str(k).encode(), SEED) for k in range(24)], dtype=np.uint64)
 
@@ -194,10 +192,12 @@ def one_of_each(docs: DataFrame, distance: int = 4, words: int = 4) -> DataFrame
     first = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key")
     kept = found.groupBy("root").agg(F.min(first).alias("kept")).select(F.col("kept.key").alias("__key"))
     repeated = found.groupBy(F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    kept = materialized(kept.distinct().join(repeated, "__key", "left"))
+    # most texts stay, so those that go or that have copies are marked
+    kept = kept.distinct().withColumn("__kept", F.lit(True))
+    marks = materialized(found.select(F.col("key").alias("__key")).distinct().join(kept, "__key", "left").join(
+        repeated, "__key", "left").where("__kept is null or __n is not null").select("__key", F.coalesce(
+            "__kept", F.lit(False)).alias("__kept")))
     keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("long"), whole_text()))
-    rows = keyed.join(broadcast_within(kept, BROADCAST_ROWS), "__key")
-    once = rows.where("__n is null").select(*docs.columns)
-    if not kept.where("__n > 1").head(1):
-        return once
-    return once.union(rows.where("__n > 1").dropDuplicates(["__key"]).select(*docs.columns))
+    maybe, single = beside_marks(keyed, marks, ["__key"])
+    kept_once = maybe.where("__kept").dropDuplicates(["__key"]).select(*docs.columns)
+    return single.select(*docs.columns).union(maybe.where("__kept is null").select(*docs.columns)).union(kept_once)

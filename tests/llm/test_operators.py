@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skygauge.llm import (components, decontam, hnsw, lm_scoring, packing, pii, repeats, simhash, token_counts, toxicity,
+from skygauge.llm import (common, components, decontam, hnsw, lm_scoring, packing, pii, repeats, simhash, token_counts, toxicity,
                           url_filter)
 from skygauge.llm.encoding import encoder, vocabulary_path
 
@@ -246,7 +246,7 @@ def test_wide_marks_are_not_broadcast(spark):
     marks = spark.range(40).selectExpr(*keys, "cast(repeat('x', 500000) as binary) as starts").checkpoint()
     more = spark.range(2_000).selectExpr(*keys, "cast('text' as binary) as octets")
     for table, n in ((texts, 40), (more, 2_000)):
-        maybe, unmarked = repeats._split(table, marks)
+        maybe, unmarked = common.beside_marks(table, marks, repeats.KEY)
         plan = maybe._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and plan.count("BroadcastExchange") == 1  # the bitmap's
         rows = maybe.select("key_id", F.length("starts").alias("n")).collect()
@@ -336,6 +336,15 @@ def test_short_items_are_found(spark, window, share):
             decontam.overlaps(table, table, *bad)
 
 
+def test_texts_are_joined_alike_at_every_size(docs):
+    benchmark = docs.where("doc_id = 4").select(F.col("doc_id").alias("item_id"), "text")
+    for kept in (simhash.one_of_each(docs), decontam.without_benchmark(docs, benchmark)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+        assert any("SortMergeJoin" in line for line in joins)
+        assert all("__bucket" in line for line in joins if "SortMergeJoin" not in line)  # the bitmap's
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(6)
     centres = rng.normal(0, 1, (12, 16))
