@@ -278,6 +278,13 @@ def test_toxicity(spark, none):
     assert toxicity.classify(none, model).collect() == []
 
 
+def test_one_training_text_of_an_id(spark):
+    table = spark.createDataFrame([doc(1, f"text {k}") for k in range(50)] + [doc(2, "other")], DOCS)
+    marks = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    rows, share = toxicity.sample(table, marks, toxicity.Shape(), 10, 10, 100)
+    assert sorted(r[1] for r in rows) == [0, 1] and share == 0.5
+
+
 def test_no_window_escapes_the_masks():
     places = range(decontam.WINDOW)
     misses = decontam.WINDOW - math.ceil(decontam.WINDOW * decontam.SHARE)
