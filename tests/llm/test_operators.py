@@ -391,3 +391,24 @@ def test_stages_keep_clean_documents(spark, docs, none, tmp_path):
             if name != "near_copies":
                 assert out.count() == table.count(), name
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_copies", "benchmark", "personal_data", "packing"]
+
+
+def test_pipeline_drops_and_masks_what_was_planted(spark, tmp_path):
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    texts = {k: " ".join(rng.choice(words, 40)) for k in range(400)}
+    for k in range(0, 400, 4):
+        texts[k] = "zounds " + texts[k]
+    item = " ".join(rng.choice(words, 20))
+    texts |= {401: texts[1], 402: "before it " + item + " and after", 403: texts[3] + " a.b@mail.example.com"}
+    rows = [(k, t, "en", "s", len(t)) for k, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, int(k % 4 == 0)) for k in range(400)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    tokens = {r.doc_id: r.doc_tokens for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    clean = {k: t.replace("a.b@mail.example.com", "<EMAIL>") for k, t in texts.items() if not t.startswith("zounds") and k not in (401, 402)}
+    bits = {k: brute.fingerprint(texts[k]) for k in clean}
+    label = brute.components(list(bits.values()), 4)
+    wanted = [k for at, k in enumerate(bits) if label[at] == at]
+    bpe = encoder(vocabulary_path())
+    assert tokens == {k: len(bpe.ids(clean[k])) + 1 for k in wanted}
