@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skygauge.llm import (decontam, hnsw, lm_scoring, packing, pii, repeats, simhash, token_counts, toxicity,
-                          url_filter)
+from skygauge.llm import (chat_format, check_sql, common, decontam, filter_audit, hnsw, lm_scoring, packing, pii,
+                          repeats, simhash, token_counts, toxicity, url_filter, variants)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,9 +73,38 @@ def op10_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated word of seven letters and more with its near words, its form and the root of its forms."""
+    runs = variants.letter_runs(_table(spark, sf_dir, "documents"), shortest=7)
+    words = common.materialized(variants.vocabulary(variants.with_slips(runs)))
+    return variants.spelling_groups(words)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from every source, in all orders of them."""
+    counts = filter_audit.mask_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that consists of control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    parts = F.array(chat_format.text_part(common.whole_text())).alias("parts")
+    back = chat_format.read_back(chat_format.format_conversations(rows.select("conv_id", "turn", "role", parts)))
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "expanded_tokens")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_lattice_score, op2_pack_vectors, op3_url_verdicts, op4_token_lengths, op5_personal_data, op6_simhash_pivots,
-    op7_repeated_bytes, op8_toxicity_cnn, op9_benchmark_overlaps, op10_hnsw_neighbours)}
+    op7_repeated_bytes, op8_toxicity_cnn, op9_benchmark_overlaps, op10_hnsw_neighbours, op11_spelling_groups,
+    op12_filter_audit, op13_chat_format)}
 
-#: None of these methods can be written as one SQL statement; tests hold them against brute force.
-CHECK_SQL: dict[str, str] = {}
+#: The other methods can't be written as one SQL statement; tests hold them against brute force.
+CHECK_SQL: dict[str, str] = {"op12_filter_audit": check_sql.FILTER_AUDIT, "op13_chat_format": check_sql.CHAT_FORMAT}
