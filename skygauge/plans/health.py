@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skygauge.operators.quality import freshness, ingest_metrics, quality_summary
 from skygauge.operators.serving import since
+from skygauge.sources.ranges import read_between
 from skygauge.sources.tables import read_table, table_exists
 
 
@@ -21,8 +22,10 @@ def check_table(spark: SparkSession, path: str, as_of: Column) -> DataFrame:
 
 
 def check_arrivals(spark: SparkSession, path: str, as_of: Column, interval: str = "30 SECONDS") -> bool:
-    """True if a reading was processed within the interval."""
-    return not since(readings_table(spark, path), as_of, interval, "processed_at").isEmpty()
+    """True if a reading was processed within the interval; opens the days only that the index of ranges names."""
+    readings_table(spark, path)
+    bound = as_of - F.expr(f"INTERVAL {interval}")
+    return not read_between(spark, path, "processed_at", bound).filter(F.col("processed_at") > bound).isEmpty()
 
 
 def check_quality(spark: SparkSession, path: str, as_of: Column) -> DataFrame:

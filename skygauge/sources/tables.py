@@ -7,6 +7,7 @@ so that a key always lives in one partition and an upsert rewrites only the part
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,8 +19,9 @@ from skygauge.session import shuffles_for
 #: Bytes that rows take in a shuffle for each byte of them in a Parquet file; adaptive execution merges what is too much.
 ROW_BYTES = 4
 
-#: Partition below the day of an appended table: the micro-batch that wrote the rows, or COMPACTED.
-BATCH, COMPACTED = "batch_id", -1
+#: Partition below the day of an appended table: the micro-batch that wrote the rows, below 0 for merged ones.
+BATCH = "batch_id"
+_COMPACTING, _COMPACTED_NOTE = "__compacting", "__compacted"
 _PENDING = "__pending"
 _SCHEMA = "__schema"
 _NEW = "__new"
@@ -162,8 +164,14 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def with_period(rows: DataFrame, time_column: str, grain: str = "day") -> DataFrame:
+    """The rows with the period that a keyed or appended table puts them in."""
+    day = utc_day(F.col(time_column), is_instant(rows, time_column))
+    return rows.withColumn(PERIOD, day if grain == "day" else F.trunc(day, grain))
+
+
 def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[str],
-                 time_column: str, grain: str = "month") -> None:
+                 time_column: str, grain: str = "month") -> list:
     """Insert or replace rows by key; the newest row of a key by ``order_by`` stays, stored or new.
 
     So loads may come twice or out of order; of rows with equal order the new one counts.
@@ -171,18 +179,16 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     of the key, is an error: set such rows aside before. Only the periods in the updates
     are read and written. The merged periods are first written aside in full, then put in the place
     of the old ones; if the run stops in between, the next upsert finishes that step. One writer at
-    a time.
+    a time. Returns the periods touched, one value for each day or month at most.
     """
     spark = updates.sparkSession
     _publish(spark, path)
-    day = utc_day(F.col(time_column), is_instant(updates, time_column))
-    period = day if grain == "day" else F.trunc(day, grain)
-    rows = _with_keys(updates, [*keys, time_column]).withColumn(PERIOD, period)
+    rows = with_period(_with_keys(updates, [*keys, time_column]), time_column, grain)
     match = [*keys, PERIOD]
     if not table_exists(spark, path):
         _write_pending(_period_last(latest_per_key(rows, match, order_by)), path, keys)
         _publish(spark, path)
-        return
+        return [date.fromisoformat(p.split("=", 1)[1]) for p in _periods(spark, path)]
     rows = rows.persist()
     try:
         # One value per calendar day or month: bounded by the time span, and it prunes the scan.
@@ -195,6 +201,7 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     finally:
         rows.unpersist()
     _publish(spark, path)
+    return periods
 
 
 def replace_range(fresh: DataFrame, path: str, time_column: str, start, end, sort_by: Sequence[str]) -> None:
@@ -231,14 +238,32 @@ def replace_range(fresh: DataFrame, path: str, time_column: str, start, end, sor
         remove_path(spark, f"{path}/{day}")
 
 
+def replace_buckets(fresh: DataFrame, buckets: DataFrame, path: str, time_column: str, sort_by: Sequence[str]) -> None:
+    """Replace the rows of a day-partitioned table whose time is one of ``buckets`` (distinct, one column of that name).
+
+    Other rows of those days stay; only the days of the buckets are read and written.
+    """
+    spark = fresh.sparkSession
+    _publish(spark, path)
+    days = [r[0] for r in with_period(buckets, time_column).select(PERIOD).distinct().collect()]  # bounded by the calendar
+    if not days:
+        return
+    fresh, stored = with_period(fresh, time_column), None
+    if table_exists(spark, path):
+        stored = read_table(spark, path)
+        kept = stored.filter(F.col(PERIOD).isin(days)).join(buckets, time_column, "left_anti")
+        fresh = _period_last(kept.select(*stored.columns).unionByName(fresh, allowMissingColumns=True))
+    _write_pending(fresh, path, sort_by, stored)
+    _publish(spark, path)
+
+
 def append_batch(rows: DataFrame, path: str, batch_id: int, time_column: str, sort_by: Sequence[str]) -> None:
     """Add the rows of a micro-batch in day folders, each with a folder of the batch; nothing stored is read.
 
     A batch that comes again replaces its own folders, so its rows are there once.
     """
     spark = rows.sparkSession
-    day = utc_day(F.col(time_column), is_instant(rows, time_column))
-    rows = rows.withColumn(PERIOD, day).withColumn(BATCH, F.lit(batch_id).cast("long"))
+    rows = with_period(rows, time_column).withColumn(BATCH, F.lit(batch_id).cast("long"))
     known = spark.read.parquet(path + _SCHEMA) if table_exists(spark, path + _SCHEMA) else None
     _keep_schema(rows if known is None else known.unionByName(rows.limit(0), allowMissingColumns=True), path, known)
     if not table_exists(spark, path):
@@ -247,22 +272,50 @@ def append_batch(rows: DataFrame, path: str, batch_id: int, time_column: str, so
      .partitionBy(PERIOD, BATCH).parquet(path))
 
 
+def _finish_compaction(spark: SparkSession, path: str) -> None:
+    """Put merged batches in the place of those they hold, as the note of a complete compaction says."""
+    pending, note = path + _COMPACTING, path + _COMPACTED_NOTE
+    if table_exists(spark, note):
+        done = spark.read.parquet(note).groupBy(PERIOD).agg(F.collect_list(BATCH).alias("batches"), F.first("merged").alias("merged"))
+        for row in done.collect():  # one row for each day
+            day = f"{PERIOD}={row[PERIOD]}"
+            for batch in row["batches"]:
+                remove_path(spark, f"{path}/{day}/{BATCH}={batch}")
+            if path_exists(spark, merged := f"{pending}/{day}/{BATCH}={row['merged']}"):
+                _move(spark, merged, f"{path}/{day}/{BATCH}={row['merged']}")
+        remove_path(spark, note)
+    if path_exists(spark, pending):
+        remove_path(spark, pending)
+
+
 def compact_days(spark: SparkSession, path: str, before, sort_by: Sequence[str]) -> int:
     """Rewrite the days before a date that several batches have written, each into few files; returns how many.
 
-    For days that are closed: rows that a stream adds to one meanwhile would be lost. A run that stops is
-    completed by the next one.
+    Only the batches there at the start are merged and removed, so rows that a stream adds to such a day meanwhile
+    stay. A batch being written at the same time may come again and would replace files merged already, so the days
+    have to be older than the batch in progress; late readings go to folders of their own. What is removed is noted
+    before: a run that stops is completed by the next one.
     """
-    _publish(spark, path)
-    days = [p for p in _periods(spark, path) if p.split("=", 1)[1] < str(before)
-            and folder_names(spark, f"{path}/{p}") != [f"{BATCH}={COMPACTED}"]]
-    if days:
+    _finish_compaction(spark, path)
+    parts, merged = [], {}
+    for day in _periods(spark, path):
+        period = day.split("=", 1)[1]
+        batches = [int(n.split("=", 1)[1]) for n in folder_names(spark, f"{path}/{day}") if n.startswith(f"{BATCH}=")]
+        if period < str(before) and (len(batches) > 1 or any(n >= 0 for n in batches)):
+            parts += [(period, n, min([0, *batches]) - 1) for n in batches]
+            merged[period] = min([0, *batches]) - 1
+    if parts:
+        note = spark.createDataFrame(parts, f"{PERIOD} STRING, {BATCH} LONG, merged LONG").withColumn(
+            PERIOD, F.col(PERIOD).cast("date"))
         stored = read_table(spark, path)
-        rows = stored.filter(F.col(PERIOD).isin([F.lit(p.split("=", 1)[1]).cast("date") for p in days]))
-        with shuffles_for(spark, ROW_BYTES * sum(folder_bytes(spark, f"{path}/{p}") for p in days)):
-            _write_pending(rows.withColumn(BATCH, F.lit(COMPACTED).cast("long")), path, sort_by, stored, (PERIOD, BATCH))
-        _publish(spark, path)
-    return len(days)
+        rows = stored.join(note, [PERIOD, BATCH]).withColumn(BATCH, F.col("merged")).drop("merged")
+        # a list of days beside the join, so that other folders aren't listed or opened
+        rows = rows.filter(F.col(PERIOD).isin([date.fromisoformat(p) for p in merged])).select(*stored.columns)
+        with shuffles_for(spark, ROW_BYTES * sum(folder_bytes(spark, f"{path}/{PERIOD}={p}") for p in merged)):
+            _by_period(rows, sort_by).write.mode("overwrite").partitionBy(PERIOD, BATCH).parquet(path + _COMPACTING)
+        note.write.mode("overwrite").parquet(path + _COMPACTED_NOTE)
+        _finish_compaction(spark, path)
+    return len(merged)
 
 
 def drop_periods_before(spark: SparkSession, path: str, first_kept) -> int:

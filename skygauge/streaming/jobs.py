@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from skygauge.operators.keyed import latest_per_key
+from skygauge.operators.pruning import PERIOD, newest_day
 from skygauge.operators.rollups import weather_daily, weather_hourly
+from skygauge.plans.latest_view import merge_latest
+from skygauge.plans.rollup_tables import note_invalid
 from skygauge.session import adaptive
-from skygauge.sources.tables import append_batch, upsert_table, write_jdbc
+from skygauge.sources.ranges import widen_ranges
+from skygauge.sources.tables import (BATCH, append_batch, path_exists, read_table, table_exists, upsert_table, with_period,
+                                     write_jdbc)
 from skygauge.streaming.messages import accepted, flat_readings, parse, rejected
 
 READING_KEY = ("timestamp", "governorate")
@@ -59,22 +67,108 @@ def write_files(stream: DataFrame, path: str, checkpoint: str, interval: str | N
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
+_BRANCH, _UNIQUE, _ALL = "__branch", 0, 1
+
+
+def _has_key() -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in READING_KEY])
+
+
+def _watermark_bound(spark: SparkSession, path: str, delay: str) -> Column | None:
+    """A time at or after the stream's watermark: the newest stored time less the delay, as a literal; None for an
+    empty table. Read from the last day's folder."""
+    if not table_exists(spark, path):
+        return None
+    newest = newest_day(read_table(spark, path), "timestamp").agg(F.max("timestamp") - F.expr(f"INTERVAL {delay}"))
+    bound = newest.first()[0]
+    return None if bound is None else F.lit(bound)
+
+
+def _stored_keys(spark: SparkSession, path: str, late: DataFrame, batch_id: int) -> DataFrame:
+    """Keys of stored readings among which those of ``late`` rows can be, without those of the batch itself.
+
+    Files are sorted by time within a day, so of the days of late rows only the row groups of their times are read.
+    """
+    spans = late.groupBy(PERIOD).agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).collect()
+    stored = read_table(spark, path).filter(F.col(BATCH) != batch_id)
+    if not spans:  # one value for each day of the calendar at most
+        return stored.select(*READING_KEY).limit(0)
+    stored = stored.filter(F.col(PERIOD).isin([s[PERIOD] for s in spans]))
+    stored = stored.filter(F.col("timestamp").between(min(s["first"] for s in spans), max(s["last"] for s in spans)))
+    return stored.select(*READING_KEY)
+
+
+def _unseen(late: DataFrame, unique: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Late rows, one for each key, whose key neither the table nor the batch's other rows have."""
+    spark = late.sparkSession
+    order = [c for c in ("processed_at",) if c in late.columns]
+    late = latest_per_key(late, READING_KEY, order)
+    known = _stored_keys(spark, path, with_period(late, "timestamp"), batch_id)
+    return late.join(known.unionByName(unique.select(*READING_KEY)), list(READING_KEY), "left_anti").select(*late.columns)
+
+
 def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds",
-                    delay: str = HOURLY_DELAY) -> StreamingQuery:
+                    delay: str = HOURLY_DELAY, quarantine: str | None = None, latest: str | None = None) -> StreamingQuery:
     """Append each reading once, in day folders; for rates at which rewriting a day is too much.
 
-    The stream drops repeats within ``delay``, and a repeated micro-batch replaces its own files, so nothing
-    else is read or rewritten and no log of files grows. Closed days are merged into few files with
-    ``compact_days``; old ones go by reading time, with ``drop_periods_before``.
+    The stream drops repeats within ``delay`` by its state, so readings in time are neither compared with stored
+    ones nor rewritten. Those behind the watermark, which that state would lose, come by a second branch of the same
+    stream: one of each key is joined to the stored keys of its day and time, and appended if it's new. Their hours are
+    noted, so that rollups can be mended (``refresh_invalid``).
+
+    A repeated micro-batch replaces its own files. Readings without time or governorate go to the ``quarantine``
+    folder; without one they are an error. ``latest`` is the path of a view of the newest reading per region that is
+    kept along. The days' ranges of the other clocks are kept too (``sources.ranges``). Closed days are merged into
+    few files with ``compact_days``; old ones go by reading time, with ``drop_periods_before``.
+
+    A table belongs to one checkpoint, as folders are named by its batches.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        with adaptive(batch.sparkSession):
-            append_batch(batch, path, batch_id, "timestamp", READING_KEY)
+    spark = readings.sparkSession
+    if table_exists(spark, path) and not path_exists(spark, checkpoint):
+        raise ValueError(f"{path} was written with another checkpoint, whose batches a new one would replace")
+    unique = distinct_readings(readings.filter(_has_key()), delay).withColumn(_BRANCH, F.lit(_UNIQUE))
+    both = unique.unionByName(readings.withColumn(_BRANCH, F.lit(_ALL)))
 
-    return (distinct_readings(readings, delay).writeStream.foreachBatch(write).outputMode("append")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        with adaptive(own):
+            bound = _watermark_bound(own, path, delay)
+            behind = F.lit(False) if bound is None else F.col("timestamp") <= bound
+            # the stream's state is updated once, when these rows are first computed
+            kept = batch.filter((F.col(_BRANCH) == _UNIQUE) | ~_has_key() | behind).persist()
+            try:
+                if not kept.isEmpty():  # a batch may only move the watermark
+                    _write_batch(kept, batch_id, behind, path, quarantine, latest)
+            finally:
+                kept.unpersist()
+
+    return (both.writeStream.foreachBatch(write).outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
+def _write_batch(kept: DataFrame, batch_id: int, behind: Column, path: str, quarantine: str | None, latest: str | None) -> None:
+    on_time = kept.filter(F.col(_BRANCH) == _UNIQUE).drop(_BRANCH)
+    rest = kept.filter(F.col(_BRANCH) == _ALL).drop(_BRANCH)
+    bad, late = rest.filter(~_has_key()), rest.filter(_has_key() & behind)
+    if not bad.isEmpty():
+        if quarantine is None:
+            raise ValueError("readings without time or governorate, and no quarantine folder")
+        bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={batch_id}")
+    new = None if late.isEmpty() else _unseen(late, on_time.filter(behind), path, batch_id).persist()
+    try:
+        rows = on_time
+        if new is not None:
+            note_invalid(new, path, batch_id)
+            rows = on_time.unionByName(new)
+        widen_ranges(with_period(rows, "timestamp"), path, batch_id)  # before the rows, which it has to cover
+        append_batch(rows, path, batch_id, "timestamp", READING_KEY)
+        if latest is not None:
+            merge_latest(rows, latest, batch_id)
+    finally:
+        if new is not None:
+            new.unpersist()
+
+
 def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
                     interval: str | None = "30 seconds", quarantine: str | None = None) -> StreamingQuery:
     """Keep the reading table by key, in day partitions. A repeated micro-batch changes nothing.
@@ -91,6 +185,7 @@ def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
         rows = batch.filter(usable) if quarantine else batch
         if not rows.isEmpty():
             with adaptive(batch.sparkSession):
+                widen_ranges(with_period(rows, "timestamp"), path)
                 upsert_table(rows, path, READING_KEY, ["processed_at"], "timestamp", grain="day")
 
     return (readings.writeStream.foreachBatch(write).outputMode("append")
@@ -120,8 +215,9 @@ def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint
             good = accepted(parsed)
             if not good.isEmpty():
                 with adaptive(batch.sparkSession):
-                    upsert_table(flat_readings(good, unit=unit), table, READING_KEY, ["processed_at"], "timestamp",
-                                 grain="day")
+                    rows = flat_readings(good, unit=unit)
+                    widen_ranges(with_period(rows, "timestamp"), table)
+                    upsert_table(rows, table, READING_KEY, ["processed_at"], "timestamp", grain="day")
         finally:
             parsed.unpersist()
 
