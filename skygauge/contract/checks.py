@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygauge.contract import sqltext as S
-from skygauge.contract.layers import names_of
+from skygauge.contract.layers import names_of, places_table
 from skygauge.contract.registry import query
 from skygauge.contract.standins import RUN_TS, bronze, load
 from skygauge.contract.dashboards import rounded
@@ -48,7 +48,7 @@ def dq_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphan_keys(load(spark, sf_dir, "lineitem"), "l_suppkey", good, "s_suppkey")
 
 
-def _report_sql() -> str:
+def report_sql() -> str:
     parts = []
     for table, checks in quality.GOLD_CHECKS.items():
         for c in checks.not_null:
@@ -63,7 +63,7 @@ def _report_sql() -> str:
     return f"WITH {S.gold_cte(*SOURCES)} " + " UNION ALL ".join(parts)
 
 
-@query(_report_sql())
+@query(report_sql())
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks over stored gold tables, so that each fact is computed once for its checks."""
     place = scratch_path(spark, "gold")
@@ -87,7 +87,7 @@ def dq_stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts beyond a date dimension that ends early, as the failed check has stored them."""
     place = scratch_path(spark, "failures")
     days = gold.dim_date(spark, RUN_TS, end=_SHORT)
-    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    places = places_table(spark, sf_dir)
     rows = silver(bronze(spark, sf_dir, "weather"), "weather", RUN_TS)
     gold.fact(rows, places, days, "weather", RUN_TS).write.parquet(f"{place}/fact_weather")
     tables = {"dim_governorate": places, "dim_date": days, "fact_weather": spark.read.parquet(f"{place}/fact_weather")}
@@ -108,7 +108,7 @@ def site_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- analyses --------------------------------------------------------------------------------
 
 def _facts(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    places = places_table(spark, sf_dir)
     days = gold.dim_date(spark, RUN_TS)
     rows = silver(bronze(spark, sf_dir, source), source, RUN_TS)
     return analytics.with_dimensions(gold.fact(rows, places, days, source, RUN_TS), places, days)
@@ -159,12 +159,12 @@ def trend_slope(spark: SparkSession, sf_dir: str) -> DataFrame:
         sum(all_sky_surface_shortwave_downward) / sum(clear_sky_surface_shortwave_downward) AS clear_ratio,
         stddev_samp(all_sky_surface_shortwave_downward) / avg(all_sky_surface_shortwave_downward) AS variability
         FROM facts GROUP BY 1),
-    ends AS (SELECT min(irradiance) i0, max(irradiance) i1, min(clear_ratio) c0, max(clear_ratio) c1,
-                    min(variability) v0, max(variability) v1 FROM sites)
+    ranked AS (SELECT *, percent_rank() OVER (ORDER BY irradiance NULLS FIRST) AS ri,
+        percent_rank() OVER (ORDER BY clear_ratio NULLS FIRST) AS rc, percent_rank() OVER (ORDER BY variability NULLS FIRST) AS rv
+        FROM sites)
     SELECT governorate_name, hours, round(irradiance, 6) AS irradiance, round(clear_ratio, 6) AS clear_ratio,
-        round(variability, 6) AS variability, round(0.5E0 * (irradiance - i0) / (i1 - i0)
-            + 0.3E0 * (clear_ratio - c0) / (c1 - c0) + 0.2E0 * (1 - (variability - v0) / (v1 - v0)), 6) AS score
-    FROM sites, ends ORDER BY score DESC, 1 LIMIT 5"""))
+        round(variability, 6) AS variability, round(0.5E0 * ri + 0.3E0 * rc + 0.2E0 * (1 - rv), 6) AS score
+    FROM ranked ORDER BY score DESC, 1 LIMIT 5"""))
 def site_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best sites."""
     sites = analytics.site_ranking(_facts(spark, sf_dir, "solar_energy"), top=5)

@@ -109,8 +109,15 @@ def dim_region_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- facts -----------------------------------------------------------------------------------
 
+def places_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The governorate dimension as a stored table, whose size the planner knows."""
+    path = scratch_path(spark, "dim_governorate")
+    gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def fact_of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    places = places_table(spark, sf_dir)
     rows = silver(bronze(spark, sf_dir, source), source, RUN_TS)
     return gold.fact(rows, places, gold.dim_date(spark, RUN_TS), source, RUN_TS)
 
@@ -136,7 +143,7 @@ def fact_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts missed while their governorate had no key, found once the dimension has grown."""
     rows = silver(bronze(spark, sf_dir, "weather"), "weather", RUN_TS)
     days = gold.dim_date(spark, RUN_TS)
-    places = gold.dim_governorate(names_of(spark, sf_dir, *SOURCES), RUN_TS)
+    places = places_table(spark, sf_dir)
     known = names_of(spark, sf_dir, "solar_energy")[0].withColumnRenamed("governorate", "governorate_name")
     early = places.join(known, "governorate_name", "left_semi").select(*places.columns)
     stored = gold.fact(rows, early, days, "weather", RUN_TS)

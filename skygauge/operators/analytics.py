@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from skygauge.operators.sizing import broadcast_if_small
+from skygauge.operators.sizing import percent_rank
 from skygauge.session import shared_dir
 
 
@@ -12,8 +12,7 @@ def with_dimensions(fact: DataFrame, dim_governorate: DataFrame, dim_date: DataF
     """Fact rows with the attributes of both dimensions."""
     places = dim_governorate.select("governorate_key", "governorate_name", "region")
     days = dim_date.select("date_key", "year", "quarter", "month", "season")
-    return (fact.join(broadcast_if_small(places), "governorate_key")
-            .join(broadcast_if_small(days), "date_key"))
+    return fact.join(places, "governorate_key").join(F.broadcast(days), "date_key")  # a row per day of the calendar
 
 
 def year_over_year(facts: DataFrame, measure: str) -> DataFrame:
@@ -50,17 +49,11 @@ def trend(facts: DataFrame, measure: str) -> DataFrame:
         F.count("*").alias("years"))
 
 
-def _scaled(column: str, extremes: Column) -> Column:
-    """Value between 0 and 1 by the range over all sites; 0 if all are equal."""
-    low, high = extremes[f"low_{column}"], extremes[f"high_{column}"]
-    return F.coalesce((F.col(column) - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
-
-
 def site_ranking(solar: DataFrame, top: int) -> DataFrame:
-    """Sites by solar potential: irradiance and clear-sky ratio count for, variability against.
+    """Sites by solar potential: of irradiance, clear-sky ratio and variability the percent ranks over all sites are
+    weighted, the last one counting against a site.
 
-    Min-max scaling needs two totals only, where a percentile rank would sort all sites in one task.
-    The row per site is checkpointed, so the facts are read once for totals and scores.
+    The row per site is checkpointed, so the facts are read once for the three ranks.
     """
     shared_dir(solar.sparkSession)
     got, clear = F.col("all_sky_surface_shortwave_downward"), F.col("clear_sky_surface_shortwave_downward")
@@ -69,12 +62,11 @@ def site_ranking(solar: DataFrame, top: int) -> DataFrame:
                   (F.sum(got) / F.nullif(F.sum(clear), F.lit(0.0))).alias("clear_ratio"),
                   (F.stddev_samp(got) / F.nullif(F.avg(got), F.lit(0.0))).alias("variability"))
              .checkpoint())
-    extremes = sites.agg(F.struct(*[
-        f(c).alias(f"{name}_{c}") for c in ("irradiance", "clear_ratio", "variability")
-        for name, f in (("low", F.min), ("high", F.max))]).alias("extremes")).scalar()
-    score = (0.5 * _scaled("irradiance", extremes) + 0.3 * _scaled("clear_ratio", extremes)
-             + 0.2 * (1 - _scaled("variability", extremes)))
-    return (sites.withColumn("score", score)
+    ranked = sites
+    for column in ("irradiance", "clear_ratio", "variability"):
+        ranked = percent_rank(ranked, column, f"_{column}")
+    score = 0.5 * F.col("_irradiance") + 0.3 * F.col("_clear_ratio") + 0.2 * (1 - F.col("_variability"))
+    return (ranked.select(*sites.columns, score.alias("score"))
             .orderBy(F.desc(F.round("score", 6)), "governorate_name").limit(top))
 
 

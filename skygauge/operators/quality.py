@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skygauge import lookups as L
+from skygauge.operators.pruning import PERIOD
 
 
 class Relationship(NamedTuple):
@@ -72,14 +73,14 @@ def _lines(failures: DataFrame, check: str, table: str, columns: Sequence[str])
         F.lit(check).alias("check"), F.lit(table).alias("table"), "column", "failures")
 
 
-def _row_checks(name: str, tables: dict[str, DataFrame], checks: TableChecks) -> DataFrame:
-    """The not-null and relationship checks of a table, in one scan of it.
+def _row_checks(name: str, tables: dict[str, DataFrame], checks: TableChecks, by: Sequence[str] = ()) -> DataFrame:
+    """The not-null and relationship checks of a table, or of each of its parts ``by`` some columns, in one scan of it.
 
     Rows are counted per combination of the foreign keys before anything is joined, so a combination that fills
     the table sends one row per task, and the parents meet counts only.
     """
     links = checks.relationships
-    counted = tables[name].groupBy(*dict.fromkeys(r.column for r in links)).agg(
+    counted = tables[name].groupBy(*by, *dict.fromkeys(r.column for r in links)).agg(
         F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in checks.not_null])
     for place, (column, parent, field) in enumerate(links):
         known = tables[parent].select(F.col(field).alias(column)).distinct().withColumn(f"_known_{place}", F.lit(True))
@@ -90,7 +91,7 @@ def _row_checks(name: str, tables: dict[str, DataFrame], checks: TableChecks) ->
     sums += [("relationships", r.column, total) for r, total in zip(links, orphans)]
     found = [F.struct(F.lit(check).alias("check"), F.lit(name).alias("table"), F.lit(column).alias("column"),
                       F.coalesce(total, F.lit(0)).alias("failures")) for check, column, total in sums]
-    return counted.agg(F.array(*found).alias("found")).select(F.inline("found"))
+    return counted.groupBy(*by).agg(F.array(*found).alias("found")).select(*by, F.inline("found"))
 
 
 def table_report(name: str, tables: dict[str, DataFrame], checks: TableChecks) -> DataFrame:
@@ -107,6 +108,27 @@ def table_report(name: str, tables: dict[str, DataFrame], checks: TableChecks) -
     return reduce(DataFrame.unionByName, parts)
 
 
+def report_by_period(name: str, tables: dict[str, DataFrame], checks: TableChecks, period: str = PERIOD) -> DataFrame:
+    """(period, check, table, column, failures) for each period of a table whose keys determine the period.
+
+    So a key can be repeated within its period only, and results of periods can be added up.
+    """
+    parts = [_row_checks(name, tables, checks, [period])]
+    for column in checks.unique:
+        failing = duplicate_keys(tables[name], [period, column]).groupBy(period).agg(F.count("*").alias("failures"))
+        parts.append(failing.select(period, F.lit("unique").alias("check"), F.lit(name).alias("table"),
+                                    F.lit(column).alias("column"), "failures"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def declared_checks(spark: SparkSession, name: str, checks: TableChecks) -> DataFrame:
+    """A line without failures for each declared check of a table."""
+    lines = [("not_null", name, c) for c in checks.not_null] + [("unique", name, c) for c in checks.unique]
+    lines += [("relationships", name, r.column) for r in checks.relationships]
+    return spark.createDataFrame(lines, "check STRING, table STRING, column STRING").withColumn(
+        "failures", F.lit(0).cast("long"))
+
+
 def quality_report(tables: dict[str, DataFrame], checks: dict[str, TableChecks] | None = None) -> DataFrame:
     """(check, table, column, failures) of all checks."""
     checks = GOLD_CHECKS if checks is None else checks
@@ -128,14 +150,19 @@ def failing_rows(tables: dict[str, DataFrame], check: str, table: str, column: s
     raise ValueError(f"unknown check {check!r}")
 
 
-def store_failures(tables: dict[str, DataFrame], report: DataFrame, audit_path: str) -> int:
+def store_failures(tables: dict[str, DataFrame], report: DataFrame, audit_path: str,
+                   periods: dict[tuple[str, str, str], list] | None = None) -> int:
     """Write the failing rows of each failed check below ``audit_path``; returns how many failed.
 
-    The report has one row per declared check, so reading it on the driver is bounded.
+    The report has one row per declared check, so reading it on the driver is bounded. ``periods`` names those of a
+    check (by check, table and column) that have failures, so that no others are read.
     """
     failed = report.filter("failures > 0").collect()
     for row in failed:
-        rows = failing_rows(tables, row["check"], row["table"], row["column"])
+        some = (periods or {}).get((row["check"], row["table"], row["column"]))
+        own = tables if some is None else {
+            **tables, row["table"]: tables[row["table"]].filter(F.col(PERIOD).isin(some))}
+        rows = failing_rows(own, row["check"], row["table"], row["column"])
         rows.write.mode("overwrite").parquet(f"{audit_path}/{row['check']}_{row['table']}_{row['column']}")
     return len(failed)
 

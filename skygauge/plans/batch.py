@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
 
-from skygauge.operators.quality import GOLD_CHECKS, quality_report, store_failures, table_counts
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+
+from skygauge.operators.pruning import PERIOD
+from skygauge.operators.quality import (GOLD_CHECKS, declared_checks, report_by_period, store_failures, table_counts,
+                                        table_report)
 from skygauge.plans import gold
 from skygauge.plans.silver import silver, silver_keys
 from skygauge.schemas import BRONZE_COLUMNS, SOURCES, TIME_COLUMN
 from skygauge.session import shuffles_for
+from skygauge.sources.changes import changed_after, last_change, note_changes
 from skygauge.sources.csv_files import bronze_path, load_new_files
+from skygauge.sources.snapshots import next_version, read_snapshot, write_snapshot
 from skygauge.sources.tables import (ROW_BYTES, folder_bytes, folder_names, overwrite_table, path_exists,
                                      read_if_exists, read_table, table_exists, upsert_table)
 
@@ -84,7 +90,7 @@ def build_silver(spark: SparkSession, warehouse: str, run_ts) -> None:
         bronze = read_bronze_table(spark, warehouse, source, taken)
         with shuffles_for(spark, ROW_BYTES * size):
             new = silver(bronze, source, run_ts, stored if taken is None else None)
-            upsert_table(new, path, silver_keys(source), ["load_timestamp"], TIME_COLUMN[source])
+            note_changes(spark, path, upsert_table(new, path, silver_keys(source), ["load_timestamp"], TIME_COLUMN[source]))
         overwrite_table(spark.range(fresh[-1], fresh[-1] + 1).toDF("load_id"), _taken_path(warehouse, source))
 
 
@@ -101,20 +107,56 @@ def build_dimensions(spark: SparkSession, warehouse: str, run_ts, refresh: bool
         overwrite_table(gold.dim_governorate(tables, run_ts, stored), places)
 
 
+def _fact_note_path(warehouse: str, source: str) -> str:
+    return gold_path(warehouse, f"fact_{source}") + "__taken"
+
+
+def _note_fact(spark: SparkSession, warehouse: str, source: str, run: int, periods: list, note: Row | None) -> None:
+    """Note the silver run that a fact holds, and its high-water mark.
+
+    The mark is the greatest of the noted one and that of the periods just written, so the fact isn't scanned for it.
+    If no row of the run has landed, as all lacked a dimension row, the mark stays and so does the note: the next
+    run takes the rows again, as the mark alone would have it.
+    """
+    fact = read_table(spark, gold_path(warehouse, f"fact_{source}"))
+    written = fact if note is None else fact.filter(F.col(PERIOD).isin(periods))
+    mark = written.agg(F.max("transform_timestamp")).first()[0]
+    if mark is not None and (note is None or mark > note["high_water"]):
+        row = spark.createDataFrame([(run, mark)], "run LONG, high_water TIMESTAMP_NTZ")
+        overwrite_table(row, _fact_note_path(warehouse, source))
+
+
 def build_facts(spark: SparkSession, warehouse: str, run_ts, repair: bool = False) -> None:
+    """Bring the silver rows that the facts lack into them.
+
+    The change log of silver names the periods to open, and the noted mark tells their new rows: neither other
+    periods nor the fact are read. Without a note or a log, the mark is taken from the fact and all of silver is read.
+    """
     places = read_table(spark, gold_path(warehouse, "dim_governorate"))
     days = read_table(spark, gold_path(warehouse, "dim_date"))
     for source in SOURCES:
-        if not table_exists(spark, silver_path(warehouse, source)):
+        origin = silver_path(warehouse, source)
+        if not table_exists(spark, origin):
             continue
-        rows = read_table(spark, silver_path(warehouse, source))
+        rows = read_table(spark, origin)
         path = gold_path(warehouse, f"fact_{source}")
-        stored = read_if_exists(spark, path)
+        stored, run = read_if_exists(spark, path), last_change(spark, origin)
+        notes = read_if_exists(spark, _fact_note_path(warehouse, source)) if stored is not None else None
+        note = None if notes is None else notes.first()
         if repair and stored is not None:
             new = gold.repaired(rows, places, days, source, run_ts, stored)
-        else:
+        elif note is None or run is None:
             new = gold.fact(rows, places, days, source, run_ts, stored)
-        upsert_table(new, path, [gold.FACT_KEYS[source]], ["load_timestamp"], TIME_COLUMN[source])
+        else:
+            changed = changed_after(spark, origin, note["run"])
+            if not changed:
+                continue
+            fresh = rows.filter(F.col(PERIOD).isin(changed) & (F.col("transform_timestamp") > F.lit(note["high_water"])))
+            new = gold.fact(fresh, places, days, source, run_ts)
+        periods = upsert_table(new, path, [gold.FACT_KEYS[source]], ["load_timestamp"], TIME_COLUMN[source])
+        note_changes(spark, path, periods)
+        if run is not None and not repair:
+            _note_fact(spark, warehouse, source, run, periods, note)
 
 
 def gold_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
@@ -123,17 +165,52 @@ def gold_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
             if table_exists(spark, gold_path(warehouse, n))}
 
 
-def check_gold(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The quality report of the gold tables; failing rows are kept below ``audit``."""
+def _checked_periods(spark: SparkSession, warehouse: str, name: str, tables: dict[str, DataFrame], everything: bool) -> DataFrame:
+    """Stored results of a fact's checks by period, those of changed periods computed anew.
+
+    Periods with keys that a dimension lacked are checked again too, as the dimension may have got them since. Keys
+    never leave a dimension; after one was rebuilt by hand, check ``everything``.
+    """
+    path, results = gold_path(warehouse, name), f"{warehouse}/audit/by_period/{name}"
+    run, known = last_change(spark, path), read_snapshot(spark, results)
+    upto = None if known is None else known.agg(F.max("upto")).first()[0]
+    if everything or run is None or upto is None:
+        fresh, periods = tables, None
+    else:
+        orphans = known.filter("check = 'relationships' and failures > 0").select(PERIOD).distinct()
+        periods = sorted({*changed_after(spark, path, upto), *(r[0] for r in orphans.collect())})
+        fresh = {**tables, name: tables[name].filter(F.col(PERIOD).isin(periods))}
+    if periods is None or periods:
+        found = report_by_period(name, fresh, GOLD_CHECKS[name])
+        if periods is not None:
+            found = known.drop("upto").filter(~F.col(PERIOD).isin(periods)).unionByName(found)
+        write_snapshot(found.withColumn("upto", F.lit(-1 if run is None else run).cast("long")), results,
+                       next_version(spark, results))
+    return read_snapshot(spark, results).drop("upto")
+
+
+def check_gold(spark: SparkSession, warehouse: str, everything: bool = False) -> DataFrame:
+    """The quality report of the gold tables; failing rows are kept below ``audit``.
+
+    Facts are checked by period, and of stored results only those of changed periods are computed again.
+    """
     tables = gold_tables(spark, warehouse)
     path = f"{warehouse}/audit/report"
-    # Stored first: the counts are then read, not computed again, for the failures and by the caller.
+    facts = [n for n in tables if n.startswith("fact_")]
     size = sum(folder_bytes(spark, gold_path(warehouse, n)) for n in tables)
     with shuffles_for(spark, size):  # only keys are shuffled, about the size of the compressed rows
-        checks = {n: c for n, c in GOLD_CHECKS.items() if n in tables}
-        quality_report(tables, checks).write.mode("overwrite").parquet(path)
+        checked = {n: _checked_periods(spark, warehouse, n, tables, everything) for n in facts}
+        lines = [table_report(n, tables, GOLD_CHECKS[n]) for n in tables if n not in facts]
+        for n, found in checked.items():
+            both = declared_checks(spark, n, GOLD_CHECKS[n]).unionByName(found.drop(PERIOD))
+            lines.append(both.groupBy("check", "table", "column").agg(F.sum("failures").alias("failures")))
+        reduce(DataFrame.unionByName, lines).write.mode("overwrite").parquet(path)
     report = spark.read.parquet(path)
-    store_failures(tables, report, f"{warehouse}/audit")
+    failing: dict[tuple[str, str, str], list] = {}
+    for found in checked.values():  # a line for each failing check and period at most
+        for row in found.filter("failures > 0").collect():
+            failing.setdefault((row["check"], row["table"], row["column"]), []).append(row[PERIOD])
+    store_failures(tables, report, f"{warehouse}/audit", failing)
     return report
 
 

@@ -12,7 +12,7 @@ from skygauge.functions.bands import classify, region_class, season
 from skygauge.functions.keys import date_key, surrogate_key, timestamp_text
 from skygauge.functions.times import hour_of_day, ts_literal
 from skygauge.operators.keyed import missed_rows, newer_than
-from skygauge.operators.sizing import broadcast_if_small, number_rows
+from skygauge.operators.sizing import number_rows
 from skygauge.schemas import MEASURES, TIME_COLUMN
 
 FACT_KEYS = {"air_pollution": "air_pollution_key", "solar_energy": "solar_energy_key",
@@ -85,9 +85,9 @@ def fact(silver: DataFrame, dim_governorate: DataFrame, dim_date: DataFrame, sou
     fresh = newer_than(silver, stored, "transform_timestamp")
     places = dim_governorate.select("governorate_key", F.col("governorate_name").alias("governorate"))
     days = dim_date.select("date_key", F.col("date_value").alias("_day"))
-    joined = (fresh.join(broadcast_if_small(places), "governorate")
-              .withColumn("_day", F.to_date(time))
-              .join(broadcast_if_small(days), "_day", "left"))
+    # the date dimension has one row per day of the calendar; the size of the other one is left to the planner
+    joined = (fresh.join(places, "governorate").withColumn("_day", F.to_date(time))
+              .join(F.broadcast(days), "_day", "left"))
     time_text = F.col(time).cast("string") if time == "date" else timestamp_text(time)
     hours = [] if time == "date" else [hour_of_day(time).alias("hour_of_day")]
     return joined.select(

@@ -188,7 +188,8 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     if not table_exists(spark, path):
         _write_pending(_period_last(latest_per_key(rows, match, order_by)), path, keys)
         _publish(spark, path)
-        return [date.fromisoformat(p.split("=", 1)[1]) for p in _periods(spark, path)]
+        stored = _periods(spark, path) if path_exists(spark, path) else []  # no folder without rows
+        return [date.fromisoformat(p.split("=", 1)[1]) for p in stored]
     rows = rows.persist()
     try:
         # One value per calendar day or month: bounded by the time span, and it prunes the scan.

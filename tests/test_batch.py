@@ -9,9 +9,11 @@ from skygauge.plans import batch, gold
 from skygauge.plans.silver import governorates, silver, silver_keys, standardize, unusable_rows
 from skygauge.session import SHUFFLE_CONF, shuffles_for
 from skygauge.schemas import BRONZE_COLUMNS, MEASURES, SOURCES, column_names
+from skygauge.sources.changes import changed_after, note_changes
 from skygauge.sources.csv_files import (bronze_path, count_files, files_to_copy, list_files, load_new_files, read_bronze,
                                         require_files)
-from skygauge.sources.tables import read_table
+from skygauge.sources.snapshots import versions
+from skygauge.sources.tables import overwrite_table, read_table, upsert_table
 
 RUN = "2025-01-01 00:00:00"
 WEATHER_HEADER = "c1,c2,c3,c4,c5,c6,c7,c8,c9,c10,c11,c12,c13,c14,c15,c16"
@@ -289,3 +291,52 @@ def test_report_scans_a_fact_twice(spark, tmp_path):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == 4 and sum("weather_key" in line for line in scans) == 2  # and one of each parent
     assert {r["failures"] for r in report.collect()} == {0} and report.count() == 7
+
+
+def break_files(folder):
+    """Make the files of a period unreadable; returns how many."""
+    files = [f for f in folder.rglob("*.parquet")]
+    for f in files:
+        f.write_bytes(b"not to be read")
+        (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    return len(files)
+
+
+def test_a_second_run_opens_changed_periods_only(spark, tmp_path):
+    landing, house = tmp_path / "landing", str(tmp_path / "house")
+    write_landing(landing, "1")
+    write_landing(landing, "2", date="2024-02-10")
+    batch.run_batch(spark, str(landing), house, RUN)
+    for layer in ("silver/weather", "gold/fact_weather"):
+        assert break_files(tmp_path / "house" / layer / "period=2024-01-01")
+    write_landing(landing, "3", city="Giza", date="2024-02-20")
+    report = batch.run_batch(spark, str(landing), house, "2025-02-01 00:00:00")   # January is neither read nor checked again
+    assert report.filter("failures > 0").count() == 0 and report.count() == 32
+    assert changed_after(spark, batch.silver_path(house, "weather"), 0) == [day(1).replace(month=2)]
+    fact = read_table(spark, batch.gold_path(house, "fact_weather")).filter("period = '2024-02-01'")
+    assert sorted(r["date"].day for r in fact.collect()) == [10, 20]
+    before = versions(spark, f"{house}/audit/by_period/fact_weather")
+    batch.run_batch(spark, str(landing), house, "2025-03-01 00:00:00")            # nothing new: nothing is checked
+    assert versions(spark, f"{house}/audit/by_period/fact_weather") == before
+
+
+def test_merged_report_follows_mended_periods(spark, tmp_path):
+    landing, house = tmp_path / "landing", str(tmp_path / "house")
+    write_landing(landing, "1")
+    batch.run_batch(spark, str(landing), house, RUN)
+    fact = batch.gold_path(house, "fact_weather")
+    rows = read_table(spark, fact)
+    bad = rows.withColumns({"weather_key": F.lit("x"), "governorate_key": F.lit(99).cast("bigint"), "date_key": F.lit(None).cast("int"),
+                            "date": F.lit("2024-03-05").cast("date")}).drop("period")
+    note_changes(spark, fact, upsert_table(bad, fact, ["weather_key"], ["load_timestamp"], "date"))
+    failures = lambda **k: {(r["check"], r["column"]): r["failures"] for r in batch.check_gold(spark, house, **k).filter(
+        "failures > 0").collect()}
+    wanted = {("not_null", "date_key"): 1, ("relationships", "governorate_key"): 1}
+    assert failures() == wanted and failures() == wanted and failures(everything=True) == wanted
+    orphans = spark.read.parquet(f"{house}/audit/relationships_fact_weather_governorate_key")
+    assert [r["governorate_key"] for r in orphans.collect()] == [99]
+    places = read_table(spark, batch.gold_path(house, "dim_governorate"))
+    key = places.filter("governorate_name is not null").limit(1).withColumns(
+        {"governorate_key": F.lit(99).cast(dict(places.dtypes)["governorate_key"]), "governorate_name": F.lit("NEW")})
+    overwrite_table(places.unionByName(key).checkpoint(), batch.gold_path(house, "dim_governorate"))
+    assert failures() == {("not_null", "date_key"): 1}    # the dimension has got the key since

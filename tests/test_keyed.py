@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from skygauge.operators import sizing
 from skygauge.operators.keyed import append_columns, latest_per_key, merge_frames, missed_rows, newer_than
@@ -161,19 +161,25 @@ def test_retention_drops_day_folders(spark, tmp_path):
     assert [r[0] for r in rows(read_table(spark, path).select("day"))] == [d(3), d(4), d(5)]
 
 
-@pytest.mark.parametrize("limit", [1000, 10])
-def test_number_rows_small_and_large(spark, limit):
+def test_number_rows(spark):
     names = spark.range(500).select(F.format_string("n%05d", F.col("id") * 7 % 500).alias("name")).repartition(7)
-    numbered = sizing.number_rows(names, ["name"], "key", start=5, one_task_rows=limit)
+    numbered = sizing.number_rows(names, ["name"], "key", start=5)
     assert [(r["name"], r["key"]) for r in numbered.orderBy("name").collect()] == [
         (f"n{i:05d}", i + 5) for i in range(500)]
-
-
-def test_broadcast_only_when_small(spark):
-    small = sizing.broadcast_if_small(spark.range(10), rows=10)
-    large = sizing.broadcast_if_small(spark.range(11), rows=10)
-    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(small) and not hinted(large)
+    assert sizing.number_rows(names.limit(0), ["name"], "key").collect() == []
+
+
+def test_percent_rank_equals_the_window_function(spark):
+    values = spark.range(600).select("id", F.when(F.col("id") % 50 != 7, F.col("id") * 37 % 91 / 3.0).alias("v")).repartition(5)
+    ranked = sizing.percent_rank(values, "v", "rank")
+    window = values.withColumn("rank", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
+    assert {tuple(r) for r in ranked.collect()} == {tuple(r) for r in window.collect()}
+    one = sizing.percent_rank(values.limit(1), "v", "rank").collect()
+    assert [r["rank"] for r in one] == [0.0]
+    assert sizing.percent_rank(values.limit(0), "v", "rank").collect() == []
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("__part" in line for line in windows)  # none over all rows
 
 
 @pytest.mark.parametrize("row", [(None, "A", 2, 1.0), (d(2), None, 2, 1.0)])
