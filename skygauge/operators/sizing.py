@@ -43,7 +43,8 @@ def percent_rank(df: DataFrame, column: str, name: str) -> DataFrame:
 
     Equal values share their rank, and NULL is smaller than any value, as in the window function of that name with
     nulls first. Values are counted before they are sorted, so a value that many rows have is one row; the sum of the rows
-    before it is taken within its task, and added to that of the tasks before.
+    before it is taken within its task, and added to that of the tasks before. ``df`` is read twice, so it has to
+    give the same rows again.
     """
     values = df.groupBy(F.col(column).alias("__value")).agg(F.count("*").alias("__rows"))
     parts = _with_rows_before(_sorted_parts(values, [F.col("__value").asc_nulls_first()]), F.col("__rows"))
