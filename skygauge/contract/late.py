@@ -10,7 +10,9 @@ from skygauge.contract.registry import query
 from skygauge.contract.standins import readings
 from skygauge.functions.times import utc_instant, utc_wall_clock
 from skygauge.operators import serving
+from skygauge.operators.pruning import newest_day
 from skygauge.plans.latest_view import latest_view
+from skygauge.plans import health, stat_states
 from skygauge.plans.rollup_tables import POLICIES, refresh_invalid
 from skygauge.session import scratch_path
 from skygauge.sources.ranges import newest_value, read_between
@@ -44,12 +46,12 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return out
 
 
-def _arrive(spark: SparkSession, place: str, rows: DataFrame) -> None:
-    """Land the rows and run the stream over them to its end."""
+def _arrive(spark: SparkSession, place: str, rows: DataFrame, *views: str) -> None:
+    """Land the rows and run the stream over them to its end, with the named views (``latest``, ``states``)."""
     rows.write.mode("append").parquet(f"{place}/in")
     stream = jobs.read_files(spark, f"{place}/in", rows.schema)
     jobs.append_readings(stream, f"{place}/table", f"{place}/checkpoint", interval=None, quarantine=f"{place}/aside",
-                         latest=f"{place}/latest").awaitTermination()
+                         **{v: f"{place}/{v}" for v in views}).awaitTermination()
 
 
 def _stored_at_once(spark: SparkSession, sf_dir: str) -> str:
@@ -59,10 +61,10 @@ def _stored_at_once(spark: SparkSession, sf_dir: str) -> str:
     return f"{place}/table"
 
 
-def _late_table(spark: SparkSession, sf_dir: str) -> str:
+def _late_table(spark: SparkSession, sf_dir: str, *views: str) -> str:
     place = scratch_path(spark, "late")
     for rows in _arrivals(spark, sf_dir):
-        _arrive(spark, place, rows)
+        _arrive(spark, place, rows, *views)
     return place
 
 
@@ -83,7 +85,7 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY governorate ORDER BY "timestamp" DESC) = 1"""))
 def latest_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest reading of each region from the view that the stream keeps along; no reading is scanned for it."""
-    view = latest_view(spark, f"{_late_table(spark, sf_dir)}/latest")
+    view = latest_view(spark, f"{_late_table(spark, sf_dir, 'latest')}/latest")
     return view.select(*serving.LATEST_COLUMNS).withColumns({c: utc_wall_clock(c) for c in ("timestamp", "recorded_at")})
 
 
@@ -131,3 +133,49 @@ def rollup_invalidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = round_hourly(read_table(spark, targets["weather_hourly"])).select(F.lit("hour").alias("width"), *columns)
     daily = rounded(read_table(spark, targets["weather_daily"]), 9, "avg_temperature").select(F.lit("day").alias("width"), *columns)
     return hourly.unionByName(daily).withColumn("bucket", utc_wall_clock("bucket"))
+
+
+@query(S.with_readings("""SELECT 'region' AS kind, governorate AS name, count(*) AS readings, round(avg(main_temp), 9) AS mean,
+    round(stddev_samp(main_temp), 8) AS deviation, min(main_temp_min) AS low, max(main_temp_max) AS high, CAST(1 AS BIGINT) AS regions,
+    min("timestamp") AS first, max("timestamp") AS last FROM readings GROUP BY governorate
+    UNION ALL SELECT 'partition', CAST(kafka_partition AS VARCHAR), count(*), round(avg(main_temp), 9), NULL, NULL, NULL,
+        count(DISTINCT governorate), min("timestamp"), max("timestamp") FROM readings GROUP BY kafka_partition
+    UNION ALL SELECT 'all', NULL, count(*), NULL, NULL, NULL, NULL, count(DISTINCT governorate), min("timestamp"),
+        max("timestamp") FROM readings"""))
+def stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of regions, of partitions and of all, merged from the states that the stream has stored."""
+    path = f"{_late_table(spark, sf_dir, 'states')}/states"
+    none = F.lit(None).cast("double")
+    regions = stat_states.region_statistics(spark, path).select(
+        F.lit("region").alias("kind"), F.col("governorate").alias("name"), F.col("total_readings").alias("readings"),
+        F.col("avg_temp").alias("mean"), F.round("temp_stddev", 8).alias("deviation"), F.col("all_time_min").alias("low"),
+        F.col("all_time_max").alias("high"), F.lit(1).cast("long").alias("regions"), F.col("first_reading").alias("first"),
+        F.col("last_reading").alias("last"))
+    partitions = stat_states.partition_statistics(spark, path).select(
+        F.lit("partition"), F.col("kafka_partition").cast("string"), "total_records", "avg_temperature", none, none, none,
+        "governorate_count", "first_reading", "last_reading")
+    everything = stat_states.reading_metrics(spark, path).select(
+        F.lit("all"), F.lit(None).cast("string"), "total_records", none, none, none, none, "unique_governorates", "first_record",
+        "last_record")
+    rows = regions.union(partitions).union(everything)
+    return rounded(rows, 9, "mean").withColumns({c: utc_wall_clock(c) for c in ("first", "last")})
+
+
+@query(S.with_readings("""SELECT 'readings' AS name, true AS present, count(*) AS records, max("timestamp") AS latest FROM readings
+    WHERE "timestamp" > (SELECT max("timestamp") FROM readings) - INTERVAL 1 HOUR
+    UNION ALL SELECT 'missing', false, NULL, NULL"""))
+def table_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a reading table is there, and what its last hour holds."""
+    path = _stored_at_once(spark, sf_dir)
+    newest = newest_day(read_table(spark, path), "timestamp").agg(F.max("timestamp")).first()[0]
+    found = []
+    for name, place in (("readings", path), ("missing", f"{path}-missing")):
+        try:
+            checked = health.check_table(spark, place, F.lit(newest))
+            found.append(checked.select(F.lit(name).alias("name"), F.lit(True).alias("present"), "records",
+                                        utc_wall_clock("latest").alias("latest")))
+        except ValueError:
+            found.append(spark.range(1).select(F.lit(name).alias("name"), F.lit(False).alias("present"),
+                                               F.lit(None).cast("long").alias("records"),
+                                               F.lit(None).cast("timestamp_ntz").alias("latest")))
+    return found[0].unionByName(found[1])

@@ -6,7 +6,7 @@ so that a key always lives in one partition and an upsert rewrites only the part
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -289,13 +289,14 @@ def _finish_compaction(spark: SparkSession, path: str) -> None:
         remove_path(spark, pending)
 
 
-def compact_days(spark: SparkSession, path: str, before, sort_by: Sequence[str]) -> int:
+def compact_days(spark: SparkSession, path: str, before, sort_by: Sequence[str],
+                 merge: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Rewrite the days before a date that several batches have written, each into few files; returns how many.
 
     Only the batches there at the start are merged and removed, so rows that a stream adds to such a day meanwhile
     stay. A batch being written at the same time may come again and would replace files merged already, so the days
     have to be older than the batch in progress; late readings go to folders of their own. What is removed is noted
-    before: a run that stops is completed by the next one.
+    before: a run that stops is completed by the next one. ``merge`` may reduce the rows that are put together.
     """
     _finish_compaction(spark, path)
     parts, merged = [], {}
@@ -312,6 +313,7 @@ def compact_days(spark: SparkSession, path: str, before, sort_by: Sequence[str])
         rows = stored.join(note, [PERIOD, BATCH]).withColumn(BATCH, F.col("merged")).drop("merged")
         # a list of days beside the join, so that other folders aren't listed or opened
         rows = rows.filter(F.col(PERIOD).isin([date.fromisoformat(p) for p in merged])).select(*stored.columns)
+        rows = rows if merge is None else merge(rows)
         with shuffles_for(spark, ROW_BYTES * sum(folder_bytes(spark, f"{path}/{PERIOD}={p}") for p in merged)):
             _by_period(rows, sort_by).write.mode("overwrite").partitionBy(PERIOD, BATCH).parquet(path + _COMPACTING)
         note.write.mode("overwrite").parquet(path + _COMPACTED_NOTE)

@@ -13,6 +13,7 @@ from skygauge.operators.pruning import PERIOD, newest_day
 from skygauge.operators.rollups import weather_daily, weather_hourly
 from skygauge.plans.latest_view import merge_latest
 from skygauge.plans.rollup_tables import note_invalid
+from skygauge.plans.stat_states import append_states
 from skygauge.session import adaptive
 from skygauge.sources.ranges import widen_ranges
 from skygauge.sources.tables import (BATCH, append_batch, path_exists, read_table, table_exists, upsert_table, with_period,
@@ -108,7 +109,8 @@ def _unseen(late: DataFrame, unique: DataFrame, path: str, batch_id: int) -> Dat
 
 
 def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds",
-                    delay: str = HOURLY_DELAY, quarantine: str | None = None, latest: str | None = None) -> StreamingQuery:
+                    delay: str = HOURLY_DELAY, quarantine: str | None = None, latest: str | None = None,
+                    states: str | None = None) -> StreamingQuery:
     """Append each reading once, in day folders; for rates at which rewriting a day is too much.
 
     The stream drops repeats within ``delay`` by its state, so readings in time are neither compared with stored
@@ -118,7 +120,7 @@ def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: s
 
     A repeated micro-batch replaces its own files. Readings without time or governorate go to the ``quarantine``
     folder; without one they are an error. ``latest`` is the path of a view of the newest reading per region that is
-    kept along. The days' ranges of the other clocks are kept too (``sources.ranges``). Closed days are merged into
+    kept along, ``states`` that of partial states of its statistics (``plans.stat_states``). The days' ranges of the other clocks are kept too (``sources.ranges``). Closed days are merged into
     few files with ``compact_days``; old ones go by reading time, with ``drop_periods_before``.
 
     A table belongs to one checkpoint, as folders are named by its batches.
@@ -138,7 +140,7 @@ def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: s
             kept = batch.filter((F.col(_BRANCH) == _UNIQUE) | ~_has_key() | behind).persist()
             try:
                 if not kept.isEmpty():  # a batch may only move the watermark
-                    _write_batch(kept, batch_id, behind, path, quarantine, latest)
+                    _write_batch(kept, batch_id, behind, path, quarantine, latest, states)
             finally:
                 kept.unpersist()
 
@@ -146,7 +148,8 @@ def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: s
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
-def _write_batch(kept: DataFrame, batch_id: int, behind: Column, path: str, quarantine: str | None, latest: str | None) -> None:
+def _write_batch(kept: DataFrame, batch_id: int, behind: Column, path: str, quarantine: str | None, latest: str | None,
+                 states: str | None) -> None:
     on_time = kept.filter(F.col(_BRANCH) == _UNIQUE).drop(_BRANCH)
     rest = kept.filter(F.col(_BRANCH) == _ALL).drop(_BRANCH)
     bad, late = rest.filter(~_has_key()), rest.filter(_has_key() & behind)
@@ -164,6 +167,8 @@ def _write_batch(kept: DataFrame, batch_id: int, behind: Column, path: str, quar
         append_batch(rows, path, batch_id, "timestamp", READING_KEY)
         if latest is not None:
             merge_latest(rows, latest, batch_id)
+        if states is not None:
+            append_states(rows, states, batch_id)
     finally:
         if new is not None:
             new.unpersist()
