@@ -21,6 +21,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that none can clash with columns that an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """``crc32`` of the id as text, modulo ``divisor``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(divisor)

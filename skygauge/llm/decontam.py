@@ -15,7 +15,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.llm.common import beside_marks, broadcast_within, materialized, whole_text
+from skygauge.llm.common import beside_marks, broadcast_within, materialized, whole_row, whole_text
 
 #: Places of a stretch of SPAN tokens that a seed hashes; tests check that no window can be missed.
 MASKS = ((0, 1, 2, 3, 6, 7), (0, 1, 3, 5, 6, 7))
@@ -134,8 +134,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, **verify) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with all their columns."""
     bad = materialized(overlaps(docs, benchmark, **verify).select(*KEY).distinct())
-    keyed = docs.withColumns({"__key_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
-                              "__key_hash": F.xxhash64(F.col("doc_id").cast("long"), whole_text())})
-    bad = bad.toDF("__key_id", "__key_hash").withColumn("__bad", F.lit(True))
-    maybe, clean = beside_marks(keyed, bad, ["__key_id", "__key_hash"])
-    return maybe.where("__bad is null").select(*docs.columns).union(clean.select(*docs.columns))
+    keyed = docs.select(whole_row(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("key_id"),
+                        F.xxhash64(F.col("doc_id").cast("long"), whole_text()).alias("key_hash"))
+    maybe, clean = beside_marks(keyed, bad.withColumn("bad", F.lit(True)), KEY)
+    return maybe.where("bad is null").select("row").union(clean.select("row")).select("row.*")

@@ -56,21 +56,61 @@ def longest_prefix(size, prompt, tokens: int, loss: int):
     return np.minimum(np.minimum(size, tokens), prompt + loss)
 
 
+class Classes:
+    """Pieces by what they ask for: all of one size and prompt are one class, as none of them is better than another."""
+
+    def __init__(self, pool: Pool):
+        order = np.lexsort((pool.start, pool.doc, pool.prompt, pool.size))
+        size, prompt = pool.size[order], pool.prompt[order]
+        first = np.flatnonzero((np.diff(size, prepend=-1) != 0) | (np.diff(prompt, prepend=-1) != 0))
+        self.size, self.prompt = size[first], prompt[first]
+        ends = np.append(first[1:], len(order))
+        pieces = list(zip(pool.doc[order].tolist(), pool.start[order].tolist()))
+        self.pieces = [pieces[i:j][::-1] for i, j in zip(first.tolist(), ends.tolist())]
+        self.place = {(int(s), int(p)): k for k, (s, p) in enumerate(zip(self.size, self.prompt))}
+
+    def take(self, at: int) -> tuple[int, int]:
+        """One piece of a class, which goes if that was its last one."""
+        piece = self.pieces[at].pop()
+        if not self.pieces[at]:
+            del self.place[int(self.size[at]), int(self.prompt[at])]
+            last = len(self.pieces) - 1
+            if at != last:  # the last class takes the place
+                self.pieces[at] = self.pieces[last]
+                self.size[at], self.prompt[at] = self.size[last], self.prompt[last]
+                self.place[int(self.size[at]), int(self.prompt[at])] = at
+            self.pieces.pop()
+            self.size, self.prompt = self.size[:last], self.prompt[:last]
+        return piece
+
+    def put(self, piece: tuple[int, int], size: int, prompt: int) -> None:
+        at = self.place.get((size, prompt))
+        if at is None:
+            self.place[size, prompt] = len(self.pieces)
+            self.pieces.append([piece])
+            self.size, self.prompt = np.append(self.size, size), np.append(self.prompt, prompt)
+        else:
+            self.pieces[at].append(piece)
+
+
 def fill_bins(pool: Pool, limits: Limits) -> tuple[list[list[tuple[int, int, int, int]]], bool]:
-    """All pieces in bins, as (document, first id, ids, loss-bearing ids); whether the last bin ran out of pieces."""
-    doc, start, size, prompt = pool.doc.copy(), pool.start.copy(), pool.size.copy(), pool.prompt.copy()
-    alive = np.arange(len(doc))
+    """All pieces in bins, as (document, first id, ids, loss-bearing ids); whether the last bin ran out of pieces.
+
+    Each choice goes over the classes of equal demand, of which there are no more than different sizes, however many
+    pieces there are.
+    """
+    classes = Classes(pool)
     bins, short = [], False
-    loss = np.maximum(size - prompt, 0)
-    scarce = np.array([size.sum() / limits.tokens, len(size) / limits.segments, loss.sum() / limits.loss])
+    loss = np.maximum(pool.size - pool.prompt, 0)
+    scarce = np.array([pool.size.sum() / limits.tokens, len(pool.size) / limits.segments, loss.sum() / limits.loss])
     scarce = scarce / max(scarce.sum(), 1e-9)
     caps = (limits.tokens, limits.segments, limits.loss)
     weight = [w / c / c for w, c in zip(scarce, caps)]
-    while len(alive):
+    while classes.pieces:
         tokens, segments, losses = caps
         placed = []
-        while tokens and segments and len(alive):
-            s, p = size[alive], prompt[alive]
+        while tokens and segments and classes.pieces:
+            s, p = classes.size, classes.prompt
             asked = np.maximum(s - p, 0)
             value = weight[0] * tokens * s + weight[1] * segments + weight[2] * losses * asked
             fits = (s <= tokens) & (asked <= losses)
@@ -80,19 +120,18 @@ def fill_bins(pool: Pool, limits: Limits) -> tuple[list[list[tuple[int, int, int
                 at = int(np.argmax(np.where(fits, value, -1.0)))
             else:
                 at = int(np.argmax(np.where(longest_prefix(s, p, tokens, losses) > 0, value, -1.0)))
-            k = alive[at]
-            take = int(min(size[k], tokens, prompt[k] + losses))
+            size, prompt = int(s[at]), int(p[at])
+            take = min(size, tokens, prompt + losses)
             if not take:
                 break
-            bears = max(0, take - int(prompt[k]))
-            placed.append((int(doc[k]), int(start[k]), take, bears))
+            doc, start = classes.take(at)
+            bears = max(0, take - prompt)
+            placed.append((doc, start, take, bears))
             tokens, segments, losses = tokens - take, segments - 1, losses - bears
-            if take == size[k]:
-                alive = np.delete(alive, at)
-            else:
-                start[k], size[k], prompt[k] = start[k] + take, size[k] - take, max(0, prompt[k] - take)
+            if take < size:
+                classes.put((doc, start + take), size - take, max(0, prompt - take))
         bins.append(placed)
-        short = not len(alive) and tokens > 0 and segments > 0
+        short = not classes.pieces and tokens > 0 and segments > 0
     return bins, short
 
 

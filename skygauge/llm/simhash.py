@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from skygauge.llm.common import beside_marks, materialized, whole_text
+from skygauge.llm.common import beside_marks, materialized, whole_row, whole_text
 from skygauge.llm.components import component_roots
 
 SEED = 42
@@ -190,14 +190,13 @@ def one_of_each(docs: DataFrame, distance: int = 4, words: int = 4) -> DataFrame
     """
     found = materialized(components(docs, distance, words).select("doc_id", "key", "root"))
     first = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "key")
-    kept = found.groupBy("root").agg(F.min(first).alias("kept")).select(F.col("kept.key").alias("__key"))
-    repeated = found.groupBy(F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    kept = found.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.key").alias("key"))
+    repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # most texts stay, so those that go or that have copies are marked
-    kept = kept.distinct().withColumn("__kept", F.lit(True))
-    marks = materialized(found.select(F.col("key").alias("__key")).distinct().join(kept, "__key", "left").join(
-        repeated, "__key", "left").where("__kept is null or __n is not null").select("__key", F.coalesce(
-            "__kept", F.lit(False)).alias("__kept")))
-    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("long"), whole_text()))
-    maybe, single = beside_marks(keyed, marks, ["__key"])
-    kept_once = maybe.where("__kept").dropDuplicates(["__key"]).select(*docs.columns)
-    return single.select(*docs.columns).union(maybe.where("__kept is null").select(*docs.columns)).union(kept_once)
+    kept = kept.distinct().withColumn("kept", F.lit(True))
+    marks = materialized(found.select("key").distinct().join(kept, "key", "left").join(repeated, "key", "left").where(
+        "kept is null or n is not null").select("key", F.coalesce("kept", F.lit(False)).alias("kept")))
+    keyed = docs.select(whole_row(docs), F.xxhash64(F.col("doc_id").cast("long"), whole_text()).alias("key"))
+    maybe, single = beside_marks(keyed, marks, ["key"])
+    kept_once = maybe.where("kept").dropDuplicates(["key"]).select("row")
+    return single.select("row").union(maybe.where("kept is null").select("row")).union(kept_once).select("row.*")

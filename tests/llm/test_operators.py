@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -412,3 +413,33 @@ def test_pipeline_drops_and_masks_what_was_planted(spark, tmp_path):
     wanted = [k for at, k in enumerate(bits) if label[at] == at]
     bpe = encoder(vocabulary_path())
     assert tokens == {k: len(bpe.ids(clean[k])) + 1 for k in wanted}
+
+
+def test_many_small_documents_are_packed_in_time():
+    sizes = np.full(200_000, 10)
+    pool = packing.Pool().add(np.arange(len(sizes)), np.zeros(len(sizes)), sizes, np.zeros(len(sizes)))
+    began = time.time()
+    bins, _ = packing.fill_bins(pool, packing.Limits())
+    assert time.time() - began < 10
+    assert sum(len(b) for b in bins) >= 200_000 and sum(p[2] for b in bins for p in b) == 2_000_000
+    assert all(len(b) <= 64 for b in bins)
+
+
+@pytest.mark.parametrize("operator", ["near", "benchmark", "toxic", "personal"])
+def test_no_column_of_the_caller_is_lost(spark, operator):
+    own = ["__key", "__kept", "__n", "__bad", "__key_id", "__key_hash", "__bucket", "__place", "__hit", "__bitmap", "__row", "__every", "row",
+           "key", "kept", "bad", "bits", "root", "n", "lie", "item", "stretch", "key_id", "key_hash"]
+    other = "every row here has a text of its own with the number"
+    rows = [(k, f"{other} {k} " + SENTENCE * (k % 2), "en", *["x"] * len(own)) for k in range(4)] + [(9, SENTENCE, "en", *["x"] * len(own))] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in own))
+    items = spark.createDataFrame([(1, SENTENCE + " and a few more words")], "item_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, toxic int")
+    kept = {"near": lambda: simhash.one_of_each(docs), "benchmark": lambda: decontam.without_benchmark(docs, items),
+            "toxic": lambda: corpus_pipeline.drop_toxic(spark, docs, ""), "personal": lambda: pii.find(docs).drop("base_spans", "spans")}
+    if operator == "toxic":
+        model = toxicity.train(docs, labels)
+        kept["toxic"] = lambda: toxicity.classify(docs, model).select(*[f"`{c}`" for c in docs.columns])
+    got = kept[operator]()
+    assert got.columns == docs.columns
+    found = got.collect()
+    assert found and all(r[c] == "x" for r in found for c in own)
