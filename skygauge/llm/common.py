@@ -44,20 +44,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def broadcast_within(df: DataFrame, most_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most_rows`` rows, else as it is (a shuffled join).
+def maybe_among(rows: DataFrame, column: str, known: DataFrame) -> DataFrame:
+    """The rows whose 64-bit hash ``column`` is one of ``known``, and a few more; nothing is shuffled.
 
-    Counts the rows, so give it something materialised whose rows have a bounded width.
+    ``known`` is materialised and has a column of that name. Its hashes set bits of a map that every executor gets, of
+    at most 2 ** 26 bits in 2 ** 20 rows of 64. With 256 bits a hash, up to 262,144 of them, one row in 256 is let
+    through by chance; with a million one in 64.
     """
-    return F.broadcast(df) if df.count() <= most_rows else df
+    slots = min(MOST_SLOTS, max(1 << 15, 1 << (256 * known.count()).bit_length()))
+    word = F.expr(f"pmod(`{column}`, {slots}L) div 64").alias("__word")
+    bits = materialized(known.select(word, F.expr(f"shiftleft(1L, cast(pmod(`{column}`, 64) as int))").alias("bit")).groupBy(
+        "__word").agg(F.bit_or("bit").alias("__bits")))
+    tested = rows.withColumn("__word", word).join(F.broadcast(bits), "__word")
+    return tested.where(F.expr(f"bit_get(__bits, cast(pmod(`{column}`, 64) as int)) = 1")).drop("__word", "__bits")
 
 
-def beside_marks(texts: DataFrame, marks: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The texts beside their marks (null for a few without), and those that certainly have none.
+def by_marks(texts: DataFrame, marks: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The texts that may have marks, and those that certainly have none, by a bitmap of at most 8 MB.
 
-    ``marks`` are materialised; the last column of ``key`` is a hash. Their number or size may grow with the texts, so
-    they are never broadcast: texts are shuffled to them and sorted, which can spill. What a bitmap of the marks'
-    hashes, of at most 8 MB, rules out isn't shuffled.
+    ``marks`` are materialised; the last column of ``key`` is a hash.
     """
     slots = min(MOST_SLOTS, max(1 << 15, 1 << (8 * marks.count()).bit_length()))
     slot = F.pmod(key[-1], F.lit(slots)) + 1
@@ -68,5 +73,14 @@ def beside_marks(texts: DataFrame, marks: DataFrame, key: list[str]) -> tuple[Da
     hit = octet.bitwiseAND(F.expr("shiftleft(1, cast(__place % 8 as int))")) != 0
     tested = texts.withColumns({"__bucket": bucket, "__place": place}).join(F.broadcast(bitmap), "__bucket", "left")
     tested = tested.withColumn("__hit", F.coalesce(hit, F.lit(False))).drop("__bucket", "__place", "__bitmap")
-    maybe, free = tested.where("__hit").drop("__hit"), tested.where("not __hit").drop("__hit")
+    return tested.where("__hit").drop("__hit"), tested.where("not __hit").drop("__hit")
+
+
+def beside_marks(texts: DataFrame, marks: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The texts beside their marks (null for a few without), and those that certainly have none.
+
+    The number or size of ``marks`` (as in :func:`by_marks`) may grow with the texts, so they are never broadcast:
+    texts are shuffled to them and sorted, which can spill. What the bitmap rules out isn't shuffled.
+    """
+    maybe, free = by_marks(texts, marks, key)
     return maybe.join(marks.hint("merge"), key, "left"), free

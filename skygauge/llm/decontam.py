@@ -2,7 +2,7 @@
 
 A mask looks at some of the tokens of a stretch and ignores the others, so a seed still matches if an ignored token
 was replaced. Seeds of the benchmark items are joined to those of all texts; a hit says how text and item may lie
-against each other. There the tokens are compared: an overlap counts if some ``window`` tokens in a row agree in at
+against each other. There the tokens are compared, each time only as many as the item has: an overlap counts if some ``window`` tokens in a row agree in at
 least ``share`` of their places. The two masks are chosen so that every such window has an intact seed, whichever
 of its tokens were replaced. Items under 13 tokens, and other windows and shares, have masks of their own.
 """
@@ -15,7 +15,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skygauge.llm.common import beside_marks, broadcast_within, materialized, whole_row, whole_text
+from skygauge.llm.common import beside_marks, by_marks, materialized, maybe_among, whole_row, whole_text
 
 #: Places of a stretch of SPAN tokens that a seed hashes; tests check that no window can be missed.
 MASKS = ((0, 1, 2, 3, 6, 7), (0, 1, 3, 5, 6, 7))
@@ -23,8 +23,8 @@ SPAN = 8
 WINDOW, SHARE = 13, 0.8
 #: Tokens that a seed of any other window should hash, and masks it may have for that.
 LEAST, MOST_MASKS = 6, 64
-#: At most so many seeds of the benchmark are broadcast (under 64 MB); with more, all seeds are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Tokens in a row of a text that has hits, or as many as the longest item has.
+BLOCK = 1024
 KEY = ["key_id", "key_hash"]
 
 
@@ -89,6 +89,49 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        "doc_id", "text")
 
 
+#: An array with the span of all good windows of an item's place, or with a null if there is none. What is used more
+#: than once is bound as the argument of a function.
+_VERDICT = """
+    transform(array(transform(item_words, (w, k) -> if(get(part, k + least(lie, 0)) = w, 1, 0))), equal ->
+      transform(array(transform(sequence(0, size(equal) - wide), s -> aggregate(slice(equal, s + 1, wide), 0, (a, x) -> a + x))),
+        counts -> transform(array(filter(sequence(0, size(counts) - 1), s -> counts[s] >= need)), good ->
+          if(size(good) = 0, null, named_struct(
+            'doc_start', array_min(good) + lie, 'doc_end', array_max(good) + wide + lie,
+            'n_equal', aggregate(slice(equal, array_min(good) + 1, array_max(good) + wide - array_min(good)), 0,
+                                 (a, x) -> a + x))))[0])[0])"""
+
+
+def _stretches(texts: DataFrame, hits: DataFrame, longest: int) -> DataFrame:
+    """Rows (key, ``doc_id``, ``item``, ``lie``, ``part``): the tokens of the text from where the item would begin.
+
+    ``part`` begins at the text's first token if the item would begin before it, and has as many tokens as the item at
+    most. A text with hits is cut into blocks that overlap by the longest item, so it is read and shuffled twice at
+    most, however many hits it has.
+    """
+    block = max(BLOCK, longest)
+    begin = F.greatest(F.col("lie"), F.lit(0))
+    hits = hits.withColumn("block", F.floor(begin / block).cast("int"))
+    marks = materialized(hits.groupBy(*KEY, "block").agg(F.collect_list(F.struct("item", "size", "lie")).alias("hits")))
+    maybe, _ = by_marks(texts, marks, KEY)
+
+    def blocks(words: Column) -> Column:
+        last = F.floor(F.greatest(F.size(words) - 1, F.lit(0)) / block).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda n: F.struct(
+            n.alias("block"), F.array_join(F.slice(words, n * block + 1, F.lit(block + longest)), " ").alias("words")))
+
+    # tokens are bound as the argument of a function, as else they would be computed again for each block or hit
+    cut = F.get(F.transform(F.array(tokens(F.col("text"))), blocks), 0)
+    parts = maybe.select(*KEY, "doc_id", F.explode_outer(cut).alias("cut")).select(*KEY, "doc_id", "cut.*")
+    found = parts.join(marks.hint("merge"), [*KEY, "block"])
+
+    def places(words: Column) -> Column:
+        return F.transform(F.col("hits"), lambda h: F.struct(h["item"].alias("item"), h["lie"].alias("lie"), F.slice(
+            words, F.greatest(h["lie"], F.lit(0)) - F.col("block") * block + 1, h["size"]).alias("part")))
+
+    some = F.get(F.transform(F.array(F.split("words", " ")), places), 0)
+    return found.select(*KEY, "doc_id", F.explode_outer(some).alias("place")).select(*KEY, "doc_id", "place.*")
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """Verified overlaps: ``doc_id``, ``item_id``, ``doc_start`` and ``doc_end`` (tokens, end exclusive), ``n_equal``.
 
@@ -103,29 +146,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     sizes = sorted(r.wide for r in items.select(wide.alias("wide")).distinct().collect() if r.wide)
     own = [(items.where(wide == n), masks(n, share)) for n in sizes] or [(items.limit(0), MASKS)]
     seeds = reduce(DataFrame.union, [_seed_rows(some, ["item_id", "text"], "item_at", every) for some, every in own])
-    seeds = materialized(seeds.select(F.xxhash64("item_id", "text").alias("item"), "item_at", "seed").distinct())
+    longest = items.agg(F.max(F.size(tokens(F.col("text"))))).first()[0] or 1
+    seeds = materialized(seeds.select(F.xxhash64("item_id", "text").alias("item"), F.size(tokens(F.col("text"))).alias("size"),
+                                      "item_at", "seed").distinct())
     texts = _keyed(docs)
     shapes = sorted({mask for _, every in own for mask in every})
-    hits = _seed_rows(texts, KEY, "doc_at", shapes).join(broadcast_within(seeds, BROADCAST_ROWS), "seed")
-    hits = materialized(hits.groupBy(*KEY, "item", (F.col("doc_at") - F.col("item_at")).alias("lie")).agg(
-        F.count(F.lit(1)).alias("n_seeds")))
+    hits = maybe_among(_seed_rows(texts, KEY, "doc_at", shapes), "seed", seeds).join(seeds, "seed")
+    hits = hits.select(*KEY, "item", "size", (F.col("doc_at") - F.col("item_at")).alias("lie")).distinct()
     words = items.select("item_id", F.xxhash64("item_id", "text").alias("item"), tokens(F.col("text")).alias("item_words"))
-    maybe, _ = beside_marks(texts, hits, KEY)
-    found = maybe.where("lie is not null").select(
-        *KEY, "doc_id", "item", "lie", tokens(F.col("text")).alias("doc_words"))
-    equal = F.expr("transform(item_words, (w, k) -> if(get(doc_words, k + lie) = w, 1, 0))")
-    compared = found.join(words, "item").select(
-        *KEY, "doc_id", "item_id", "lie", F.least(F.lit(window), F.size("item_words")).alias("wide"), equal.alias("equal"))
-    need = F.ceil(F.col("wide") * F.lit(share) - 1e-9)
-    counts = F.expr("transform(sequence(0, size(equal) - wide), s -> aggregate(slice(equal, s + 1, wide), 0, (a, x) -> a + x))")
-    compared = compared.withColumn("counts", F.transform(counts, lambda n: n.cast("int"))).withColumn("need", need)
-    good = compared.withColumn("good", F.expr("filter(sequence(0, size(counts) - 1), s -> counts[s] >= need)"))
-    spans = good.where(F.size("good") > 0).select(
-        *KEY, "doc_id", "item_id",
-        (F.array_min("good") + F.col("lie")).alias("doc_start"),
-        (F.array_max("good") + F.col("wide") + F.col("lie")).alias("doc_end"),
-        F.expr("aggregate(slice(equal, array_min(good) + 1, array_max(good) + wide - array_min(good)), 0, "
-               "(a, x) -> a + x)").alias("n_equal"))
+    wide = F.least(F.lit(window), F.size("item_words"))
+    compared = _stretches(texts, hits, longest).join(words, "item").select(
+        *KEY, "doc_id", "item_id", "lie", "part", "item_words", wide.alias("wide"), F.ceil(wide * F.lit(share) - 1e-9).alias("need"))
+    # an outer explode, as else a filter on the result would be pushed into its parts and compute them many times
+    spans = compared.select(*KEY, "doc_id", "item_id", F.explode_outer(F.expr(_VERDICT)).alias("span")).where("span is not null")
+    spans = spans.select(*KEY, "doc_id", "item_id", "span.*")
     best = spans.groupBy(*KEY, "item_id").agg(
         F.max_by(F.struct("doc_id", "doc_start", "doc_end", "n_equal"), F.struct("n_equal", -F.col("doc_start"))).alias("b"))
     return best.select("b.doc_id", "item_id", "b.doc_start", "b.doc_end", "b.n_equal", *KEY)

@@ -344,6 +344,36 @@ def test_short_items_are_found(spark, window, share):
             decontam.overlaps(table, table, *bad)
 
 
+def test_overlaps_do_not_depend_on_blocks(spark, monkeypatch):
+    item = SENTENCE.split()
+    fill = [f"w{k}" for k in range(70)]
+    texts = [item[4:] + fill, fill[:29] + item + fill[:3] + item[:15], fill + item[:16], item, item[:12] + ["x"], fill, []]
+    table = spark.createDataFrame([doc(k, " ".join(t)) for k, t in enumerate(texts)], DOCS)
+    benchmark = spark.createDataFrame([(1, SENTENCE), (2, " ".join(item[:14] + fill[:40])), (3, "")], "item_id long, text string")
+    whole = sorted(decontam.overlaps(table, benchmark).collect())
+    assert {(r.doc_id, r.item_id) for r in whole} == {
+        (k, i) for k, t in enumerate(texts) for i, u in ((1, SENTENCE), (2, " ".join(item[:14] + fill[:40])))
+        if brute.overlap(" ".join(t), u)}
+    monkeypatch.setattr(decontam, "BLOCK", 1)  # so a block is as long as the longest item
+    assert sorted(decontam.overlaps(table, benchmark).collect()) == whole
+
+
+def test_overlaps_of_one_word_repeated(spark):
+    table = spark.createDataFrame([doc(1, "the " * 100_000), doc(2, "the end")], DOCS)
+    benchmark = spark.createDataFrame([(1, "the " * 20), (2, SENTENCE)], "item_id long, text string")
+    began = time.monotonic()
+    found = [(r.doc_id, r.item_id, r.doc_start, r.doc_end, r.n_equal) for r in decontam.overlaps(table, benchmark).collect()]
+    assert found == [(1, 1, 0, 20, 20)] and time.monotonic() - began < 60  # some 10 s; with the length squared it's hours
+
+
+def test_rows_that_a_map_of_hashes_lets_through(spark):
+    known = spark.range(0, 1_000, 7).select(F.xxhash64("id").alias("seed")).checkpoint()
+    rows = spark.range(20_000).select("id", F.xxhash64("id").alias("seed"))
+    kept = {r.id for r in common.maybe_among(rows, "seed", known).collect()}
+    assert set(range(0, 1_000, 7)) <= kept and len(kept) < 143 + 400
+    assert common.maybe_among(rows, "seed", known.limit(0).checkpoint()).count() == 0
+
+
 def test_texts_are_joined_alike_at_every_size(docs):
     benchmark = docs.where("doc_id = 4").select(F.col("doc_id").alias("item_id"), "text")
     for kept in (simhash.one_of_each(docs), decontam.without_benchmark(docs, benchmark)):
