@@ -62,8 +62,9 @@ def append_states(rows: DataFrame, path: str, batch_id: int) -> None:
 
 def compact_states(spark: SparkSession, path: str, before) -> int:
     """Merge the states of closed days, each hour to one state of each region and partition."""
-    by = [HOUR, *KEYS, PERIOD, BATCH]
-    return compact_days(spark, path, before, [HOUR, *KEYS], lambda rows: merge_states(rows, by).select(*rows.columns))
+    by = [HOUR, *KEYS, PERIOD]
+    return compact_days(spark, path, before, [HOUR, *KEYS],
+                        lambda rows: merge_states(rows, by).select(*[c for c in rows.columns if c != BATCH]))
 
 
 def daily_states(spark: SparkSession, path: str) -> DataFrame:

@@ -149,7 +149,7 @@ def _period_last(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in df.columns if c != PERIOD], PERIOD)
 
 
-def _with_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def with_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same rows; a NULL in one of the columns fails the job that reads it."""
     return df.withColumns({c: F.when(F.col(c).isNull(), F.raise_error(F.lit(f"{c} is NULL, a part of the key")))
                            .otherwise(F.col(c)) for c in dict.fromkeys(columns)})
@@ -183,7 +183,7 @@ def upsert_table(updates: DataFrame, path: str, keys: Sequence[str], order_by: S
     """
     spark = updates.sparkSession
     _publish(spark, path)
-    rows = with_period(_with_keys(updates, [*keys, time_column]), time_column, grain)
+    rows = with_period(with_keys(updates, [*keys, time_column]), time_column, grain)
     match = [*keys, PERIOD]
     if not table_exists(spark, path):
         _write_pending(_period_last(latest_per_key(rows, match, order_by)), path, keys)
@@ -310,10 +310,11 @@ def compact_days(spark: SparkSession, path: str, before, sort_by: Sequence[str],
         note = spark.createDataFrame(parts, f"{PERIOD} STRING, {BATCH} LONG, merged LONG").withColumn(
             PERIOD, F.col(PERIOD).cast("date"))
         stored = read_table(spark, path)
-        rows = stored.join(note, [PERIOD, BATCH]).withColumn(BATCH, F.col("merged")).drop("merged")
         # a list of days beside the join, so that other folders aren't listed or opened
-        rows = rows.filter(F.col(PERIOD).isin([date.fromisoformat(p) for p in merged])).select(*stored.columns)
+        rows = stored.join(note.drop("merged"), [PERIOD, BATCH]).filter(
+            F.col(PERIOD).isin([date.fromisoformat(p) for p in merged])).select(*stored.columns)
         rows = rows if merge is None else merge(rows)
+        rows = rows.drop(BATCH).join(F.broadcast(note.select(PERIOD, F.col("merged").alias(BATCH)).distinct()), PERIOD)
         with shuffles_for(spark, ROW_BYTES * sum(folder_bytes(spark, f"{path}/{PERIOD}={p}") for p in merged)):
             _by_period(rows, sort_by).write.mode("overwrite").partitionBy(PERIOD, BATCH).parquet(path + _COMPACTING)
         note.write.mode("overwrite").parquet(path + _COMPACTED_NOTE)
