@@ -6,7 +6,7 @@ from skygauge.contract.registry import CHECK_SQL, QUERIES, Query
 
 
 def _load() -> None:
-    from skygauge.contract import checks, dashboards, increments, late, layers, streams  # noqa: F401 - they register queries
+    from skygauge.contract import checks, dashboards, increments, late, layers, restated, streams  # noqa: F401 - they register queries
 
 
 def all_queries() -> dict[str, Query]:

@@ -59,11 +59,13 @@ def _notes(spark: SparkSession, readings_path: str) -> list[str]:
     return [f"{log}/{n}" for n in folder_names(spark, log) if table_exists(spark, f"{log}/{n}")]
 
 
-def refresh_invalid(spark: SparkSession, readings_path: str, targets: dict[str, str]) -> int:
+def refresh_invalid(spark: SparkSession, readings_path: str, targets: dict[str, str],
+                    readings: DataFrame | None = None) -> int:
     """Compute the buckets anew that late readings have hit, in each stored rollup; returns the number of hours.
 
     ``targets`` maps names of :data:`POLICIES` to paths. Only the days of noted hours are read, of readings and rollups
-    alike, and only their buckets are computed. Notes that come meanwhile stay for the next call; if a run stops, its
+    alike, and only their buckets are computed. ``readings`` are the stored rows with their period, where the table
+    isn't read as it is (``jobs.current_readings``). Notes that come meanwhile stay for the next call; if a run stops, its
     notes are taken again, which gives the same rows.
     """
     notes = _notes(spark, readings_path)
@@ -71,7 +73,8 @@ def refresh_invalid(spark: SparkSession, readings_path: str, targets: dict[str,
         return 0
     hours = spark.read.parquet(*notes).select("bucket").distinct()
     days = [r[0] for r in with_period(hours, "bucket").select(PERIOD).distinct().collect()]  # bounded by the calendar
-    readings = read_table(spark, readings_path).filter(F.col(PERIOD).isin(days))
+    readings = read_table(spark, readings_path) if readings is None else readings
+    readings = readings.filter(F.col(PERIOD).isin(days))
     for name, path in targets.items():
         policy = POLICIES[name]
         buckets = hours.select(bucket("bucket", policy.width).alias("bucket")).distinct()

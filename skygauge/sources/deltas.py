@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skygauge.operators.keyed import latest_per_key
 from skygauge.operators.pruning import PERIOD
+from skygauge.sources.ranges import periods_between
 from skygauge.sources.tables import (BATCH, append_batch, compact_days, folder_names, read_table, table_exists, with_keys)
 
 
@@ -41,14 +42,18 @@ def open_days(spark: SparkSession, path: str) -> list[date]:
     return sorted(date.fromisoformat(day.split("=", 1)[1]) for day in days if loads(day) > 1)
 
 
-def read_merged(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """The newest row of each key, with the column ``period``.
+def read_merged(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str],
+                periods: Sequence[date] | None = None) -> DataFrame:
+    """The newest row of each key, with the column ``period``; of the days ``periods`` only, if given.
 
     Only open days are shuffled. Filters on the period or the key reach the files of both kinds of days; one on
     another column is applied to the merged rows, as it has to be.
     """
     stored = read_table(spark, path)
     several = open_days(spark, path)
+    if periods is not None:
+        stored = stored.filter(F.col(PERIOD).isin(list(periods))) if periods else stored.filter(F.lit(False))
+        several = [day for day in several if day in set(periods)]
     if not several:
         return stored.drop(BATCH)
     is_open = F.col(PERIOD).isin(several)
@@ -56,6 +61,16 @@ def read_merged(spark: SparkSession, path: str, keys: Sequence[str], order_by: S
     return stored.filter(~is_open).unionByName(newest).drop(BATCH)
 
 
+def merged_between(spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str], clock: str,
+                   start: Column, end: Column | None = None) -> DataFrame:
+    """Rows whose newest state has ``start <= clock <= end``; days that can hold none, by the index of ranges, stay closed.
+
+    Days are taken whole, and the bounds hold for merged rows: an older state within them counts no more.
+    """
+    wanted = F.col(clock) >= start if end is None else F.col(clock).between(start, end)
+    return read_merged(spark, path, keys, order_by, periods_between(spark, path, clock, start, end)).filter(wanted)
+
+
 def compact_deltas(spark: SparkSession, path: str, before, keys: Sequence[str], order_by: Sequence[str]) -> int:
     """Merge the loads of the days before a date to one row a key, as :func:`read_merged` would; returns how many days.
 

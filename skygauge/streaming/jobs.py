@@ -15,12 +15,15 @@ from skygauge.plans.latest_view import merge_latest
 from skygauge.plans.rollup_tables import note_invalid
 from skygauge.plans.stat_states import append_states
 from skygauge.session import adaptive
+from skygauge.sources.deltas import read_merged, upsert_delta
 from skygauge.sources.ranges import widen_ranges
 from skygauge.sources.tables import (BATCH, append_batch, path_exists, read_table, table_exists, upsert_table, with_period,
                                      write_jdbc)
 from skygauge.streaming.messages import accepted, flat_readings, parse, rejected
 
 READING_KEY = ("timestamp", "governorate")
+#: Of several states of a reading the one processed last counts.
+READING_ORDER = ("processed_at",)
 HOURLY_DELAY, DAILY_DELAY = "3 hours", "3 days"
 
 
@@ -108,6 +111,11 @@ def _unseen(late: DataFrame, unique: DataFrame, path: str, batch_id: int) -> Dat
     return late.join(known.unionByName(unique.select(*READING_KEY)), list(READING_KEY), "left_anti").select(*late.columns)
 
 
+def _check_owner(spark: SparkSession, path: str, checkpoint: str) -> None:
+    if table_exists(spark, path) and not path_exists(spark, checkpoint):
+        raise ValueError(f"{path} was written with another checkpoint, whose batches a new one would replace")
+
+
 def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds",
                     delay: str = HOURLY_DELAY, quarantine: str | None = None, latest: str | None = None,
                     states: str | None = None) -> StreamingQuery:
@@ -125,9 +133,7 @@ def append_readings(readings: DataFrame, path: str, checkpoint: str, interval: s
 
     A table belongs to one checkpoint, as folders are named by its batches.
     """
-    spark = readings.sparkSession
-    if table_exists(spark, path) and not path_exists(spark, checkpoint):
-        raise ValueError(f"{path} was written with another checkpoint, whose batches a new one would replace")
+    _check_owner(readings.sparkSession, path, checkpoint)
     unique = distinct_readings(readings.filter(_has_key()), delay).withColumn(_BRANCH, F.lit(_UNIQUE))
     both = unique.unionByName(readings.withColumn(_BRANCH, F.lit(_ALL)))
 
@@ -197,6 +203,53 @@ def upsert_readings(readings: DataFrame, path: str, checkpoint: str,
             .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
 
 
+def _add_deltas(rows: DataFrame, path: str, batch_id: int, delay: str) -> None:
+    """Store the rows of a micro-batch as deltas. The index of ranges is widened before, as it has to cover them; the
+    hours behind the newest reading less ``delay`` are noted afterwards, so that a refresh never takes a note whose
+    rows aren't there. A batch that stopped in between comes again and does all of it anew."""
+    bound = _watermark_bound(rows.sparkSession, path, delay)
+    widen_ranges(with_period(rows, "timestamp"), path, batch_id)
+    upsert_delta(rows, path, batch_id, READING_KEY, READING_ORDER, "timestamp")
+    if bound is not None and not (behind := rows.filter(F.col("timestamp") <= bound)).isEmpty():
+        note_invalid(behind, path, batch_id)
+
+
+def merge_readings(readings: DataFrame, path: str, checkpoint: str, interval: str | None = "30 seconds",
+                   quarantine: str | None = None, delay: str = HOURLY_DELAY) -> StreamingQuery:
+    """Keep the reading table by key, merged when it's read; for readings that may be restated, at high rates.
+
+    Each micro-batch adds files of its own below the days of its rows, so a late or restated reading costs a small file
+    where ``upsert_readings`` rewrites its day. ``current_readings`` gives the newest state of each reading; closed days
+    are merged with ``sources.deltas.compact_deltas``. Hours that were changed behind the newest reading less ``delay``
+    are noted, so that stored rollups can be mended (``refresh_invalid``).
+
+    A repeated micro-batch replaces its own files; after its days were compacted it adds rows that are merged away.
+    Readings without time or governorate go to the ``quarantine`` folder; without one they are an error. A table belongs
+    to one checkpoint, as deltas are numbered by its batches.
+    """
+    _check_owner(readings.sparkSession, path, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            batch = batch.persist()
+            try:
+                if quarantine and not (bad := batch.filter(~_has_key())).isEmpty():
+                    bad.write.mode("overwrite").parquet(f"{quarantine}/{BATCH}={batch_id}")
+                rows = batch.filter(_has_key()) if quarantine else batch
+                if not rows.isEmpty():
+                    _add_deltas(rows, path, batch_id, delay)
+            finally:
+                batch.unpersist()
+
+    return (readings.writeStream.foreachBatch(write).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start())
+
+
+def current_readings(spark: SparkSession, path: str, periods: list | None = None) -> DataFrame:
+    """The newest state of each reading that ``merge_readings`` stored, with its ``period``; of the given days only."""
+    return read_merged(spark, path, READING_KEY, READING_ORDER, periods)
+
+
 def append_jdbc(readings: DataFrame, url: str, table: str, driver: str, checkpoint: str,
                 interval: str | None = "30 seconds", **options: str) -> StreamingQuery:
     """Append micro-batches to a database table, whose primary key guards against repeats."""
@@ -209,8 +262,15 @@ def append_jdbc(readings: DataFrame, url: str, table: str, driver: str, checkpoi
 
 
 def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint: str,
-                    interval: str | None = "30 seconds", unit: str = "celsius") -> StreamingQuery:
-    """Message text to the reading table; unusable messages go to the quarantine folder."""
+                    interval: str | None = "30 seconds", unit: str = "celsius",
+                    merge_on_read: bool = False) -> StreamingQuery:
+    """Message text to the reading table; unusable messages go to the quarantine folder.
+
+    The days of a micro-batch are rewritten, or get its rows as deltas, to be read with ``current_readings``.
+    """
+    if merge_on_read:
+        _check_owner(messages.sparkSession, table, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse(batch).persist()
         try:
@@ -221,8 +281,11 @@ def ingest_messages(messages: DataFrame, table: str, quarantine: str, checkpoint
             if not good.isEmpty():
                 with adaptive(batch.sparkSession):
                     rows = flat_readings(good, unit=unit)
-                    widen_ranges(with_period(rows, "timestamp"), table)
-                    upsert_table(rows, table, READING_KEY, ["processed_at"], "timestamp", grain="day")
+                    if merge_on_read:
+                        _add_deltas(rows, table, batch_id, HOURLY_DELAY)
+                    else:
+                        widen_ranges(with_period(rows, "timestamp"), table)
+                        upsert_table(rows, table, READING_KEY, READING_ORDER, "timestamp", grain="day")
         finally:
             parsed.unpersist()
 
