@@ -286,6 +286,58 @@ def test_one_training_text_of_an_id(spark):
     assert sorted(r[1] for r in rows) == [0, 1] and share == 0.5
 
 
+def test_all_labelled_texts_train(spark):
+    """A word that only some of 3,400 toxic texts hold, the last ones by their ids' hash, and one of very long texts."""
+    table = spark.range(12_400).select(F.col("id").alias("doc_id"), (F.col("id") < 3_400).cast("int").alias("toxic"))
+    last = [r.doc_id for r in table.where("toxic = 1").orderBy(F.xxhash64("doc_id").desc(), "doc_id").limit(60).collect()]
+    assert last[-1] not in [r.doc_id for r in table.where("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(3_000).collect()]
+    text = F.when(F.col("doc_id").isin(last[:40]), "quite plain zounds words").when(
+        F.col("doc_id").isin(last[40:]), F.concat(F.repeat(F.lit("word "), 21_000), F.lit("gadzooks"))).when(
+        F.col("toxic") == 1, "some quite foul words").otherwise(F.concat(F.lit("some quite plain words "), F.col("doc_id") % 50))
+    docs = table.select("doc_id", text.alias("text"), F.lit("en").alias("lang")).checkpoint()
+    rows = toxicity.training_rows(docs, table).selectExpr("count(*)", "count(distinct doc_id)", "max(length(ids)) div 4").first()
+    assert tuple(rows) == (12_400, 12_400, 21_001)
+    asked = spark.createDataFrame([(1, "quite plain zounds words"), (2, "quite plain words"), (3, "gadzooks"), (4, "word")], "doc_id long, text string")
+    found = {r.doc_id: r.score for r in toxicity.classify(asked.withColumn("lang", F.lit("en")), toxicity.train(docs, table)).collect()}
+    assert found[1] > 0.7 and found[3] > 0.7 and found[2] < 0.3, found
+
+
+def test_shards_learn_together(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD_TEXTS", 100)
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(400)]
+    texts = [" ".join([*rng.choice(words, rng.integers(0, 60)), *["zounds"] * (k % 4 == 0), *rng.choice(words, 5)]) for k in range(900)]
+    docs = spark.createDataFrame([(k, t, "de" if k % 2 else "en") for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(600)], "doc_id long, toxic int")
+    one, other = (toxicity.train(docs.repartition(n), labels, steps=300) for n in (2, 5))
+    assert all((one.network.params[name] == other.network.params[name]).all() for name in one.network.params)
+    right = [r.predicted == (r.doc_id % 4 == 0) for r in toxicity.classify(docs, one).where("doc_id >= 600").collect()]
+    assert np.mean(right) > 0.97
+
+
+def test_long_texts_are_convolved_in_pieces(monkeypatch):
+    network, rng = toxicity.Network.fresh(toxicity.Shape()), np.random.default_rng(1)
+    filters = np.concatenate([network.params[f"conv{w}"][k] for w in (1, 2, 3) for k in range(w)], axis=1)
+    for size in (0, 1, 2, 5, 40):
+        ids = rng.integers(0, 1 << 30, size)
+        wanted = network.pooled(ids, network.tables())
+        whole, places = network.peaks(ids, filters)
+        assert np.allclose(np.maximum(whole.ravel(), 0), wanted, atol=1e-5)
+        for piece in (1, 3, 7):
+            monkeypatch.setattr(toxicity, "PIECE", piece)
+            parts, same = network.peaks(ids, filters)
+            assert np.allclose(parts, whole, atol=1e-5) and (same == places).all()
+        monkeypatch.undo()
+
+
+def test_language_is_no_input(spark):
+    rows = [(k, "same words", lang) for k, lang in enumerate(["en", None, "de"] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert len({r.score for r in toxicity.classify(docs, model).collect()}) == 1
+
+
 def test_no_window_escapes_the_masks():
     places = range(decontam.WINDOW)
     misses = decontam.WINDOW - math.ceil(decontam.WINDOW * decontam.SHARE)
