@@ -255,18 +255,17 @@ def _squashed(a: float, b: float) -> Column:
     return 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("logit") * a + b))))
 
 
-def best_threshold(scores: DataFrame, least: int = 10, parts: int = 64) -> dict[str, float]:
-    """Of each ``lang`` the ``score`` from which on the F1 score of ``toxic`` is largest, the middle of the gap below it;
-    ``THRESHOLD`` with under ``least`` rows of a label.
+def running_sums(scores: DataFrame, parts: int) -> DataFrame:
+    """Of each ``lang`` the distinct ``score`` with the F1 score of ``toxic`` from it on, and the next score ``below``.
 
-    All rows count. Running sums go over the distinct scores of a part of a language's range, on top of the sums of the
-    parts above, so no task gets a whole language.
+    Running sums go over the scores of a ``part`` of a language's range, on top of the sums of the parts above, so no
+    task gets a whole language. What is broadcast has a row for each language, or for each of its parts.
     """
     distinct = materialized(scores.groupBy("lang", "score").agg(F.sum("toxic").alias("hits"), F.count(F.lit(1)).alias("n")))
     totals = distinct.groupBy("lang").agg(F.sum("hits").alias("ones"), F.sum("n").alias("every"), F.percentile_approx(
         "score", [k / parts for k in range(1, parts)]).alias("edges"))
     above = F.size(F.filter("edges", lambda edge: edge > F.col("score")))
-    rows = distinct.join(totals, "lang").withColumn("part", above).drop("edges")
+    rows = distinct.join(F.broadcast(totals), "lang").withColumn("part", above).drop("edges")
     down = Window.partitionBy("lang").orderBy("part")
     before = down.rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("lang", "part").agg(F.sum("hits").alias("h"), F.sum("n").alias("m"), F.max("score").alias("top")).select(
@@ -276,10 +275,16 @@ def best_threshold(scores: DataFrame, least: int = 10, parts: int = 64) -> dict[
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     f1 = 2 * (F.col("h") + F.sum("hits").over(running)) / (F.col("m") + F.sum("n").over(running) + F.col("ones"))
     below = F.coalesce(F.lead("score").over(within), "next_top", F.lit(0.0))
-    found = rows.join(sums, ["lang", "part"]).select("lang", "ones", "every", "score", f1.alias("f1"), (
-        (F.col("score") + below) / 2).alias("middle"))
-    best = found.groupBy("lang").agg(F.first("ones").alias("ones"), F.first("every").alias("every"), F.max_by(
-        "middle", F.struct("f1", "score")).alias("middle"))
+    return rows.join(F.broadcast(sums), ["lang", "part"]).select(
+        "lang", "part", "ones", "every", "score", f1.alias("f1"), below.alias("below"))
+
+
+def best_threshold(scores: DataFrame, least: int = 10, parts: int = 64) -> dict[str, float]:
+    """Of each ``lang`` the ``score`` from which on the F1 score of ``toxic`` is largest, the middle of the gap below it;
+    ``THRESHOLD`` with under ``least`` rows of a label. All rows count."""
+    best = running_sums(scores, parts).groupBy("lang").agg(
+        F.first("ones").alias("ones"), F.first("every").alias("every"),
+        F.max_by((F.col("score") + F.col("below")) / 2, F.struct("f1", "score")).alias("middle"))
     return {r["lang"]: THRESHOLD if min(r["ones"], r["every"] - r["ones"]) < least else r["middle"] for r in best.collect()}
 
 

@@ -338,6 +338,51 @@ def test_language_is_no_input(spark):
     assert len({r.score for r in toxicity.classify(docs, model).collect()}) == 1
 
 
+def test_thresholds_and_calibration_of_all_rows(spark):
+    """Against plain loops over all rows, with ties, a hot score, few rows of a label and a missing language."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for lang, n, grain in (("en", 3_000, 1e-9), ("de", 2_000, 0.05), ("fr", 12, 1e-9), ("", 300, 0.3), ("one", 40, 1e-9)):
+        toxic = rng.random(n) < 0.2
+        score = np.clip(rng.normal(0.3 + 0.3 * toxic, 0.15), 0, 1)
+        rows += [(lang, int(t) * (lang != "one"), float(round(s / grain) * grain)) for t, s in zip(toxic, score)]
+    table = spark.createDataFrame(rows, "lang string, toxic int, score double")
+    wanted = {}
+    for lang in {r[0] for r in rows}:
+        some = [(s, t) for x, t, s in rows if x == lang]
+        ones, cuts = sum(t for _, t in some), sorted({s for s, _ in some}, reverse=True)
+        f1 = [2 * sum(t for s, t in some if s >= cut) / (sum(s >= cut for s, _ in some) + ones) for cut in cuts]
+        at = f1.index(max(f1))
+        wanted[lang] = (cuts[at] + [*cuts, 0.0][at + 1]) / 2 if min(ones, len(some) - ones) >= 10 else toxicity.THRESHOLD
+    for parts in (2, 64):
+        found = toxicity.best_threshold(table, parts=parts)
+        assert set(found) == set(wanted) and all(abs(found[x] - wanted[x]) < 1e-12 for x in wanted)
+    x, y = np.array([4 * r[2] - 2 for r in rows]), np.array([r[1] for r in rows])
+    a, b = toxicity.calibration(table.select("toxic", (4 * F.col("score") - 2).alias("logit")))
+    target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    error = 1 / (1 + np.exp(-a * x - b)) - target
+    assert abs((error * x).mean()) < 1e-6 and abs(error.mean()) < 1e-6 and a > 1
+
+
+def test_every_labelled_language_has_a_threshold(spark):
+    """Also one whose rows are the last ones of both labels by their ids' hash, among 12,400."""
+    table = spark.range(12_400).select(F.col("id").alias("doc_id"), (F.col("id") < 3_400).cast("int").alias("toxic"))
+    last = [r.doc_id for toxic in (0, 1) for r in table.where(f"toxic = {toxic}").orderBy(F.xxhash64("doc_id").desc()).limit(150).collect()]
+    lang = F.when(F.col("doc_id").isin(last), "xx").otherwise("en")
+    text = F.concat(F.when(F.col("toxic") == 1, "some quite foul words ").otherwise("some quite plain words "), F.col("doc_id") % 50)
+    docs = table.select("doc_id", text.alias("text"), lang.alias("lang")).checkpoint()
+    assert set(toxicity.train(docs, table, steps=50).thresholds) == {"en", "xx"}
+
+
+def test_no_task_gets_a_whole_language(spark):
+    """A threshold's rows are dealt by language and part of the range, though all are of one language."""
+    rows = spark.range(4_000).selectExpr("'en' as lang", "cast(id % 5 = 0 as int) as toxic", "id / 4000d as score").checkpoint()
+    running = toxicity.running_sums(rows, 64)
+    sizes = [r[0] for r in running.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    plan = running._jdf.queryExecution().executedPlan().toString()
+    assert sum(sizes) == 4_000 and "SortMergeJoin" not in plan and running.groupBy("part").count().agg(F.max("count")).first()[0] < 200
+
+
 def test_no_window_escapes_the_masks():
     places = range(decontam.WINDOW)
     misses = decontam.WINDOW - math.ceil(decontam.WINDOW * decontam.SHARE)
