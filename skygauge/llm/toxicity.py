@@ -36,6 +36,8 @@ TABLES = ("word", "stem")
 SHARD_TEXTS, SHARD_WORDS, ROUNDS = 16_384, 8_000_000, 3
 #: A shard is gone through again in a round, for its number of steps, only up to about so many words in all.
 ROUND_WORDS = 20_000_000
+#: Changed parameters reach the driver in so many pieces, one after the other, of rows of so many lines at most.
+PIECES, LINES = 16, 4_096
 #: Words of a text that are convolved at once.
 PIECE = 1 << 16
 #: Sums of multiples of this are exact in any order.
@@ -393,14 +395,25 @@ def fit(network: Network, rows: DataFrame, texts: int, toxic: int, words: int, s
             some = np.flatnonzero(changes.any(axis=1))
             yield pd.DataFrame(np.round(changes[some] / GRAIN) * GRAIN, columns=columns).assign(line=some)
 
+        def changed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            params, before = shared.value
+            mine = Network(shape, params)
+            lines = np.concatenate([mine.lines(params), mine.lines(before)], axis=1)
+            for batch in batches:
+                for at in range(0, len(batch), LINES):
+                    some = batch[at:at + LINES]
+                    values = (lines[some["line"]] + some[columns].to_numpy()).astype(np.float32)
+                    yield pd.DataFrame({"line": [some["line"].to_numpy(np.int32).tobytes()], "values": [values.tobytes()]})
+
         schema = ", ".join(f"{c} double" for c in columns) + ", line long"
         means = dealt.select("toxic", "ids").mapInPandas(learned, schema).groupBy("line").agg(
-            *[F.avg(c).alias(c) for c in columns]).toArrow().to_pandas()
-        changes = np.zeros((len(network.lines(sums)), len(columns)))
-        changes[means["line"]] = means[columns].to_numpy()
-        network.params = network.from_lines(network.lines(network.params) + changes[:, :shape.width])
-        sums = network.from_lines(network.lines(sums) + changes[:, shape.width:])
-        shared.unpersist()
+            *[F.avg(c).alias(c) for c in columns])
+        lines = np.concatenate([network.lines(network.params), network.lines(sums)], axis=1)
+        for piece in means.mapInPandas(changed, "line binary, values binary").repartition(PIECES).toLocalIterator():
+            lines[np.frombuffer(piece["line"], np.int32)] = np.frombuffer(piece["values"], np.float32).reshape(-1, len(columns))
+        network.params = network.from_lines(lines[:, :shape.width])
+        sums = network.from_lines(lines[:, shape.width:])
+        shared.destroy()
 
 
 def judge(rows: DataFrame, network: Network) -> DataFrame:

@@ -315,6 +315,24 @@ def test_shards_learn_together(spark, monkeypatch):
     assert np.mean(right) > 0.97
 
 
+def test_parameters_reach_the_driver_in_pieces(spark, monkeypatch):
+    """With many words, no job of the fit returns over 3 MB; as rows of doubles all changed parameters are some 14 MB."""
+    monkeypatch.setattr(toxicity, "SHARD_TEXTS", 500)
+    rng = np.random.default_rng(4)
+    rows = [(k, int(k % 3 == 0), rng.integers(0, 1 << 30, 1_500).astype(np.int32).tobytes()) for k in range(1_200)]
+    table = spark.createDataFrame(rows, "doc_id long, toxic int, ids binary").localCheckpoint()
+    network = toxicity.Network.fresh(toxicity.Shape())
+    before = network.lines(network.params).copy()
+    settings = spark.sparkContext._jsc.sc().conf()
+    kept = settings.get("spark.driver.maxResultSize", "1g")
+    settings.set("spark.driver.maxResultSize", "3m")
+    try:
+        toxicity.fit(network, table, 1_200, 400, 1_800_000, 3_000)
+    finally:
+        settings.set("spark.driver.maxResultSize", kept)
+    assert (network.lines(network.params) != before).any(axis=1).sum() > 50_000
+
+
 def test_long_texts_are_convolved_in_pieces(monkeypatch):
     network, rng = toxicity.Network.fresh(toxicity.Shape()), np.random.default_rng(1)
     filters = np.concatenate([network.params[f"conv{w}"][k] for w in (1, 2, 3) for k in range(w)], axis=1)
