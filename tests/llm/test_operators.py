@@ -524,6 +524,98 @@ def test_neighbours(spark):
     assert hnsw.nearest(table.limit(0), asked).collect() == [] and hnsw.nearest(table, asked.limit(0)).collect() == []
 
 
+def grouped(rng, rows, groups, dim=16):
+    centres = rng.normal(0, 1, (groups, dim))
+    return (centres[rng.integers(0, groups, rows)] + rng.normal(0, 0.1, (rows, dim))).astype(np.float32)
+
+
+def vector_table(spark, vectors, kind="float"):
+    return spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], f"vec_id long, embedding array<{kind}>")
+
+
+def true_neighbours(vectors, k, most=10):
+    distance = np.sqrt(((vectors.astype(float) - vectors[k].astype(float)) ** 2).sum(axis=1))
+    return [i for i in np.lexsort((np.arange(len(vectors)), distance)) if i != k][:most], distance
+
+
+def test_neighbours_take_few_tasks_for_many_shards_and_blocks(spark):
+    vectors = grouped(np.random.default_rng(7), 3_000, 60)
+    table = vector_table(spark, vectors).repartition(4)
+    context = spark.sparkContext
+    context.setJobGroup("neighbours", "30 shards, 100 blocks of queries")
+    try:
+        got = defaultdict(list)
+        for r in hnsw.nearest(table, table.where("vec_id % 3 = 0"), shard_nodes=100, block_queries=10).collect():
+            got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("neighbours") for s in tracker.getJobInfo(job).stageIds}
+    assert sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i) < 600  # a pair of shard and block was a task
+    hit = 0
+    for k in range(0, 3_000, 3):
+        near, distance = true_neighbours(vectors, k)
+        found = sorted(got[k])
+        assert [f[0] for f in found] == list(range(1, 11)) and np.allclose([f[2] for f in found], distance[[f[1] for f in found]], atol=1e-12)
+        hit += len({f[1] for f in found} & set(near))
+    assert hit >= 0.95 * 10_000
+
+
+def test_queries_come_in_rounds(spark, monkeypatch):
+    vectors = grouped(np.random.default_rng(8), 600, 20)
+    table = vector_table(spark, vectors)
+    whole = {tuple(r) for r in hnsw.nearest(table, table.where("vec_id % 2 = 0"), shard_nodes=100).collect()}
+    monkeypatch.setattr(hnsw, "ROUND_BYTES", 20_000)
+    assert {tuple(r) for r in hnsw.nearest(table, table.where("vec_id % 2 = 0"), shard_nodes=100).collect()} == whole
+    assert len(whole) == 3_000
+
+
+def test_cells_searched_hold_the_true_neighbours(spark):
+    rng = np.random.default_rng(9)
+    sphere = rng.normal(0, 1, (2_000, 32)).astype(np.float32)
+    share = {}
+    for name, vectors in (("groups", grouped(rng, 2_000, 40)), ("none", sphere)):
+        rows = hnsw.packed(vector_table(spark, vectors), "f4", "vec_id")
+        nodes = hnsw.distinct_vectors(rows, 11).checkpoint()
+        asked = rows.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id").checkpoint()
+        dim = vectors.shape[1]
+        router = hnsw.routers(nodes, asked, 10, 100, "f4")[dim]
+        queries = vectors[::10].astype(float)
+        searched = hnsw.squared(queries, router.centres) <= router.reach(queries)[:, None]
+        cell = hnsw.nearest_centre(vectors.astype(float), router.centres)
+        held = [searched[at, cell[true_neighbours(vectors, k)[0]]] for at, k in enumerate(range(0, 2_000, 10))]
+        assert np.mean(held) >= 0.98
+        share[name] = searched.mean()
+        assert len(router.centres) == 20 and router.shards.min() >= 1
+    assert share["groups"] < 0.4 < share["none"]
+
+
+def test_large_cells_are_cut_into_shards(spark):
+    near = np.random.default_rng(10).normal(0, 1e-6, (1_500, 8)) + 1
+    far = np.eye(8) * 50
+    nodes = hnsw.distinct_vectors(hnsw.packed(vector_table(spark, np.concatenate([near, far]), "double"), "f8", "vec_id"), 11).checkpoint()
+    router = hnsw.Router(np.array([[1.0] * 8, [50.0] * 8]), np.inf, np.array([15, 1]))
+    sizes = [len(r.id_ends) // 8 for r in hnsw.build_index(nodes, {8: router}, "f8").collect()]
+    assert sum(sizes) == 1_508 and max(sizes) < 200
+
+
+def test_neighbours_of_odd_vectors(spark):
+    def found(rows, kind="double", k=10):
+        table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        return [tuple(r) for r in hnsw.nearest(table, table.where("vec_id % 100 = 0"), k).orderBy("query_id", "rank").collect()]
+
+    assert found([(0, [1.0, 0.0]), (1, [1.0, -0.0]), (2, [1.0, 5.0])]) == [(0, 1, 1, 0.0), (0, 2, 2, 5.0)]
+    huge = found([(0, [3e200, 0.0]), (1, [0.0, 4e200]), (2, [3e200, 1e200])])
+    assert [r[:3] for r in huge] == [(0, 1, 2), (0, 2, 1)] and [r[3] for r in huge] == pytest.approx([1e200, 5e200])
+    assert found([(0, [3e-200, 0.0]), (1, [3e-200, 0.0])]) == [(0, 1, 1, 0.0)]
+    wide = found([(0, [2.0 ** 100, 0.0]), (1, [0.0, 0.0]), (2, [2.0 ** 100, 2.0 ** 90])], "float")
+    assert wide == [(0, 1, 2, 2.0 ** 90)]
+    many = found([(0, [0.0, 1.0])] + [(7, [0.0, 2.0 + i]) for i in range(5)] + [(8, [0.0, 99.0])])
+    assert many == [(0, 1, 7, 1.0), (0, 2, 8, 98.0)]
+    assert found([(0, [1.0]), (100, [2.0]), (200, [1.0, 1.0])], k=1) == [(0, 1, 100, 1.0), (100, 1, 0, 1.0)]
+    assert found([(0, [1, 2]), (1, [1, 4])], "int") == [(0, 1, 1, 2.0)]
+
+
 def test_stages_keep_clean_documents(spark, docs, none, tmp_path):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     benchmark = spark.createDataFrame([(0, "so many other words that nobody here would ever write down in this order at all")], "item_id long, text string")
