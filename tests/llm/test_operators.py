@@ -595,7 +595,7 @@ def test_large_cells_are_cut_into_shards(spark):
     far = np.eye(8) * 50
     nodes = hnsw.distinct_vectors(hnsw.packed(vector_table(spark, np.concatenate([near, far]), "double"), "f8", "vec_id"), 11).checkpoint()
     router = hnsw.Router(np.array([[1.0] * 8, [50.0] * 8]), np.inf, np.array([15, 1]))
-    sizes = [len(r.id_ends) // 8 for r in hnsw.build_index(nodes, {8: router}, "f8").collect()]
+    sizes = [len(r.id_ends) // 4 for r in hnsw.build_index(nodes, {8: router}, "f8").collect()]
     assert sum(sizes) == 1_508 and max(sizes) < 200
 
 
